@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from terrapulse.session import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: A bucket of hash keys holds about so many documents; one task orders a bucket at a time.
-BUCKET_ROWS = 50_000
 
 
 def sized(docs: DataFrame, *, seed: int, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -39,7 +37,7 @@ def targets(per_source: DataFrame, *, weights: tuple[int, ...], share: float, ma
     return t.withColumn("target", F.least("cap", F.coalesce(level * F.col("weight"), F.col("cap")))).select("source", "source_size", "target", "n_docs")
 
 
-def mix_sources(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_repeat: int = 2, seed: int = 17, bucket_rows: int = BUCKET_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
+def mix_sources(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_repeat: int = 2, seed: int = 17, carry: tuple[str, ...] = ()) -> DataFrame:
     """Words that a mix takes of each document.
 
     Returns per row: ``doc_id``, ``source``, the columns named in ``carry``, ``size``, ``source_size``, ``target``,
@@ -48,14 +46,14 @@ def mix_sources(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share:
     last one may be cut.  A null text has size 0 and nothing is taken of it; a null source is a source; equal rows
     have equal keys and are interchangeable; an empty table gives no rows.
 
-    Documents of a source are range-split by key into buckets of about ``bucket_rows``, so a source with a third of
-    all rows is many buckets; sums of buckets, not documents, are accumulated per source.
+    The n documents of a source are range-split by key into about sqrt(n) buckets of sqrt(n) documents, so a source
+    with a third of all rows is many buckets; sums of buckets, not documents, are accumulated per source.
     """
     rows = materialise(sized(docs, seed=seed, carry=carry))
     per_source = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")), weights=weights, share=share, max_repeat=max_repeat)
     budget = F.floor("target").cast("long")
     per_source = per_source.withColumn("epochs", F.when(F.col("source_size") > 0, F.least(F.lit(max_repeat), F.floor(budget / F.col("source_size")))).otherwise(0).cast("long"))
-    per_source = materialise(per_source.withColumn("rest", budget - F.col("epochs") * F.col("source_size")).withColumn("buckets", F.ceil(F.col("n_docs") / bucket_rows)))
+    per_source = materialise(per_source.withColumn("rest", budget - F.col("epochs") * F.col("source_size")).withColumn("buckets", F.ceil(F.sqrt("n_docs"))))
     same = F.col("r.source").eqNullSafe(F.col("s.source"))
     bucket = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32)) * F.col("buckets")).cast("long")
     joined = rows.alias("r").join(per_source.alias("s"), same).select("r.*", "source_size", "target", "epochs", "rest", "buckets").withColumn("bucket", bucket)
