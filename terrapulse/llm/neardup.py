@@ -5,9 +5,11 @@
     b ~ U(0, 1) from k alone, sets t = floor(ln S / r + b) and a = ln c - r (t - b) - r; the element with the least a,
     together with its t, is the sample.  Two texts share a sample with the probability of their weighted Jaccard
     similarity.
-3.  Samples are banded.  Texts with equal words collapse to one before anything is compared; texts that share a band
-    are compared with centres of the band, and each comparison is verified by the exact weighted Jaccard similarity.
-4.  Verified links are closed to classes.
+3.  Samples are banded.  Texts with equal words collapse to one before anything is compared.  Every member of a band is
+    compared with the band's most central member.  The members that are not near it are then held, in blocks, against
+    all members of the band: pairs whose shares of equal samples leave no real chance of a link are dropped, the rest
+    are compared.  Two members near the centre are in one class anyway, so no pair that matters is left out.
+4.  Each comparison is verified by the exact weighted Jaccard similarity, and verified links are closed to classes.
 """
 
 from __future__ import annotations
@@ -28,13 +30,16 @@ from terrapulse.session import materialise
 FEATURES = 1 << 18
 #: Draws of (r, ln c, b); an element picks one for each of its K samples.
 DRAWS = 1 << 16
-BANDS, ROWS = 16, 4
+BANDS, ROWS = 25, 5
 #: Rarer features than this share of the documents count as rare; the weight of a shingle that all documents hold is
 #: 1 and that of a rare one 1 + DAMPING.  Undamped, a group of copies would raise the frequency of its own text until
 #: its few edited words outweigh the rest.
 RARE, DAMPING, STEPS = 0.01, 0.25, 8
-#: Members of a band that are compared pair by pair; a larger band is compared centre by centre.
-SMALL_BAND = 8
+#: Pairs of a band whose share of equal samples is so far below the threshold are not compared: 3.3 deviations of 125
+#: samples at 0.8.
+SLACK = 0.12
+#: Members of a band that are held against the others at a time.
+BLOCK = 256
 #: Side of a join that may be broadcast, in rows of about 24 bytes.
 BROADCAST_ROWS = 1_000_000
 
@@ -87,9 +92,8 @@ def _count_features(width: int):
         total = np.zeros(FEATURES, np.int64)
         for batch in batches:
             for _, texts in slices(batch.column(0)):
-                sh, _, doc = term_counts(texts, width)
-                feature = (sh & np.uint64(FEATURES - 1)).astype(np.int64)
-                total += np.bincount(np.unique(doc * FEATURES + feature) % FEATURES, minlength=FEATURES)
+                sh, _, _ = term_counts(texts, width)
+                total += np.bincount((sh & np.uint64(FEATURES - 1)).astype(np.int64), minlength=FEATURES)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["f", "n"])
 
@@ -124,13 +128,13 @@ def signatures(texts: list[bytes], weights: Weights, width: int, k: int) -> tupl
 def _sign(sent, width: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = sent.value
-        seen: dict[bytes, tuple[int, list[int]]] = {}  # copies are common: a text's samples are kept for its next copy
+        seen: dict[bytes, tuple[int, list[int], bytes]] = {}  # copies are common: a text's samples are kept for its next copy
         for batch in batches:
-            same, sizes, keys = [], [], []
+            same, sizes, keys, samples = [], [], [], []
             for _, texts in slices(batch.column("_text")):
                 digest = [hashlib.md5(b" ".join(t.translate(FOLD).split())).digest() for t in texts]
                 new = list({d: i for i, d in enumerate(digest) if d not in seen}.items())
-                if len(seen) + len(new) > 50_000:
+                if len(seen) + len(new) > 20_000:
                     seen = {}
                     new = list({d: i for i, d in enumerate(digest)}.items())
                 if new:
@@ -139,14 +143,15 @@ def _sign(sent, width: int, bands: int, rows: int):
                     key = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(new), bands)).copy()
                     for r in range(rows):
                         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + bits[:, :, r])
-                    for (d, _), m, row in zip(new, n, key.astype(np.int64), strict=True):
-                        seen[d] = (int(m), row.tolist() if m else [])
+                    for (d, _), m, row, own in zip(new, n, key.astype(np.int64), sig, strict=True):
+                        seen[d] = (int(m), row.tolist() if m else [], own.tobytes())
                 for d in digest:
-                    m, b = seen[d]
+                    m, b, own = seen[d]
+                    samples.append(own)
                     same.append(d)
                     sizes.append(m)
                     keys.append(b)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(same, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "same", "n_shingles", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(same, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(samples, pa.binary())], names=["id", "same", "n_shingles", "bands", "samples"])
 
     return run
 
@@ -185,6 +190,34 @@ def _verify(sent, width: int, threshold: float):
     return run
 
 
+def _alike(k: int, rows: int, least: float):
+    """Rows come sorted by (band, part), the part's open members first; emits pairs (open member, member) worth a comparison."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, ids, open_ = None, [], []
+        for batch in batches:
+            band, part, slot, member, is_open = (batch.column(c).to_pylist() for c in ("band", "part", "slot", "id", "open"))
+            sig = np.frombuffer(b"".join(batch.column("samples").to_pylist()), np.uint32).reshape(-1, k)
+            found: list[tuple[int, int]] = []
+            for i in range(len(band)):
+                if held != (band[i], part[i]):
+                    held, ids, open_ = (band[i], part[i]), [], []
+                if is_open[i]:
+                    ids.append(member[i])
+                    open_.append(sig[i])
+                block = np.array(open_)
+                equal = block == sig[i]
+                near = np.flatnonzero(equal.mean(1) >= least)
+                for x in near:
+                    # a pair is emitted by the first band that both share
+                    first = int(equal[x].reshape(-1, rows).all(1).argmax())
+                    if ids[x] != member[i] and first == slot[i]:
+                        found.append((ids[x], member[i]))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["centre", "id"])
+
+    return run
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, sent, width: int, threshold: float) -> DataFrame:
     """``pairs`` (centre, id) with ``near``: texts meet by centre, in parts of about 64 members, so a centre with very many members is many tasks' work."""
     spark = pairs.sparkSession
@@ -201,16 +234,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, sent, width: int, threshold: fl
     return met.mapInArrow(_verify(sent, width, threshold), "centre long, id long, near boolean")
 
 
-def find_groups(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS, max_rounds: int = 200) -> DataFrame:
+def find_groups(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document: ``doc_id``, ``class_id`` (smallest id of its class), ``n_shingles`` (distinct).
 
     Two texts are linked if their weighted Jaccard similarity over ``width``-word shingles is at least ``threshold``;
     classes are the connected sets.  Texts with the same words are always linked.  A text without words, or null, is
     alone in its class; one with fewer words than ``width`` is one shingle; a null id is alone, with a null class;
     repeated rows share a class and each keeps its row; an empty table gives no rows.
-
-    A band's members are compared with its smallest member; those that are not near it and have not been a centre yet
-    go on: the smallest of them is compared with all members, until everybody is near a centre of the band.
     """
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("_text"))
@@ -218,37 +248,31 @@ def find_groups(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, band
     counts = np.zeros(FEATURES, np.int64)
     counts[counted["f"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
     sent = spark.sparkContext.broadcast(Weights(idf_steps(counts, base.count())))
-    signed = materialise(base.mapInArrow(_sign(sent, width, bands, rows), "id long, same binary, n_shingles long, bands array<bigint>"))
+    signed = materialise(base.mapInArrow(_sign(sent, width, bands, rows), "id long, same binary, n_shingles long, bands array<bigint>, samples binary"))
     known = signed.where(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
     reps = known.groupBy("same").agg(F.min("id").alias("rep"))
-    # bands of representatives; max_by over equal values picks any, and all are equal
-    texts = materialise(known.groupBy("same").agg(F.min_by("bands", "id").alias("bands"), F.min("id").alias("id")))
-    buckets = texts.select("id", F.explode("bands").alias("band"))
-    several = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).where("n > 1")
-    buckets = materialise(buckets.join(several, "band"))
-    small = buckets.where(F.col("n") <= SMALL_BAND)
-    pairs = small.alias("a").join(small.alias("b"), "band").where(F.col("a.id") < F.col("b.id")).select(F.col("a.id").alias("centre"), F.col("b.id").alias("id"))
-    large = buckets.where(F.col("n") > SMALL_BAND)
-    pairs = pairs.union(large.where("id <> least").select(F.col("least").alias("centre"), "id"))
-    seen = materialise(_verified(pairs.distinct(), base, sent, width, threshold))
-    links = [seen.where("near").select("centre", "id")]
-    # members of large bands that are near no centre of theirs so far
-    open_ = large.where("id <> least").join(seen.where("near").select(F.col("centre").alias("least"), "id", "near"), ["least", "id"], "left_anti").select("band", "id")
-    for _ in range(max_rounds):
-        open_ = materialise(open_)
-        centres = open_.groupBy("band").agg(F.min("id").alias("centre"))
-        if centres.isEmpty():
-            break
-        ask = centres.join(large.select("band", "id"), "band").where("id <> centre")
-        found = materialise(_verified(ask.select("centre", "id").distinct(), base, sent, width, threshold))
-        links.append(found.where("near").select("centre", "id"))
-        settled = centres.join(found.where("near"), "centre").select("band", "id").union(centres.select("band", F.col("centre").alias("id")))
-        open_ = open_.join(settled.distinct(), ["band", "id"], "left_anti")
-    else:
-        raise RuntimeError("a band has too many centres")
-    edges = links[0]
-    for more in links[1:]:
-        edges = edges.union(more)
+    # equal texts have equal bands and samples, whichever copy they are taken from
+    texts = materialise(known.groupBy("same").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("samples").alias("samples")))
+    buckets = texts.select("id", F.posexplode("bands").alias("slot", "band"))
+    several = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = buckets.join(several, "band")
+    degree = buckets.groupBy("id").agg(F.sum("n").alias("degree"))
+    buckets = materialise(buckets.join(degree, "id"))
+    centres = buckets.groupBy("band").agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("centre"))
+    buckets = buckets.join(centres, "band")
+    seen = materialise(_verified(buckets.where("id <> centre").select("centre", "id").distinct(), base, sent, width, threshold))
+    near = seen.where("near").select("centre", "id")
+    far = buckets.where("id <> centre").join(near, ["centre", "id"], "left_anti").select("band", "id")
+    far = far.withColumn("open", F.lit(True)).join(far.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "band")
+    far = materialise(far.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")))
+    spread = buckets.select("band", "slot", "id").join(far.select("band", "parts").distinct(), "band").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    marked = spread.join(far.select("band", "id", F.col("own").alias("part"), "open"), ["band", "id", "part"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = marked.join(texts.select("id", "samples"), "id").repartition(tasks, "band", "part").sortWithinPartitions("band", "part", F.desc("open"))
+    ask = met.select("band", "part", "slot", "id", "open", "samples").mapInArrow(_alike(bands * rows, rows, threshold - SLACK), "centre long, id long")
+    ask = ask.select(F.least("centre", "id").alias("centre"), F.greatest("centre", "id").alias("id")).distinct().join(seen.select("centre", "id"), ["centre", "id"], "left_anti")
+    more = _verified(ask, base, sent, width, threshold).where("near").select("centre", "id")
+    edges = materialise(near.union(more))
     classes = connected_components(edges, src="centre", dst="id").select(F.col("id").alias("rep"), "component")
     named = reps.join(classes, "rep", "left").select("same", F.coalesce("component", "rep").alias("class_id"))
     whole = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("class_id")).otherwise(F.col("id"))
