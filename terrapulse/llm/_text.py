@@ -38,15 +38,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_POWERS = np.ones(64, np.uint64)
+def _power_table(n: int) -> np.ndarray:
+    base = np.full(n, 0x9E3779B97F4A7C15, np.uint64)
+    base[0] = 1
+    return np.cumprod(base, dtype=np.uint64)
+
+
+_POWERS = _power_table(256)
 
 
 def _powers(n: int) -> np.ndarray:
     global _POWERS
     if n > len(_POWERS):
-        base = np.full(max(n, 2 * len(_POWERS)), 0x9E3779B97F4A7C15, np.uint64)
-        base[0] = 1
-        _POWERS = np.cumprod(base, dtype=np.uint64)
+        _POWERS = _power_table(2 * n)
     return _POWERS
 
 

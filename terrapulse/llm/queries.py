@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrapulse.llm import contamination, langid, mixing, neardup, pii
+from terrapulse.llm import contamination, hamming, langid, lmscore, mixing, neardup, pii, quality, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = hamming.binary_codes(table(spark, sf_dir, "embeddings"))
+    return hamming.search(codes, codes.where("id % 100 = 0"), k=10)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.digest(contamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -24,6 +29,22 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents labelled as of good quality; background: all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return lmscore.score(docs, lmscore.train(docs, table(spark, sf_dir, "labels").where("quality = 1")))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -34,11 +55,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op4_near_duplicates, op5_pii, op9_source_mix, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_hamming_top_k, op2_decontamination, op4_near_duplicates, op5_pii, op6_quality, op7_lm_score, op8_toxicity, op9_source_mix, op10_language_id)}
 
 _WORDS = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE_SQL = {
+    "op1_hamming_top_k": """
+WITH c AS (SELECT vec_id AS id, array_to_string([CASE WHEN embedding[i] > 0 THEN '1' ELSE '0' END FOR i IN range(1, 65)], '') AS code FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+p AS (SELECT q.id AS query_id, r.id AS neighbour_id, CAST(hamming(q.code, r.code) AS INTEGER) AS hamming FROM c q JOIN c r ON q.id <> r.id WHERE q.id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbour_id, hamming FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY hamming, neighbour_id) AS rank FROM p) WHERE rank <= 10""",
     "op2_decontamination": f"""
 WITH d AS (SELECT doc_id, coalesce({_WORDS.format(text="text")}, []) AS w FROM documents),
 i AS (SELECT item_id, {_WORDS.format(text="text")} AS w FROM benchmark WHERE text IS NOT NULL),
