@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrapulse.llm import contamination, hamming, langid, lmscore, mixing, neardup, pii, quality, toxicity
+from terrapulse.llm import contamination, hamming, langid, lmscore, mixing, neardup, pii, quality, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.digest(contamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op3_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.find_groups(table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_hamming_top_k, op2_decontamination, op4_near_duplicates, op5_pii, op6_quality, op7_lm_score, op8_toxicity, op9_source_mix, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_hamming_top_k, op2_decontamination, op3_repeated_substrings, op4_near_duplicates, op5_pii, op6_quality, op7_lm_score, op8_toxicity, op9_source_mix, op10_language_id)}
 
 _WORDS = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -75,6 +79,16 @@ hit AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(ra
 found AS (SELECT doc_id, count(*) AS n_items, string_agg(t, ',' ORDER BY t) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS t FROM h) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op3_repeated_substrings": """
+WITH d AS (SELECT doc_id, coalesce(hex(encode(text)), '') AS h FROM documents),
+w AS (SELECT doc_id, s, substring(h, 2 * s + 1, 200) AS x FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS s FROM d WHERE len(h) >= 200)),
+f AS (SELECT doc_id, s, row_number() OVER (PARTITION BY x ORDER BY doc_id, s) AS k FROM w),
+m AS (SELECT doc_id, s, CASE WHEN s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 OR lag(s) OVER (PARTITION BY doc_id ORDER BY s) IS NULL THEN 1 ELSE 0 END AS new FROM f WHERE k > 1),
+r AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM m) GROUP BY doc_id, g),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM r),
+k AS (SELECT doc_id, string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept, max(b) AS last, sum(b - a) AS n_removed, count(*) AS n_spans FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)""",
     "op9_source_mix": r"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size, md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source),
