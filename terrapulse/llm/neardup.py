@@ -190,29 +190,40 @@ def _verify(sent, width: int, threshold: float):
     return run
 
 
-def _alike(k: int, rows: int, least: float):
-    """Rows come sorted by (band, part), the part's open members first; emits pairs (open member, member) worth a comparison."""
+def _alike(sent, width: int, k: int, rows: int, threshold: float):
+    """Rows come sorted by (band, part), the part's open members first; emits the pairs (open member, member) that are near.
+
+    Pairs whose samples leave no real chance are dropped, the others are compared exactly, each in the first band that
+    both share.  A task holds the bags of one part's open members, BLOCK at most on average.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, ids, open_ = None, [], []
+        weights, held, ids, open_, bags = sent.value, None, [], [], []
+        block = np.zeros((0, k), np.uint32)
         for batch in batches:
-            band, part, slot, member, is_open = (batch.column(c).to_pylist() for c in ("band", "part", "slot", "id", "open"))
+            band, part, slot, member, is_open, far = (batch.column(c).to_pylist() for c in ("band", "part", "slot", "id", "open", "far"))
             sig = np.frombuffer(b"".join(batch.column("samples").to_pylist()), np.uint32).reshape(-1, k)
+            text = batch.column("text")
             found: list[tuple[int, int]] = []
             for i in range(len(band)):
                 if held != (band[i], part[i]):
-                    held, ids, open_ = (band[i], part[i]), [], []
+                    held, ids, open_, bags = (band[i], part[i]), [], [], []
+                own = None
                 if is_open[i]:
+                    own = weighted_bag(text[i].as_py() or b"", weights, width)
                     ids.append(member[i])
                     open_.append(sig[i])
-                block = np.array(open_)
+                    bags.append(own)
+                if len(block) != len(open_) or is_open[i]:
+                    block = np.array(open_, np.uint32).reshape(-1, k)
                 equal = block == sig[i]
-                near = np.flatnonzero(equal.mean(1) >= least)
-                for x in near:
-                    # a pair is emitted by the first band that both share
-                    first = int(equal[x].reshape(-1, rows).all(1).argmax())
-                    if ids[x] != member[i] and first == slot[i]:
-                        found.append((ids[x], member[i]))
+                for x in np.flatnonzero(equal.mean(1) >= threshold - SLACK):
+                    if ids[x] == member[i] or far[i] and ids[x] > member[i] and not is_open[i]:
+                        continue
+                    if int(equal[x].reshape(-1, rows).all(1).argmax()) == slot[i]:
+                        own = own or weighted_bag(text[i].as_py() or b"", weights, width)
+                        if weighted_jaccard(bags[x], own) >= threshold:
+                            found.append((ids[x], member[i]))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["centre", "id"])
 
     return run
@@ -263,15 +274,16 @@ def find_groups(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, band
     seen = materialise(_verified(buckets.where("id <> centre").select("centre", "id").distinct(), base, sent, width, threshold))
     near = seen.where("near").select("centre", "id")
     far = buckets.where("id <> centre").join(near, ["centre", "id"], "left_anti").select("band", "id")
-    far = far.withColumn("open", F.lit(True)).join(far.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "band")
+    far = far.join(far.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "band")
     far = materialise(far.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")))
     spread = buckets.select("band", "slot", "id").join(far.select("band", "parts").distinct(), "band").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    marked = spread.join(far.select("band", "id", F.col("own").alias("part"), "open"), ["band", "id", "part"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    marked = spread.join(far.select("band", "id", "own"), ["band", "id"], "left")
+    marked = materialise(marked.select("band", "slot", "part", "id", F.coalesce(F.col("own") == F.col("part"), F.lit(False)).alias("open"), F.col("own").isNotNull().alias("far")))
+    few = marked.count() <= BROADCAST_ROWS
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = marked.join(texts.select("id", "samples"), "id").repartition(tasks, "band", "part").sortWithinPartitions("band", "part", F.desc("open"))
-    ask = met.select("band", "part", "slot", "id", "open", "samples").mapInArrow(_alike(bands * rows, rows, threshold - SLACK), "centre long, id long")
-    ask = ask.select(F.least("centre", "id").alias("centre"), F.greatest("centre", "id").alias("id")).distinct().join(seen.select("centre", "id"), ["centre", "id"], "left_anti")
-    more = _verified(ask, base, sent, width, threshold).where("near").select("centre", "id")
+    met = base.select("id", F.col("_text").alias("text")).join(F.broadcast(marked) if few else marked, "id").join(texts.select("id", "samples"), "id")
+    met = met.select("band", "part", "slot", "id", "open", "far", "samples", "text").repartition(tasks, "band", "part").sortWithinPartitions("band", "part", F.desc("open"), "id")
+    more = met.mapInArrow(_alike(sent, width, bands * rows, rows, threshold), "centre long, id long")
     edges = materialise(near.union(more))
     classes = connected_components(edges, src="centre", dst="id").select(F.col("id").alias("rep"), "component")
     named = reps.join(classes, "rep", "left").select("same", F.coalesce("component", "rep").alias("class_id"))
