@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrapulse.adapters import DUCK, view
 from terrapulse.functions import scalars, stats
-from terrapulse.operators import components, neighbours, pairs, series
+from terrapulse.operators import components, neighbours, pairs, series, zones
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -227,3 +227,154 @@ def j12(scenes):
     per = scenes.select("path", "frame", F.to_date("start_ts").alias("d")).distinct()
     other = per.select("path", F.col("frame").alias("f2"), "d")
     return per.withColumnRenamed("frame", "f1").join(other, ["path", "d"]).where("f1 < f2").groupBy("path", "f1", "f2").agg(F.count(F.lit(1)).alias("dates"))
+
+
+_LINE = "f AS (SELECT point_id, regr_slope(value_mm, day_offset / 365.25::DOUBLE) AS slope, regr_intercept(value_mm, day_offset / 365.25::DOUBLE) AS cut FROM obs GROUP BY point_id), r AS (SELECT obs.*, value_mm - (cut + slope * day_offset / 365.25::DOUBLE) AS res FROM obs JOIN f USING (point_id))"
+_DELTA = "d AS (SELECT *, value_mm - lag(value_mm) OVER (PARTITION BY point_id ORDER BY epoch_idx) AS delta FROM obs)"
+_GRID = "g AS (SELECT p.point_id, e.epoch_idx, o.value_mm FROM (SELECT DISTINCT point_id FROM obs) p CROSS JOIN epoch e LEFT JOIN obs o ON o.point_id = p.point_id AND o.epoch_idx = e.epoch_idx)"
+
+
+@register("w03_ends", ("obs",), "SELECT point_id, round(arg_min(value_mm, epoch_idx), 6) AS first_mm, round(arg_max(value_mm, epoch_idx), 6) AS last_mm, round(arg_max(value_mm, epoch_idx) - arg_min(value_mm, epoch_idx), 6) AS last_rel0 FROM obs GROUP BY point_id")
+def w03(obs):
+    return series.ends(obs)
+
+
+@register("w06_persistence", ("obs",), _DELTA + """, m AS (SELECT epoch_idx, median(abs(delta)) AS m FROM d WHERE delta IS NOT NULL GROUP BY epoch_idx), l AS (SELECT epoch_idx FROM m WHERE m > (SELECT quantile_cont(m, 0.8) FROM m)),
+ s AS (SELECT point_id, epoch_idx, abs(coalesce(delta, 0)) AS size, CASE WHEN epoch_idx IN (SELECT epoch_idx FROM l) THEN abs(coalesce(delta, 0)) ELSE 0 END AS strength FROM d)
+ SELECT s.point_id, epoch_idx, round(least(1, avg(strength) OVER (PARTITION BY s.point_id ORDER BY epoch_idx ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) / greatest(1, q)), 6) AS persistence FROM s JOIN (SELECT point_id, quantile_cont(size, 0.95) AS q FROM s GROUP BY point_id) USING (point_id)""")
+def w06(obs):
+    return series.persistence(obs, series.loud_epochs(obs))
+
+
+@register("w08_fill_gaps", ("obs",), _GRID + """, b AS (SELECT *, max(CASE WHEN value_mm IS NOT NULL THEN epoch_idx END) OVER (PARTITION BY point_id ORDER BY epoch_idx) AS e0, min(CASE WHEN value_mm IS NOT NULL THEN epoch_idx END) OVER (PARTITION BY point_id ORDER BY epoch_idx DESC) AS e1 FROM g)
+ SELECT b.point_id, b.epoch_idx, b.value_mm IS NULL AS filled, round(CASE WHEN e0 IS NULL THEN y.value_mm WHEN e1 IS NULL OR e0 = e1 THEN x.value_mm ELSE x.value_mm + (y.value_mm - x.value_mm) * (b.epoch_idx - e0) / (e1 - e0) END, 6) AS value_mm
+ FROM b LEFT JOIN obs x ON x.point_id = b.point_id AND x.epoch_idx = e0 LEFT JOIN obs y ON y.point_id = b.point_id AND y.epoch_idx = e1""")
+def w08(obs):
+    return series.fill_gaps(obs)
+
+
+@register("u03_missing_epochs", ("obs",), "SELECT point_id, epoch_idx FROM (SELECT DISTINCT point_id FROM obs) CROSS JOIN epoch EXCEPT SELECT point_id, epoch_idx FROM obs")
+def u03(obs):
+    return zones.missing_epochs(series.fill_gaps(obs), obs)
+
+
+@register("w12_complete_windows", ("obs",), "SELECT point_id, CAST(sum(CAST(n = 18 AS INT)) AS BIGINT) AS windows FROM (SELECT point_id, count(*) OVER (PARTITION BY point_id ORDER BY epoch_idx RANGE BETWEEN 17 PRECEDING AND CURRENT ROW) AS n FROM obs) GROUP BY point_id")
+def w12(obs):
+    return series.complete_windows(obs)
+
+
+@register("w13_split_ends", ("epoch",), "u AS (SELECT epoch_idx, epoch_idx - 11 AS k, count(*) OVER () - 17 AS n FROM epoch) SELECT epoch_idx, CASE WHEN k < greatest(1, floor(n * 0.7::DOUBLE)) THEN 'train' WHEN k < least(n - 1, greatest(greatest(1, floor(n * 0.7::DOUBLE)) + 1, floor(n * 0.85::DOUBLE))) THEN 'val' ELSE 'test' END AS split FROM u WHERE k BETWEEN 0 AND n - 1")
+def w13(epochs):
+    return series.split_ends(epochs)
+
+
+@register("w15_future_dates", ("epoch",), "q AS (SELECT epoch_idx, date, date - lag(date) OVER (ORDER BY epoch_idx) AS gap FROM epoch), z AS (SELECT greatest(1, CAST(floor(median(gap)) AS INT)) AS step, max(date) AS last FROM q WHERE epoch_idx > (SELECT max(epoch_idx) - 5 FROM epoch)) SELECT CAST(k AS INT) AS k, CAST(last + CAST(k * step AS INT) AS DATE) AS date FROM z, range(1, 7) t(k)")
+def w15(epochs):
+    return series.future_dates(epochs)
+
+
+@register("t07_even_epochs", ("epoch",), "n AS (SELECT count(*) AS n FROM epoch) SELECT epoch.* FROM epoch JOIN (SELECT DISTINCT CAST(round_even(i * ((n - 1) / 8.0::DOUBLE), 0) AS INT) AS epoch_idx FROM n, range(0, 9) t(i)) USING (epoch_idx)")
+def t07(epochs):
+    return series.even_epochs(epochs)
+
+
+@register("a11_residual_threshold", ("obs",), _LINE + " SELECT round(quantile_cont(abs(res), 0.9), 6) AS p90, round(quantile_cont(abs(res), 0.95), 6) AS p95, round(greatest(28, quantile_cont(abs(res), 0.95)), 6) AS jump_threshold FROM r")
+def a11(obs):
+    return series.residual_threshold(obs)
+
+
+@register("a19_concentration", ("obs", "point"), _LINE + """, c AS (SELECT point_id, least(9, floor("row" / ((SELECT max("row") FROM point) + 1)::DOUBLE * 10)) AS rb, least(9, floor(col / ((SELECT max(col) FROM point) + 1)::DOUBLE * 10)) AS cb FROM point),
+ n AS (SELECT date, rb, cb, sum(CAST(abs(res) > 10 AS INT)) AS n FROM r JOIN c USING (point_id) GROUP BY ALL)
+ SELECT date, CAST(sum(n) AS BIGINT) AS anomalies, round(CASE WHEN sum(n) = 0 THEN 0 ELSE max(n) / CAST(sum(n) AS DOUBLE) END, 6) AS concentration FROM n GROUP BY date""")
+def a19(obs, points):
+    return series.concentration(obs, points)
+
+
+@register("t04_exemplars", ("obs", "point"), _DELTA + """, s AS (SELECT point_id, stddev_pop(delta) AS stability, regr_slope(value_mm, day_offset / 365.25::DOUBLE) AS velocity FROM d GROUP BY point_id), k AS (SELECT s.*, tcoh, row_number() OVER (ORDER BY round(stability, 9), point_id) AS a, row_number() OVER (ORDER BY round(abs(velocity), 9) DESC, point_id) AS b, row_number() OVER (ORDER BY tcoh, point_id) AS c FROM s JOIN point USING (point_id))
+ SELECT point_id, CASE WHEN a <= 4 THEN 'steady' WHEN b <= 4 THEN 'fast' ELSE 'weak' END AS reason, round(velocity, 6) AS velocity, round(stability, 6) AS stability, round(tcoh, 6) AS tcoh FROM k WHERE a <= 4 OR b <= 4 OR c <= 4""")
+def t04(obs, points):
+    return series.exemplars(obs, points)
+
+
+@register("j01_increments", ("obs", "pair_pixel"), "p AS (SELECT DISTINCT date1, date2 FROM pair_pixel) SELECT a.point_id, date1, date2, round(b.value_mm - a.value_mm, 6) AS increment_mm FROM p JOIN obs a ON strftime(a.date, '%Y%m%d') = date1 JOIN obs b ON b.point_id = a.point_id AND strftime(b.date, '%Y%m%d') = date2")
+def j01(obs, pixels):
+    return series.increments(obs, pixels.select("date1", "date2").distinct())
+
+
+@register("t09_sample_cap", ("obs",), "SELECT point_id, epoch_idx, round(value_mm, 6) AS value_mm FROM obs ORDER BY md5(concat_ws(':', point_id, epoch_idx, 42)), point_id, epoch_idx LIMIT 500")
+def t09(obs):
+    return series.sample_cap(obs.select("point_id", "epoch_idx", "value_mm"), 500)
+
+
+@register("a03_cell_average", ("pair_pixel",), "SELECT point_id, round(least(1, greatest(0, avg(coh))) + 1e-9::DOUBLE, 6) AS coh FROM pair_pixel GROUP BY point_id")
+def a03(pixels):
+    return zones.cell_average(pixels).withColumn("coh", F.col("coh") + 1e-9)  # coherences have three decimals: means lie on halves of the sixth
+
+
+@register("a07_outlier_share", ("pair_pixel",), "q AS (SELECT *, median(unw) OVER (PARTITION BY date1, date2) AS med FROM pair_pixel), s AS (SELECT *, median(abs(unw - med)) OVER (PARTITION BY date1, date2) AS mad FROM q) SELECT date1, date2, round(avg(CAST(abs(unw - med) > 5 * greatest(1.4826::DOUBLE * mad, 0.000001) AS INT)), 6) AS outlier_share FROM s GROUP BY ALL")
+def a07(pixels):
+    return zones.outlier_share(pixels, ["date1", "date2"], "unw")
+
+
+@register("a27_zone_profile", ("obs",), """o AS (SELECT point_id % 3 AS zone, *, row_number() OVER (PARTITION BY point_id % 3, epoch_idx ORDER BY value_mm, point_id) AS r, count(*) OVER (PARTITION BY point_id % 3, epoch_idx) AS n FROM obs), z AS (SELECT zone FROM o GROUP BY zone HAVING count(DISTINCT point_id) >= 32)
+ SELECT zone, epoch_idx, round(quantile_cont(value_mm, 0.25), 6) AS p25, round(quantile_cont(value_mm, 0.5), 6) AS p50, round(quantile_cont(value_mm, 0.75), 6) AS p75, round(avg(value_mm) FILTER (r > floor(n * 0.2::DOUBLE) AND r <= n - floor(n * 0.2::DOUBLE)), 6) AS trimmed_mean, count(*) AS n_points FROM o WHERE zone IN (SELECT zone FROM z) GROUP BY zone, epoch_idx""")
+def a27(obs):
+    return zones.profile(obs.withColumn("zone", F.col("point_id") % 3))
+
+
+_V = "v AS (SELECT *, (model_rms - 2) * 10 AS velocity, \"row\" // 10 AS zone FROM point)"
+
+
+def _moving(points: DataFrame) -> DataFrame:
+    return points.withColumns({"velocity": (F.col("model_rms") - 2) * 10, "zone": F.floor(F.col("row") / 10)})
+
+
+@register("a28_zone_records", ("point",), _V + """ SELECT zone, count(*) AS pixel_count, round(sum(0.001::DOUBLE * 111.32::DOUBLE * cos(radians(lat)) * 0.001::DOUBLE * 110.54::DOUBLE), 6) AS area_km2, round(min(lon), 6) AS west, round(min(lat), 6) AS south, round(max(lon), 6) AS east, round(max(lat), 6) AS north, round(avg(lon), 6) AS centroid_lon, round(avg(lat), 6) AS centroid_lat,
+ round(avg(velocity), 6) AS mean_velocity, round(median(velocity), 6) AS median_velocity, round(quantile_cont(abs(velocity), 0.1), 6) AS p10_abs, round(quantile_cont(abs(velocity), 0.9), 6) AS p90_abs, round(max(abs(velocity)), 6) AS max_abs FROM v GROUP BY zone""")
+def a28(points):
+    return zones.records(_moving(points))
+
+
+@register("a30_coherence_bins", ("point",), _V + f" SELECT CAST(floor((tcoh - 0.4::DOUBLE) / {(1.0 - 0.4) / 14!r}::DOUBLE) AS BIGINT) AS bin, count(*) AS n, round(avg(velocity), 6) AS mean, round(stddev_pop(velocity), 6) AS deviation FROM v WHERE tcoh >= 0.4::DOUBLE AND tcoh < 1 GROUP BY ALL HAVING count(*) > 10")
+def a30(points):
+    return zones.bins(_moving(points), "tcoh", "velocity")
+
+
+@register("a32_histogram", ("point",), "s AS (SELECT count(*) AS n, min(height_m) AS lo, max(height_m) AS hi, least(80, greatest(20, floor(sqrt(count(*)))))::INT AS b FROM point), w AS (SELECT *, (hi - lo) / b AS w FROM s), c AS (SELECT least(b - 1, floor((height_m - lo) / w)::INT) AS bin, count(*) AS n FROM point, w GROUP BY ALL) SELECT CAST(i AS INT) AS bin, round(lo + i * w, 6) AS left_edge, coalesce(c.n, 0) AS n, round(coalesce(c.n, 0) / (w.n * w), 6) AS density FROM w, unnest(range(0, b)) t(i) LEFT JOIN c ON c.bin = i")
+def a32(points):
+    return zones.histogram(points, "height_m")
+
+
+@register("a33_spread", ("point",), _V + " SELECT round(avg(velocity), 6) AS mean, round(stddev_pop(velocity), 6) AS deviation, round(median(velocity), 6) AS median, round(greatest(1, quantile_cont(abs(velocity), 0.97)), 6) AS limit FROM v".replace("AS limit", 'AS "limit"'))
+def a33(points):
+    return zones.spread(_moving(points), "velocity")
+
+
+@register("j10_bilinear", ("point",), """s AS (SELECT point_id, "row" + 0.25::DOUBLE AS fr, col + (point_id % 4) / 4.0::DOUBLE AS fc FROM point), x AS (SELECT point_id, floor(fr) + i AS r, floor(fc) + j AS c, (CASE i WHEN 1 THEN fr - floor(fr) ELSE 1 - fr + floor(fr) END) * (CASE j WHEN 1 THEN fc - floor(fc) ELSE 1 - fc + floor(fc) END) AS w FROM s, range(0, 2) a(i), range(0, 2) b(j))
+ SELECT x.point_id, round(CASE WHEN count(height_m) = count(*) THEN sum(w * height_m) END, 6) AS height_m FROM x LEFT JOIN point ON point."row" = r AND point.col = c WHERE w > 0 GROUP BY x.point_id""")
+def j10(points):
+    return zones.bilinear(points.select("point_id", (F.col("row") + 0.25).alias("fr"), (F.col("col") + (F.col("point_id") % 4) / 4.0).alias("fc")), points, "height_m")
+
+
+@register("j18_nearest_to", ("point",), "SELECT round(sqrt(((lon - 103.0213::DOUBLE) * 111320.0::DOUBLE * cos(radians(30.0017::DOUBLE))) ** 2 + ((lat - 30.0017::DOUBLE) * 110540.0::DOUBLE) ** 2), 6) AS distance_m, point_id FROM point ORDER BY 1, 2 LIMIT 1")
+def j18(points):
+    return zones.nearest_to(points, 30.0017, 103.0213)
+
+
+@register("t11_reference_pixel", ("point",), 'SELECT "row", col, round(tcoh, 6) AS tcoh FROM point WHERE "row" >= 1 AND col >= 1 AND "row" <= (SELECT max("row") FROM point) - 1 AND col <= (SELECT max(col) FROM point) - 1 ORDER BY tcoh DESC, "row", col LIMIT 1')
+def t11(points):
+    return zones.reference_pixel(points, border=1)
+
+
+@register("f10_unit_series", ("obs",), "c AS (SELECT *, value_mm - avg(value_mm) OVER (PARTITION BY point_id) AS x FROM obs) SELECT point_id, epoch_idx, round(x / sqrt(sum(x * x) OVER (PARTITION BY point_id)), 6) AS x FROM c")
+def f10(obs):
+    packed = obs.groupBy("point_id").agg(F.array_sort(F.collect_list(F.struct("epoch_idx", "value_mm"))).alias("s"))
+    unit = packed.select("point_id", F.col("s.epoch_idx").alias("e"), scalars.unit_series(F.col("s.value_mm")).alias("x"))
+    return unit.select("point_id", F.inline(F.arrays_zip("e", "x"))).withColumnRenamed("e", "epoch_idx")
+
+
+@register("f12_point_scalars", ("point",), """SELECT point_id, round(1 / (1 + exp(-jump_risk)), 6) AS risk, round(0.001::DOUBLE * 111.32::DOUBLE * cos(radians(lat)) * 0.001::DOUBLE * 110.54::DOUBLE * 1000, 6) AS area_k, least("row", col, 40 - 1 - "row", 50 - 1 - col) AS edge, round(least(abs(point_id % 366 - 100), 365.25 - abs(point_id % 366 - 100))::DOUBLE, 6) AS days, strftime(make_timestamp((point_id * 137 % 86400) * 1000000), '%H:%M:%S') AS clock FROM point""")
+def f12(points):
+    """F4, F8, F9, F12 and F14 over points."""
+    p = F.col("point_id")
+    return points.select("point_id", scalars.sigmoid(F.col("jump_risk")).alias("risk"), F.round(scalars.pixel_area_km2(F.col("lat"), 0.001, 0.001) * 1000, 6).alias("area_k"), scalars.edge_distance(F.col("row"), F.col("col"), F.lit(40), F.lit(50)).alias("edge"), scalars.cyclic_days(p % 366, F.lit(100)).alias("days"), scalars.clock(p * 137).alias("clock"))
