@@ -40,6 +40,8 @@ def search(rows: DataFrame, queries: DataFrame, *, k: int = 10) -> DataFrame:
     nearest segment (the first, if several are equally near), so none is seen twice in any round.
     Equal codes are one entry with its k smallest ids besides the query's own, so a code that a third of all rows
     share is one candidate.
+    All joins are merge joins: every side grows with the rows or the queries, and hash tables sent anew in each round
+    pile up on the driver.
     """
     ranked = F.row_number().over(Window.partitionBy("code").orderBy("id"))
     index = rows.withColumn("_n", ranked).where(F.col("_n") <= k + 1).groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids"))
@@ -56,12 +58,12 @@ def search(rows: DataFrame, queries: DataFrame, *, k: int = 10) -> DataFrame:
         flips = [sum(1 << b for b in c) for c in itertools.combinations(range(bits), r)]
         probes = open_.select("query_id", "q", keys(F.col("q")).alias("e")).select("query_id", "q", "e.part", F.col("e.key").alias("own"), F.explode(F.lit(flips).cast("array<bigint>")).alias("flip"))
         probes = probes.select("query_id", "q", "part", F.col("own").bitwiseXOR(F.col("flip")).alias("key"))
-        met = probes.join(entries, ["part", "key"])
+        met = probes.join(entries.hint("merge"), ["part", "key"])
         differ = F.col("q").bitwiseXOR(F.col("code"))
         near = [F.bit_count(segment(differ, j, bits)) for j in range(parts)]
         first = F.coalesce(*[F.when(near[j] == (F.least(*near) if parts > 1 else near[0]), F.lit(j)) for j in range(parts)])
         met = met.where(F.col("part") == first).select("query_id", "q", "code", F.bit_count(differ).alias("hamming"))
-        found = met.join(index, "code").select("query_id", "q", "hamming", F.explode("ids").alias("neighbour_id")).where("neighbour_id <> query_id")
+        found = met.join(index.hint("merge"), "code").select("query_id", "q", "hamming", F.explode("ids").alias("neighbour_id")).where("neighbour_id <> query_id")
         if state is not None:
             found = found.union(state.select(found.columns))
         order = Window.partitionBy("query_id", "q").orderBy("hamming", "neighbour_id")
@@ -71,9 +73,9 @@ def search(rows: DataFrame, queries: DataFrame, *, k: int = 10) -> DataFrame:
         if r == bits:
             done.append(best)
             break
-        done.append(best.join(closed, ["query_id", "q"], "left_semi"))
-        state = best.join(closed, ["query_id", "q"], "left_anti")
-        open_ = materialise(open_.join(closed, ["query_id", "q"], "left_anti"))
+        done.append(best.join(closed.hint("merge"), ["query_id", "q"], "left_semi"))
+        state = best.join(closed.hint("merge"), ["query_id", "q"], "left_anti")
+        open_ = materialise(open_.join(closed.hint("merge"), ["query_id", "q"], "left_anti"))
         if open_.isEmpty():
             break
     out = done[0]
