@@ -24,8 +24,31 @@ def binary_codes(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     return rows.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.col(id_col).alias("id"), code.alias("code"))
 
 
-def segment(code, k: int, bits: int):
-    return F.shiftrightunsigned(code, k * bits).bitwiseAND(F.lit((1 << min(bits, BITS - k * bits)) - 1).cast("long"))
+def widths(n: int) -> list[int]:
+    """Widths of the segments of a code for ``n`` codes, as equal as can be.
+
+    A key of w bits meets n / 2^w codes by chance.  A key costs a row that is made, dealt and sorted, as a candidate does,
+    so segments are two bits shorter than log2(n): each key brings a few candidates instead of one or none.
+    """
+    parts = max(1, round(BITS / max(1.0, math.log2(n) - 2)))
+    return [BITS // parts + (j < BITS % parts) for j in range(parts)]
+
+
+def segments(code, bits: list[int]):
+    """The segments of ``code``, from the lowest bits on."""
+    return [F.shiftrightunsigned(code, sum(bits[:j])).bitwiseAND(F.lit((1 << b) - 1 if b < BITS else -1).cast("long")) for j, b in enumerate(bits)]
+
+
+def steps(bits: list[int], most: int = 256):
+    """``(radius, first segment, after the last)`` in order: segments of one radius together while they make up to ``most`` keys a query."""
+    for r in range(max(bits) + 1):
+        at = 0
+        while at < len(bits):
+            end = at + 1
+            while end < len(bits) and sum(math.comb(b, r) for b in bits[at : end + 1]) <= most:
+                end += 1
+            yield r, at, end
+            at = end
 
 
 def search(rows: DataFrame, queries: DataFrame, *, k: int = 10) -> DataFrame:
@@ -34,51 +57,49 @@ def search(rows: DataFrame, queries: DataFrame, *, k: int = 10) -> DataFrame:
     ``rows`` and ``queries`` have ``id, code``.  Ties in distance go to the smaller id; a query does not find rows of
     its own id; fewer than ``k`` rows give fewer neighbours; repeated rows count one by one; no queries give no rows.
 
-    A code is cut into m segments of about log2(n) bits.  Round r looks up every segment of every open query with
-    exactly r bits flipped.  After it, all codes nearer than m (r + 1) have been seen, as one of their segments differs
-    in r bits or fewer; a query closes when its k-th verified distance is below that.  A code is taken only from its
-    nearest segment (the first, if several are equally near), so none is seen twice in any round.
+    A code is cut into m segments.  The radius grows segment by segment: a step looks up some segments of every open
+    query with exactly r bits flipped.  After segment a of radius r, all codes at a distance of up to m r + a have been
+    seen: a code further off in every segment looked up so far differs in more bits.  A query closes when its k-th
+    verified distance is within that.  A code is taken only from its nearest segment (the first, if several are equally
+    near), so none is seen twice in any step.
     Equal codes are one entry with its k smallest ids besides the query's own, so a code that a third of all rows
     share is one candidate.
-    All joins are merge joins: every side grows with the rows or the queries, and hash tables sent anew in each round
+    All joins are merge joins: every side grows with the rows or the queries, and hash tables sent anew in each step
     pile up on the driver.
     """
     ranked = F.row_number().over(Window.partitionBy("code").orderBy("id"))
     index = rows.withColumn("_n", ranked).where(F.col("_n") <= k + 1).groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     index = materialise(index)
-    n = max(2, index.count())
-    parts = max(1, round(BITS / math.log2(n)))
-    bits = -(-BITS // parts)
-    parts = -(-BITS // bits)
-    keys = lambda code: F.explode(F.array(*[F.struct(F.lit(j).alias("part"), segment(code, j, bits).alias("key")) for j in range(parts)]))
-    entries = materialise(index.select("code", keys(F.col("code")).alias("e")).select("code", "e.part", "e.key"))
+    bits = widths(max(2, index.count()))
+    parts = len(bits)
+    keyed = lambda code, js: F.explode(F.array(*[F.struct(F.lit(j).alias("part"), segments(code, bits)[j].alias("key")) for j in js]))
+    entries = materialise(index.select("code", keyed(F.col("code"), range(parts)).alias("e")).select("code", "e.part", "e.key"))
     open_ = materialise(queries.select(F.col("id").alias("query_id"), F.col("code").alias("q")).distinct())
-    done, state = [], None
-    for r in range(bits + 1):
-        flips = [sum(1 << b for b in c) for c in itertools.combinations(range(bits), r)]
-        probes = open_.select("query_id", "q", keys(F.col("q")).alias("e")).select("query_id", "q", "e.part", F.col("e.key").alias("own"), F.explode(F.lit(flips).cast("array<bigint>")).alias("flip"))
-        probes = probes.select("query_id", "q", "part", F.col("own").bitwiseXOR(F.col("flip")).alias("key"))
-        met = probes.join(entries.hint("merge"), ["part", "key"])
+    done, state, query = [], None, ["query_id", "q"]
+    for r, begin, end in steps(bits):
+        if not any(math.comb(b, r) for b in bits[begin:end]):
+            continue
+        flips = F.array(*[F.lit([sum(1 << x for x in c) for c in itertools.combinations(range(b), r)]).cast("array<bigint>") for b in bits[begin:end]])
+        probes = open_.select(*query, keyed(F.col("q"), range(begin, end)).alias("e"))
+        probes = probes.select(*query, "e.part", F.col("e.key").alias("own"), F.explode(F.get(flips, F.col("e.part") - begin)).alias("flip"))
+        probes = probes.select(*query, "part", F.col("own").bitwiseXOR(F.col("flip")).alias("key"))
+        met = probes.join(entries.where(F.col("part").between(begin, end - 1)).hint("merge"), ["part", "key"])
         differ = F.col("q").bitwiseXOR(F.col("code"))
-        near = [F.bit_count(segment(differ, j, bits)) for j in range(parts)]
+        near = [F.bit_count(x) for x in segments(differ, bits)]
         first = F.coalesce(*[F.when(near[j] == (F.least(*near) if parts > 1 else near[0]), F.lit(j)) for j in range(parts)])
-        met = met.where(F.col("part") == first).select("query_id", "q", "code", F.bit_count(differ).alias("hamming"))
-        found = met.join(index.hint("merge"), "code").select("query_id", "q", "hamming", F.explode("ids").alias("neighbour_id")).where("neighbour_id <> query_id")
+        met = met.where(F.col("part") == first).select(*query, "code", F.bit_count(differ).alias("hamming"))
+        found = met.join(index.hint("merge"), "code").select(*query, "hamming", F.explode("ids").alias("neighbour_id")).where("neighbour_id <> query_id")
         if state is not None:
             found = found.union(state.select(found.columns))
-        order = Window.partitionBy("query_id", "q").orderBy("hamming", "neighbour_id")
+        order = Window.partitionBy(*query).orderBy("hamming", "neighbour_id")
         best = materialise(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k))
-        kth = best.where(F.col("rank") == k).select("query_id", "q", "hamming")
-        closed = materialise(kth.where(F.col("hamming") < parts * (r + 1)).select("query_id", "q"))
-        if r == bits:
-            done.append(best)
-            break
-        done.append(best.join(closed.hint("merge"), ["query_id", "q"], "left_semi"))
-        state = best.join(closed.hint("merge"), ["query_id", "q"], "left_anti")
-        open_ = materialise(open_.join(closed.hint("merge"), ["query_id", "q"], "left_anti"))
+        closed = best.where((F.col("rank") == k) & (F.col("hamming") <= parts * r + end - 1)).select(*query)
+        open_ = materialise(open_.join(closed.hint("merge"), query, "left_anti"))
+        done.append(best.join(closed.hint("merge"), query, "left_semi"))
+        state = best.join(closed.hint("merge"), query, "left_anti")
         if open_.isEmpty():
             break
-    out = done[0]
-    for d in done[1:]:
+    out = state
+    for d in done:
         out = out.unionByName(d)
     return out.select("query_id", "rank", "neighbour_id", F.col("hamming").cast("int").alias("hamming"))
