@@ -61,7 +61,7 @@ def search(rows: DataFrame, queries: DataFrame, *, k: int = 10) -> DataFrame:
     query with exactly r bits flipped.  After segment a of radius r, all codes at a distance of up to m r + a have been
     seen: a code further off in every segment looked up so far differs in more bits.  A query closes when its k-th
     verified distance is within that.  A code is taken only from its nearest segment (the first, if several are equally
-    near), so none is seen twice in any step.
+    near), so none is seen twice in any step, and only if it is no further than the k-th verified so far.
     Equal codes are one entry with its k smallest ids besides the query's own, so a code that a third of all rows
     share is one candidate.
     All joins are merge joins: every side grows with the rows or the queries, and hash tables sent anew in each step
@@ -74,27 +74,30 @@ def search(rows: DataFrame, queries: DataFrame, *, k: int = 10) -> DataFrame:
     parts = len(bits)
     keyed = lambda code, js: F.explode(F.array(*[F.struct(F.lit(j).alias("part"), segments(code, bits)[j].alias("key")) for j in js]))
     entries = materialise(index.select("code", keyed(F.col("code"), range(parts)).alias("e")).select("code", "e.part", "e.key"))
-    open_ = materialise(queries.select(F.col("id").alias("query_id"), F.col("code").alias("q")).distinct())
+    open_ = materialise(queries.select(F.col("id").alias("query_id"), F.col("code").alias("q"), F.lit(BITS).alias("bound")).distinct())
     done, state, query = [], None, ["query_id", "q"]
     for r, begin, end in steps(bits):
         if not any(math.comb(b, r) for b in bits[begin:end]):
             continue
         flips = F.array(*[F.lit([sum(1 << x for x in c) for c in itertools.combinations(range(b), r)]).cast("array<bigint>") for b in bits[begin:end]])
-        probes = open_.select(*query, keyed(F.col("q"), range(begin, end)).alias("e"))
-        probes = probes.select(*query, "e.part", F.col("e.key").alias("own"), F.explode(F.get(flips, F.col("e.part") - begin)).alias("flip"))
-        probes = probes.select(*query, "part", F.col("own").bitwiseXOR(F.col("flip")).alias("key"))
+        probes = open_.select(*query, "bound", keyed(F.col("q"), range(begin, end)).alias("e"))
+        probes = probes.select(*query, "bound", "e.part", F.col("e.key").alias("own"), F.explode(F.get(flips, F.col("e.part") - begin)).alias("flip"))
+        probes = probes.select(*query, "bound", "part", F.col("own").bitwiseXOR(F.col("flip")).alias("key"))
         met = probes.join(entries.where(F.col("part").between(begin, end - 1)).hint("merge"), ["part", "key"])
         differ = F.col("q").bitwiseXOR(F.col("code"))
         near = [F.bit_count(x) for x in segments(differ, bits)]
         first = F.coalesce(*[F.when(near[j] == (F.least(*near) if parts > 1 else near[0]), F.lit(j)) for j in range(parts)])
-        met = met.where(F.col("part") == first).select(*query, "code", F.bit_count(differ).alias("hamming"))
+        met = met.where((F.bit_count(differ) <= F.col("bound")) & (F.col("part") == first)).select(*query, "code", F.bit_count(differ).alias("hamming"))
         found = met.join(index.hint("merge"), "code").select(*query, "hamming", F.explode("ids").alias("neighbour_id")).where("neighbour_id <> query_id")
         if state is not None:
             found = found.union(state.select(found.columns))
         order = Window.partitionBy(*query).orderBy("hamming", "neighbour_id")
         best = materialise(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k))
-        closed = best.where((F.col("rank") == k) & (F.col("hamming") <= parts * r + end - 1)).select(*query)
-        open_ = materialise(open_.join(closed.hint("merge"), query, "left_anti"))
+        kth = best.where(F.col("rank") == k).select(*query, F.col("hamming").alias("bound"))
+        covered = parts * r + end - 1
+        closed = kth.where(F.col("bound") <= covered)
+        seen = open_.drop("bound").join(kth.hint("merge"), query, "left").withColumn("bound", F.coalesce("bound", F.lit(BITS)))
+        open_ = materialise(seen.where(F.col("bound") > covered))
         done.append(best.join(closed.hint("merge"), query, "left_semi"))
         state = best.join(closed.hint("merge"), query, "left_anti")
         if open_.isEmpty():
