@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrapulse.adapters import DUCK, view
 from terrapulse.functions import scalars, stats
-from terrapulse.operators import components, neighbours, pairs, series, zones
+from terrapulse.operators import components, forecasts, neighbours, pairs, rasters, series, zones
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -378,3 +378,111 @@ def f12(points):
     """F4, F8, F9, F12 and F14 over points."""
     p = F.col("point_id")
     return points.select("point_id", scalars.sigmoid(F.col("jump_risk")).alias("risk"), F.round(scalars.pixel_area_km2(F.col("lat"), 0.001, 0.001) * 1000, 6).alias("area_k"), scalars.edge_distance(F.col("row"), F.col("col"), F.lit(40), F.lit(50)).alias("edge"), scalars.cyclic_days(p % 366, F.lit(100)).alias("days"), scalars.clock(p * 137).alias("clock"))
+
+
+_BOX = 'z AS (SELECT max("row") AS h, max(col) AS w FROM point), b AS (SELECT p."row", p.col, q.height_m AS x FROM point p, z, range(-2, 3) i(i), range(-2, 3) j(j) JOIN point q ON q."row" = greatest(0, least(h, p."row" + i)) AND q.col = greatest(0, least(w, p.col + j)))'
+
+
+@register("r01_box_mean", ("point",), _BOX + ' SELECT "row", col, round(avg(x), 6) AS mean FROM b GROUP BY ALL')
+def r01(points):
+    return rasters.box_mean(points, "height_m", 5)
+
+
+@register("r02_box_deviation", ("point",), _BOX + ' SELECT "row", col, round(stddev_pop(x), 4) AS deviation FROM b GROUP BY ALL')
+def r02(points):
+    return rasters.box_deviation(points, "height_m", 5).withColumn("deviation", F.round("deviation", 4))
+
+
+_CELLS = 'z AS (SELECT max("row") AS h, max(col) AS w, median(height_m) AS med FROM point), l AS (SELECT CAST(r AS INTEGER) AS "row", CAST(c AS INTEGER) AS col, med FROM (SELECT unnest(range(0, h + 1)) AS r, w, med FROM z), LATERAL (SELECT unnest(range(0, w + 1)) AS c)), x AS (SELECT "row", col, height_m, coalesce(height_m, med) AS x FROM l LEFT JOIN point USING ("row", col))'
+_SLOPE = "coalesce((lead(x) OVER {0} - lag(x) OVER {0}) / 2, lead(x) OVER {0} - x, x - lag(x) OVER {0}, 0)"
+
+
+@register("r03_gradient", ("point",), _CELLS + f', g AS (SELECT *, {_SLOPE.format("a")} AS gx, {_SLOPE.format("b")} AS gy FROM x WINDOW a AS (PARTITION BY "row" ORDER BY col), b AS (PARTITION BY col ORDER BY "row")) SELECT "row", col, round(sqrt(gx * gx + gy * gy), 6) AS gradient FROM g WHERE height_m IS NOT NULL')
+def r03(points):
+    return rasters.gradient(points, "height_m")
+
+
+@register("r04_neighbour_count", ("point",), 'p AS (SELECT "row", col, CAST(tcoh >= 0.7 AS INT) AS m FROM point) SELECT a."row", a.col, CAST(sum(b.m) - any_value(a.m) AS BIGINT) AS neighbours FROM p a JOIN p b ON abs(a."row" - b."row") <= 2 AND abs(a.col - b.col) <= 2 GROUP BY ALL')
+def r04(points):
+    return rasters.neighbour_count(points, F.col("tcoh") >= 0.7, 5)
+
+
+@register("r06_far_cells", ("point",), 'SELECT "row", col FROM point p WHERE NOT EXISTS (SELECT 1 FROM point s WHERE s.tcoh > 0.95 AND (s."row" - p."row") ** 2 + (s.col - p.col) ** 2 < 16)')
+def r06(points):
+    return rasters.far_from(points.select("row", "col"), points.where("tcoh > 0.95"), 4)
+
+
+_NEAR = '(abs(a."row" - b."row") <= 1 AND abs(a.col - b.col) <= 1)'
+
+
+@register("r07_closing", ("point",), f'd AS (SELECT DISTINCT a."row", a.col FROM point a JOIN point b ON {_NEAR} WHERE b.tcoh >= 0.5) SELECT a."row", a.col FROM d a JOIN d b ON {_NEAR} GROUP BY ALL HAVING count(*) = 9')
+def r07(points):
+    return rasters.closing(points.where("tcoh >= 0.5"), points)
+
+
+@register("r07_opening", ("point",), f'm AS (SELECT "row", col FROM point WHERE tcoh >= 0.1), d AS (SELECT a."row", a.col FROM m a JOIN m b ON {_NEAR} GROUP BY ALL HAVING count(*) = 9) SELECT DISTINCT a."row", a.col FROM point a JOIN d b ON {_NEAR}')
+def r07_opening(points):
+    return rasters.opening(points.where("tcoh >= 0.1"), points)
+
+
+@register("r08_filled", ("point",), None)
+def r08(points):
+    return rasters.fill_holes(points.where("tcoh < 0.75"), points, "tcoh")
+
+
+@register("r09_labels", ("point",), None)
+def r09(points):
+    return rasters.labels(points.where("tcoh >= 0.6"))
+
+
+@register("r10_propagated", ("point",), None)
+def r10(points):
+    return rasters.propagate(points.where("tcoh >= 0.95"), points.where("tcoh >= 0.7"))
+
+
+_SAMPLES = """w AS (SELECT *, count(*) OVER f AS n, coalesce(regr_slope(value_mm, day_offset) OVER p, 0) AS slope, avg(value_mm) OVER p AS y, avg(day_offset) OVER p AS x FROM obs WINDOW f AS (PARTITION BY point_id ORDER BY epoch_idx RANGE BETWEEN 11 PRECEDING AND 3 FOLLOWING), p AS (PARTITION BY point_id ORDER BY epoch_idx RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)),
+ s AS (SELECT w.point_id, w.epoch_idx AS window_end, o.epoch_idx - w.epoch_idx AS h, o.value_mm - w.value_mm AS target, y + slope * (o.day_offset - x) - w.value_mm AS line FROM w JOIN obs o ON o.point_id = w.point_id AND o.epoch_idx BETWEEN w.epoch_idx + 1 AND w.epoch_idx + 3 WHERE n = 15),
+ p AS (SELECT point_id, window_end, h, target, 'persistence' AS method, 0.0::DOUBLE AS p50 FROM s UNION ALL SELECT point_id, window_end, h, target, 'linear_trend', line FROM s),
+ q AS (SELECT method, h, quantile_cont(target - p50, 0.1) AS q10, quantile_cont(target - p50, 0.9) AS q90 FROM p GROUP BY ALL),
+ t AS (SELECT p.* EXCLUDE p50, list_sort([p50 + q10, p50, p50 + q90]) AS v FROM p JOIN q USING (method, h)), b AS (SELECT * EXCLUDE v, v[1] AS p10, v[2] AS p50, v[3] AS p90 FROM t)"""
+_SCORES = "round(avg(abs(p50 - target)), 6) AS mae, round(sqrt(avg((p50 - target) ** 2)), 6) AS rmse, round((avg(greatest(0.1 * (target - p10), -0.9 * (target - p10))) + avg(abs(target - p50) / 2) + avg(greatest(0.9 * (target - p90), -0.1 * (target - p90)))) / 3, 6) AS pinball, round(avg(CAST(target BETWEEN p10 AND p90 AS INT)), 6) AS coverage, round(abs(avg(CAST(target BETWEEN p10 AND p90 AS INT)) - 0.8), 6) AS coverage_error, round(avg(p90 - p10), 6) AS width, round(avg(p90 - p10 + 10 * greatest(0, p10 - target) + 10 * greatest(0, target - p90) + abs(p50 - target)), 6) AS wis_ref"
+
+
+def _banded(obs):
+    p = forecasts.baselines(forecasts.samples(obs))
+    return forecasts.with_bands(p, forecasts.bands(p))
+
+
+@register("fc04_samples", ("obs",), _SAMPLES + " SELECT point_id, window_end, CAST(h AS INTEGER) AS h, CAST(target AS DECIMAL(18, 8)) AS target FROM s")
+def fc04(obs):
+    return forecasts.samples(obs).select("point_id", "window_end", "h", F.col("target").cast("decimal(18,8)").alias("target"))
+
+
+@register("fc10_baselines", ("obs",), _SAMPLES + " SELECT point_id, window_end, CAST(h AS INTEGER) AS h, method, CAST(target AS DECIMAL(18, 8)) AS target, round(p50, 4) AS p50 FROM p")
+def fc10(obs):
+    return forecasts.baselines(forecasts.samples(obs)).withColumns({"target": F.col("target").cast("decimal(18,8)"), "p50": F.round("p50", 4)})
+
+
+@register("fc13_bands", ("obs",), _SAMPLES + " SELECT method, CAST(h AS INTEGER) AS h, round(q10, 6) AS q10, round(q90, 6) AS q90 FROM q")
+def fc13(obs):
+    return forecasts.bands(forecasts.baselines(forecasts.samples(obs)))
+
+
+@register("fc16_scores", ("obs",), _SAMPLES + f" SELECT method, CAST(coalesce(h, 0) AS INTEGER) AS h, {_SCORES} FROM b GROUP BY GROUPING SETS ((method, h), (method))")
+def fc16(obs):
+    return forecasts.scores(_banded(obs))
+
+
+_CORRECTION = _SAMPLES + """, k AS (SELECT method, h, greatest(p10 - target, target - p90, 0) AS score, row_number() OVER (PARTITION BY method, h ORDER BY greatest(p10 - target, target - p90, 0)) AS k, count(*) OVER (PARTITION BY method, h) AS n FROM b),
+ c AS (SELECT method, h, max(score) AS correction FROM k WHERE k = ceil(round((n - 1) * least(1, ceil((n + 1) * 0.8::DOUBLE) / n), 6)) + 1 GROUP BY ALL)"""
+
+
+@register("fc20_calibration", ("obs",), _CORRECTION + " SELECT method, CAST(h AS INTEGER) AS h, round(correction, 6) AS correction FROM c")
+def fc20(obs):
+    return forecasts.calibration(_banded(obs))
+
+
+@register("fc22_calibrated_scores", ("obs",), _CORRECTION + f", e AS (SELECT method, h, target, p50, p10 - correction AS p10, p90 + correction AS p90 FROM b JOIN c USING (method, h)) SELECT method, CAST(coalesce(h, 0) AS INTEGER) AS h, {_SCORES} FROM e GROUP BY GROUPING SETS ((method, h), (method))")
+def fc22(obs):
+    found = _banded(obs)
+    return forecasts.scores(forecasts.calibrated(found, forecasts.calibration(found)))

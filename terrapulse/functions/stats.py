@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapulse.functions.scalars import clip
@@ -34,3 +34,20 @@ def robust_z(df: DataFrame, col: str, out: str) -> DataFrame:
     df = with_stats(df, _mad=F.median(F.abs(x - F.col("_med"))))
     z = (x - F.col("_med")) / F.greatest(1.4826 * F.col("_mad"), F.lit(1e-3))
     return df.withColumn(out, F.coalesce(clip(z, -5.0, 8.0), F.lit(0.0))).drop("_med", "_mad")
+
+
+def order_statistic(df: DataFrame, keys: list[str], value: str, position, cuts: int = 200) -> DataFrame:
+    """The ``position``-th smallest ``value`` (from 1; an expression of the group's row count ``_n``) of each of a few groups.
+
+    Equal values are counted first, so a value that most rows share is one row.  Approximate cuts deal the values of a
+    group into buckets, whose counts tell which bucket holds the position; only that one is ranked.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    cut = counts.groupBy(*keys).agg(F.percentile_approx(value, [i / cuts for i in range(1, cuts)]).alias("_cuts"), F.sum("_c").alias("_n"))
+    placed = counts.join(cut, keys).withColumn("_at", position).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    sizes = placed.groupBy(*keys, "_at", "_b").agg(F.sum("_c").alias("_size"))
+    sizes = sizes.withColumn("_end", F.sum("_size").over(Window.partitionBy(*keys).orderBy("_b")))
+    hit = sizes.where((F.col("_at") <= F.col("_end")) & (F.col("_at") > F.col("_end") - F.col("_size"))).select(*keys, "_b", (F.col("_end") - F.col("_size")).alias("_before"))
+    inside = placed.join(hit, [*keys, "_b"])
+    rank = F.col("_before") + F.sum("_c").over(Window.partitionBy(*keys).orderBy(value))
+    return inside.withColumn("_r", rank).where(F.col("_r") >= F.col("_at")).groupBy(*keys).agg(F.min(value).alias(value))
