@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrapulse.adapters import DUCK, view
 from terrapulse.functions import scalars, stats
-from terrapulse.operators import components, forecasts, neighbours, pairs, rasters, series, zones
+from terrapulse.operators import components, feedback, forecasts, neighbours, pairs, rasters, series, zones
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -486,3 +486,81 @@ def fc20(obs):
 def fc22(obs):
     found = _banded(obs)
     return forecasts.scores(forecasts.calibrated(found, forecasts.calibration(found)))
+
+
+_FEED = _MAIN + ", " + _FIT + ", " + _SCORE + f""", x AS (SELECT date1, date2, {_OK} AS ok, {_OK} AND coalesce(cc = main_cc, false) AS main, abs(unw * 0.05546576::DOUBLE / (4 * pi()) * 1000 - slope * datediff('day', strptime(date1, '%Y%m%d'), strptime(date2, '%Y%m%d')) / 365.25::DOUBLE) AS res
+ FROM pair_pixel JOIN s USING (point_id) JOIN g USING (point_id) LEFT JOIN mc USING (date1, date2) WHERE ps_score >= 0.6),
+ m AS (SELECT date1, date2, 1 - avg(CAST(ok AS INT)) AS bad_ratio, avg(CAST(main AS INT)) AS main_cc_coverage, coalesce(avg(CAST(res > 28 AS INT)) FILTER (ok), 1) AS unwrap_jump_index, median(res) FILTER (ok) AS median_residual FROM x GROUP BY ALL)"""
+_ROUND1 = _FEED + """, lim AS (SELECT quantile_cont(median_residual, 0.05) AS a, quantile_cont(median_residual, 0.95) AS b FROM m), k AS (SELECT m.*, CASE WHEN median_residual IS NULL THEN 0 ELSE 1 - CASE WHEN b > a THEN least(1, greatest(0, (median_residual - a) / (b - a))) ELSE 0 END END AS consistency FROM m, lim),
+ r1 AS (SELECT date1, date2, coalesce(consistency, 0) AS consistency, coalesce(0.30 * (1 - bad_ratio) + 0.25 * main_cc_coverage + 0.20 * (1 - unwrap_jump_index) + 0.15 * consistency + 0.10, 0) AS q1 FROM (SELECT DISTINCT date1, date2 FROM pair_pixel) LEFT JOIN k USING (date1, date2))"""
+_ACT = "CASE WHEN {0} >= 0.75 THEN 'keep' WHEN {0} >= 0.5 THEN 'downweight' ELSE 'drop' END"
+
+
+def _pair_metrics(pixels, obs, points):
+    good = _scored_points(points).where("point_class <> 'none'").select("point_id")
+    return feedback.pair_metrics(feedback.pair_residuals(pixels, series.trend(obs).join(good, "point_id", "left_semi")))
+
+
+@register("a13_trusted_pair_metrics", ("pair_pixel", "obs", "point"), _FEED + " SELECT date1, date2, round(bad_ratio, 6) AS bad_ratio, round(main_cc_coverage, 6) AS main_cc_coverage, round(unwrap_jump_index, 6) AS unwrap_jump_index, round(median_residual, 6) AS median_residual FROM m")
+def a13(pixels, obs, points):
+    """Over strict and relaxed points, as the test tables have series of few points."""
+    return _pair_metrics(pixels, obs, points)
+
+
+@register("a14_first_round", ("pair_pixel", "obs", "point"), _ROUND1 + f" SELECT date1, date2, round(consistency, 6) AS consistency, round(q1, 6) AS q_round1, {_ACT.format('q1')} AS action_round1 FROM r1")
+def a14(pixels, obs, points):
+    return feedback.first_round(pixels.select("date1", "date2").distinct(), _pair_metrics(pixels, obs, points)).select("date1", "date2", "consistency", "q_round1", "action_round1")
+
+
+_FLAGS = """, dq AS (SELECT date, median(abs(value_mm - intercept - slope * day_offset / 365.25::DOUBLE)) AS a, avg(CAST(abs(value_mm - intercept - slope * day_offset / 365.25::DOUBLE) > 10 AS INT)) AS f FROM obs JOIN g USING (point_id) GROUP BY date),
+ fl AS (SELECT date FROM (SELECT date, row_number() OVER (ORDER BY round(a, 9) DESC, date) AS ra, row_number() OVER (ORDER BY round(f, 9) DESC, date) AS rf, ceil(count(*) OVER () * (1 - 0.9::DOUBLE)) AS top FROM dq) WHERE ra <= top OR rf <= top),
+ ce AS (SELECT point_id, least(9, floor("row" / ((SELECT max("row") FROM point) + 1)::DOUBLE * 10)) AS rb, least(9, floor(col / ((SELECT max(col) FROM point) + 1)::DOUBLE * 10)) AS cb FROM point),
+ cn AS (SELECT date, rb, cb, sum(CAST(abs(value_mm - intercept - slope * day_offset / 365.25::DOUBLE) > 10 AS INT)) AS n FROM obs JOIN g USING (point_id) JOIN ce USING (point_id) GROUP BY ALL),
+ sc AS (SELECT strftime(date, '%Y%m%d') AS date, CASE WHEN c <= 0.2 THEN 'global' WHEN c <= 0.4 THEN 'mixed' ELSE 'local' END AS scope FROM (SELECT date, CASE WHEN sum(n) = 0 THEN 0 ELSE max(n) / CAST(sum(n) AS DOUBLE) END AS c FROM cn GROUP BY date) JOIN fl USING (date))"""
+
+
+@register("a20_second_round", ("pair_pixel", "obs", "point"), _ROUND1 + _FLAGS + f""", pe AS (SELECT r1.*, least(0.2, coalesce(CASE a.scope WHEN 'global' THEN 0.1 WHEN 'mixed' THEN 0.05 WHEN 'local' THEN 0.025 END, 0) + coalesce(CASE b.scope WHEN 'global' THEN 0.1 WHEN 'mixed' THEN 0.05 WHEN 'local' THEN 0.025 END, 0) + CASE WHEN consistency < 0.5 THEN 0.1 ELSE 0 END)::DOUBLE AS penalty FROM r1 LEFT JOIN sc a ON date1 = a.date LEFT JOIN sc b ON date2 = b.date)
+ SELECT date1, date2, round(penalty, 6) AS penalty, round(greatest(0, q1 - penalty), 6) AS q_round2, {_ACT.format("greatest(0, q1 - penalty)")} AS action FROM pe""")
+def a20(pixels, obs, points):
+    """Both rounds; what is returned is the final choice."""
+    one = feedback.first_round(pixels.select("date1", "date2").distinct(), _pair_metrics(pixels, obs, points))
+    flagged = series.flag_dates(series.date_quality(obs)).where("flagged").select("date").join(series.concentration(obs, points), "date")
+    two = feedback.second_round(one, flagged.select(F.date_format("date", "yyyyMMdd").alias("date"), feedback.scope(F.col("concentration")).alias("scope")))
+    return two.select("date1", "date2", "penalty", "q_round2").join(feedback.final(two).select("date1", "date2", "action"), ["date1", "date2"])
+
+
+@register("p15_coverage_warnings", ("point",), _SCORE + ", n AS (SELECT count(*) FILTER (ps_score >= 0.75) AS strict, count(*) FILTER (ps_score >= 0.6 AND ps_score < 0.75) AS relaxed, greatest(1, count(*)) AS n FROM s) SELECT strict, relaxed, concat_ws(',', CASE WHEN strict / n < 0.005 OR strict < 2000 THEN 'too_sparse' END, CASE WHEN strict / n > 0.2 THEN 'strict_too_loose' END, CASE WHEN (strict + relaxed) / n > 0.4 THEN 'strict_relaxed_too_loose' END) AS reasons FROM n")
+def p15(points):
+    return feedback.coverage_warnings(_scored_points(points))
+
+
+@register("p16_zone_type", ("obs", "point"), _FIT + ", z AS (SELECT col % 10 AS zone, slope FROM g JOIN point USING (point_id)) SELECT zone, CASE WHEN avg(CAST(slope > 0 AS INT)) > 0.25 AND avg(CAST(slope < 0 AS INT)) > 0.25 THEN 'mixed' WHEN median(slope) < -1 THEN 'subsidence' WHEN median(slope) > 1 THEN 'uplift' ELSE 'mixed' END AS zone_type FROM z GROUP BY zone")
+def p16(obs, points):
+    return feedback.zone_type(series.trend(obs).join(points, "point_id").select((F.col("col") % 10).alias("zone"), F.col("slope").alias("velocity")))
+
+
+@register("ts08_anomaly_exposure", ("obs",), _DELTA + ", m AS (SELECT epoch_idx, median(abs(delta)) AS m FROM d WHERE delta IS NOT NULL GROUP BY epoch_idx), e AS (SELECT point_id, avg(abs(delta)) FILTER (epoch_idx IN (SELECT epoch_idx FROM m WHERE m > (SELECT quantile_cont(m, 0.8) FROM m))) AS x FROM d GROUP BY point_id), l AS (SELECT quantile_cont(x, 0.05) AS a, quantile_cont(x, 0.95) AS b FROM e) SELECT point_id, round(CASE WHEN x IS NULL OR b <= a THEN 0 ELSE least(1, greatest(0, (x - a) / (b - a))) END, 6) AS exposure FROM e, l")
+def ts08(obs):
+    return feedback.anomaly_exposure(series.steps(obs), series.loud_epochs(obs))
+
+
+@register("ts11_without_height", ("obs", "point"), "r AS (SELECT obs.*, height_m FROM obs JOIN point USING (point_id)), f AS (SELECT epoch_idx, coalesce(regr_slope(value_mm, height_m), 0) AS b, avg(height_m) AS h, avg(value_mm) AS v FROM r GROUP BY epoch_idx) SELECT point_id, epoch_idx, round(value_mm - v - b * (height_m - h), 4) AS value_mm FROM r JOIN f USING (epoch_idx)")
+def ts11(obs, points):
+    return feedback.without_height(obs, points).withColumn("value_mm", F.round("value_mm", 4))
+
+
+@register("ts12_without_ramp", ("obs", "point"), """r AS (SELECT obs.*, "row" AS y, col AS x FROM obs JOIN point USING (point_id)), f AS (SELECT epoch_idx, var_pop(y) AS yy, covar_pop(x, y) AS xy, var_pop(x) AS xx, covar_pop(value_mm, y) AS yv, covar_pop(value_mm, x) AS xv, avg(y) AS y0, avg(x) AS x0, avg(value_mm) AS v0 FROM r GROUP BY epoch_idx)
+ SELECT point_id, epoch_idx, round(value_mm - v0 - CASE WHEN yy * xx - xy * xy > 1e-9 THEN ((yv * xx - xv * xy) * (y - y0) + (xv * yy - yv * xy) * (x - x0)) / (yy * xx - xy * xy) ELSE 0 END, 4) AS value_mm FROM r JOIN f USING (epoch_idx)""")
+def ts12(obs, points):
+    return feedback.without_ramp(obs, points).withColumn("value_mm", F.round("value_mm", 4))
+
+
+@register("g14_neighbour_summaries", ("point", "obs"), _XY + ", k AS (SELECT src, dst FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY round(dist_m, 6), dst) AS rank FROM e) WHERE rank <= 8), " + _DELTA + " SELECT src AS point_id, epoch_idx, round(avg(value_mm), 4) AS mean_mm, round(avg(delta), 4) AS mean_delta, round(stddev_pop(delta), 4) AS deviation_delta FROM k JOIN d ON d.point_id = dst GROUP BY src, epoch_idx")
+def g14(points, obs):
+    found = neighbours.summaries(neighbours.nearest(points, 8, cell=150.0), series.steps(obs))
+    return found.select("point_id", "epoch_idx", *[F.round(c, 4).alias(c) for c in ("mean_mm", "mean_delta", "deviation_delta")])
+
+
+@register("j16_boundary", ("point",), _XY + ", " + _SCORE + " SELECT DISTINCT dst AS point_id FROM e JOIN s ON src = s.point_id AND ps_score >= 0.75 WHERE dist_m <= 120 AND dst NOT IN (SELECT point_id FROM s WHERE ps_score >= 0.75)")
+def j16(points):
+    return neighbours.boundary(neighbours.within_radius(points, 120.0), _scored_points(points).where("point_class = 'strict'"))

@@ -1,4 +1,4 @@
-"""Exact neighbour joins over points, by grid cells."""
+"""Exact neighbour joins over points, by grid cells."""
 
 from __future__ import annotations
 
@@ -60,3 +60,15 @@ def nearest(points: DataFrame, k: int, *, cell: float, max_rounds: int = 12) ->
     for d in done[1:]:
         out = out.union(d)
     return out
+
+
+def summaries(edges: DataFrame, steps: DataFrame) -> DataFrame:
+    """By ``src`` and epoch the mean displacement, mean step and population deviation of steps of its neighbours."""
+    met = edges.select("src", F.col("dst").alias("point_id")).join(steps, "point_id")
+    return met.groupBy(F.col("src").alias("point_id"), "epoch_idx").agg(F.avg("value_mm").alias("mean_mm"), F.avg("delta").alias("mean_delta"), F.stddev_pop("delta").alias("deviation_delta"))
+
+
+def boundary(edges: DataFrame, members: DataFrame) -> DataFrame:
+    """Points outside the set ``members`` (point_id) next to one of it."""
+    out = edges.join(members.select(F.col("point_id").alias("src")), "src", "left_semi").select(F.col("dst").alias("point_id")).distinct()
+    return out.join(members.select("point_id"), "point_id", "left_anti")
