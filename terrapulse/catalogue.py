@@ -564,3 +564,8 @@ def g14(points, obs):
 @register("j16_boundary", ("point",), _XY + ", " + _SCORE + " SELECT DISTINCT dst AS point_id FROM e JOIN s ON src = s.point_id AND ps_score >= 0.75 WHERE dist_m <= 120 AND dst NOT IN (SELECT point_id FROM s WHERE ps_score >= 0.75)")
 def j16(points):
     return neighbours.boundary(neighbours.within_radius(points, 120.0), _scored_points(points).where("point_class = 'strict'"))
+
+
+@register("f13_buffer_radius", ("point",), 'a AS (SELECT median(abs(q.lon - p.lon)) AS x FROM point p JOIN point q ON p."row" = q."row" AND q.col = p.col + 1 WHERE q.lon <> p.lon), b AS (SELECT median(abs(q.lat - p.lat)) AS y FROM point p JOIN point q ON p.col = q.col AND q."row" = p."row" + 1 WHERE q.lat <> p.lat) SELECT round(0.62 * greatest(coalesce(x, 0), coalesce(y, 0), 3e-4), 6) AS radius FROM a, b')
+def f13(points):
+    return rasters.buffer_radius(points)

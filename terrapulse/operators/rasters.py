@@ -1,4 +1,4 @@
-"""Neighbourhood operators on pixel tables (row, col): window sums, gradients, morphology, labels."""
+"""Neighbourhood operators on pixel tables (row, col): window sums, gradients, morphology, labels."""
 
 from __future__ import annotations
 
@@ -137,3 +137,13 @@ def propagate(seeds: DataFrame, mask: DataFrame) -> DataFrame:
     """Cells of the mask that a path of its cells joins to a seed, and the seeds."""
     parts = labels(mask.select(*CELL).union(seeds.select(*CELL)))
     return parts.join(parts.join(seeds.select(*CELL), CELL, "left_semi").select("label").distinct(), "label", "left_semi").select(*CELL)
+
+
+def buffer_radius(points: DataFrame, least: float = 3e-4) -> DataFrame:
+    """0.62 of the larger median step between neighbouring cells in longitude and latitude, which counts as ``least`` at least."""
+    along = Window.partitionBy("row").orderBy("col")
+    down = Window.partitionBy("col").orderBy("row")
+    step = lambda c, axis, w: F.when(F.lead(axis).over(w) == F.col(axis) + 1, F.abs(F.lead(c).over(w) - F.col(c)))
+    df = points.select(step("lon", "col", along).alias("a"), step("lat", "row", down).alias("b"))
+    median = lambda c: F.coalesce(F.median(F.when(F.col(c) > 0, F.col(c))), F.lit(0.0))
+    return df.agg((0.62 * F.greatest(median("a"), median("b"), F.lit(least))).alias("radius"))
