@@ -1,4 +1,8 @@
-"""Cross-entropy difference of two word-bigram models that share a vocabulary."""
+"""Cross-entropy difference of two word-bigram models that share a vocabulary.
+
+All documents and all of the target are counted, every bigram by itself.  Bigrams are dealt by hash into parts, in training and
+in scoring alike; a part is a row of sorted arrays, and the tokens of the documents go to the parts that hold their counts.
+"""
 
 from __future__ import annotations
 
@@ -7,55 +11,106 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrapulse.llm._text import hashed_words, mix, slices
+from terrapulse.session import materialise
 
-#: The most frequent words of the corpus are the vocabulary; all others are one unknown word.
-VOCABULARY = 1 << 16
-#: Bigrams are counted in so many hashed slots, in both models alike.
-SLOTS = 1 << 19
-#: Bound of the target sample, documents.
-TARGET_DOCS = 20_000
+#: Words that occur so often are the vocabulary; all others are one unknown word.
+MIN_COUNT = 2
+#: Tokens of the corpus for each part of the bigram table.
+PART_TOKENS = 1_500_000
+#: So many target ids are sent to every task; more are joined by a shuffle of the texts, with the same result.
+SENT_IDS = 2_000_000
 #: Weight of the unigram estimate, in words.
 PRIOR = 100.0
-#: Distinct words that a task holds before it passes their counts on.
-HELD = 1_000_000
+#: Distinct words, or bigrams, that a task holds before it passes their counts on.
+HELD = 400_000
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def joined(held):
-        h, n = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
-        u, at = np.unique(h, return_inverse=True)
-        return u, np.bincount(at, weights=n).astype(np.int64)
+#: Texts that a task takes at once, bytes.
+PIECE = 1 << 20
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """The bytes of numbers by place, so that the leading zeros of all lie together and compress."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def _unpacked(x: pa.Scalar, kind: type) -> np.ndarray:
+    return np.frombuffer(x.as_buffer(), np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
 
-    def out(u, n):
-        for i in range(0, len(u), 1 << 17):
-            yield pa.RecordBatch.from_arrays([pa.array(u[i : i + (1 << 17)].view(np.int64)), pa.array(n[i : i + (1 << 17)])], names=["word", "n"])
 
+def _summed(key: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of the rows of ``counts`` that belong to each."""
+    if not len(key):
+        return key, counts
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return key[first], np.add.reduceat(counts[order], first, axis=0, dtype=counts.dtype)
+
+
+def _joined(held: list) -> tuple[np.ndarray, np.ndarray]:
+    return _summed(np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]))
+
+
+def _combined(pieces: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Counts of many pieces, summed as far as ``HELD`` keys allow."""
     held, size = [], 0
-    for batch in batches:
-        for _, texts in slices(batch.column(0)):
-            held.append(np.unique(hashed_words(texts)[0], return_counts=True))
-            size += len(held[-1][0])
-            if size > 2 * HELD:
-                held = [joined(held)]
-                size = len(held[0][0])
-                if size > HELD:
-                    yield from out(*held[0])
-                    held, size = [], 0
+    for piece in pieces:
+        held.append(_summed(*piece))
+        size += len(held[-1][0])
+        if size > 2 * HELD:
+            held = [_joined(held)]
+            size = len(held[0][0])
+            if size > HELD:
+                yield held[0]
+                held, size = [], 0
     if held:
-        yield from out(*joined(held))
+        yield _joined(held)
+
+
+def _both(inside: np.ndarray) -> np.ndarray:
+    return np.stack([inside.astype(np.int32), np.ones(len(inside), np.int32)], axis=1)
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    for batch in batches:
+        chosen = np.array([bool(x) for x in batch.column("in_target").to_pylist()], bool)
+        for start, texts in slices(batch.column("text"), PIECE):
+            yield texts, chosen[start : start + len(texts)]
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, target count, count); the null word counts the texts that have words."""
+    starts = np.zeros(2, np.int64)
+
+    def pieces():
+        for texts, chosen in _texts(batches):
+            h, n = hashed_words(texts)
+            starts[:] += _both(chosen[n > 0]).sum(0)
+            yield h, _both(np.repeat(chosen, n))
+
+    def batch(words, counts):
+        return pa.RecordBatch.from_arrays([words, *[pa.array(counts[:, m].astype(np.int64)) for m in (0, 1)]], names=["word", "t", "b"])
+
+    for u, counts in _combined(pieces()):
+        for i in range(0, len(u), 1 << 17):
+            yield batch(pa.array(u[i : i + (1 << 17)].view(np.int64)), counts[i : i + (1 << 17)])
+    yield batch(pa.array([None], pa.int64()), starts[None])
 
 
 @dataclass
-class Model:
-    """Counts of both models: column 0 is the target, column 1 the background."""
+class Vocabulary:
+    """Words and their counts in both models: column 0 is the target, column 1 the background."""
 
     words: np.ndarray  # sorted hashes of the vocabulary
     unigrams: np.ndarray  # (vocabulary + 2, 2); the last two rows are the unknown word and the start of a text
-    bigrams: np.ndarray  # (slots, 2)
+    parts: int  # of the bigram table
+    slots: int | None  # bigrams are folded into so many, where given
 
     def ids(self, words: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.words, words), max(0, len(self.words) - 1))
@@ -70,84 +125,160 @@ class Model:
         before[starts] = len(self.words) + 1
         return before, w, n
 
-    def slot(self, before: np.ndarray, w: np.ndarray) -> np.ndarray:
-        return (mix(before.astype(np.uint64) * np.uint64(len(self.words) + 2) + w.astype(np.uint64) + np.uint64(1)) & np.uint64(len(self.bigrams) - 1)).astype(np.int64)
+    def key(self, before: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """The bigram as one number, which is exact without ``slots``."""
+        key = before.astype(np.int64) * (len(self.words) + 2) + w
+        return (mix(key.view(np.uint64) + np.uint64(1)) & np.uint64(self.slots - 1)).astype(np.int64) if self.slots else key
 
-    def entropies(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(texts, 2) bits per token under the target and the background model, and tokens per text."""
-        before, w, n = self.tokens(texts)
-        doc = np.repeat(np.arange(len(texts)), n)
-        slot = self.slot(before, w)
+    def part(self, key: np.ndarray) -> np.ndarray:
+        return (mix(key.view(np.uint64) ^ np.uint64(0xB16)) % np.uint64(self.parts)).astype(np.int32)
+
+    def by_part(self, key: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Each part that occurs, and where, in order."""
+        part = self.part(key)
+        order = np.argsort(part, kind="stable")
+        used, first = np.unique(part[order], return_index=True)
+        return zip(used.tolist(), np.split(order, first[1:]), strict=True) if len(used) else iter(())
+
+    def bits(self, before: np.ndarray, w: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """(tokens, 2) bits under both models, of which the background is scaled to the size of the target."""
         total = self.unigrams[: len(self.words) + 1].sum(0)
-        out = np.full((len(texts), 2), np.nan)
-        for m in (0, 1):
-            single = (self.unigrams[w, m] + 1.0) / (total[m] + len(self.words) + 1.0)
-            p = (np.minimum(self.bigrams[slot, m], self.unigrams[before, m]) + PRIOR * single) / (self.unigrams[before, m] + PRIOR)
-            out[:, m] = np.bincount(doc, weights=-np.log2(p), minlength=len(texts)) / np.where(n > 0, n, np.nan)
-        return out, n
+        scale = np.array([1.0, total[0] / total[1] if total[0] else 1.0])
+        single = (self.unigrams[w] * scale + 1.0) / (total * scale + len(self.words) + 1.0)
+        context = self.unigrams[before] * scale
+        return -np.log2((np.minimum(found * scale, context) + PRIOR * single) / (context + PRIOR))
+
+
+@dataclass
+class Model:
+    vocabulary: Vocabulary
+    bigrams: DataFrame  # part, and the steps between its keys in order with their target and background counts, as packed 8-byte integers
 
+    @property
+    def unigrams(self) -> np.ndarray:
+        return self.vocabulary.unigrams
 
-def train(docs: DataFrame, target: DataFrame, *, vocabulary: int = VOCABULARY, slots: int = SLOTS, target_docs: int = TARGET_DOCS) -> Model:
-    """Background counts of every document; target counts of the documents whose ``doc_id`` is in ``target``.
 
-    Of ``target`` about ``target_docs`` ids are taken, by a hash.  The vocabulary and the counts, whose sizes are fixed
-    by ``vocabulary`` and ``slots``, reach the driver.
+def _sum_part(key: tuple, table: pa.Table) -> pa.Table:
+    keys = np.concatenate([np.cumsum(_unpacked(x, np.int64)) for x in table.column("keys")])
+    counts = [np.concatenate([_unpacked(x, np.int32) for x in table.column(c)]) for c in ("t", "b")]
+    u, counts = _summed(keys, np.stack(counts, axis=1).astype(np.int64))
+    return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "keys": [_packed(np.diff(u, prepend=0))], "t": [_packed(counts[:, 0])], "b": [_packed(counts[:, 1])]})
+
+
+def train(docs: DataFrame, target: DataFrame, *, vocabulary: int | None = None, slots: int | None = None, min_count: int = MIN_COUNT, part_tokens: int = PART_TOKENS) -> Model:
+    """Background counts of every document; target counts of every document whose ``doc_id`` is in ``target``.
+
+    The vocabulary, every word that occurs ``min_count`` times, reaches the driver and the tasks with its counts; bigrams stay
+    distributed.  ``vocabulary`` bounds it to the most frequent words and ``slots`` folds the bigrams, where they are given.
     """
     spark = docs.sparkSession
-    text = F.col("text").cast("binary").alias("text")
-    counted = docs.select(text).mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    words = np.sort(counted.orderBy(F.desc("n"), "word").limit(vocabulary).select("word").toPandas()["word"].to_numpy(np.int64).view(np.uint64))
-    blank = Model(words, np.zeros((len(words) + 2, 2)), np.zeros((slots, 2), np.float32))
-    sent = spark.sparkContext.broadcast(blank)
-    target = target.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-    share = min(1.0, target_docs / max(1, target.count()))
-    target = target.where(F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 20)) < share * (1 << 20)).withColumn("in_target", F.lit(True))
+    target = target.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().withColumn("in_target", F.lit(True))
+    target = F.broadcast(target) if target.count() <= SENT_IDS else target
+    marked = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(target, "doc_id", "left").select("text", "in_target")
+    counted = materialise(marked.mapInArrow(_count_words, "word long, t long, b long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("b").alias("b")))
+    named = counted.where("word IS NOT NULL")
+    chosen = named.where(F.col("b") >= min_count)
+    if vocabulary is not None:
+        chosen = chosen.orderBy(F.desc("b"), "word").limit(vocabulary)
+    chosen = chosen.toArrow()
+    sums = lambda df: np.array([x or 0 for x in df.agg(F.sum("t"), F.sum("b")).first()], float)
+    total = sums(named)
+    words = chosen.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    counts = np.stack([chosen.column(c).to_numpy()[order] for c in ("t", "b")], axis=1).astype(float)
+    del chosen
+    unigrams = np.concatenate([counts, [total - counts.sum(0)], [sums(counted.where("word IS NULL"))]])
+    terms = Vocabulary(words[order], unigrams, max(1, -int(-total[1] // part_tokens)), slots)
+    sent = spark.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        uni, bi = np.zeros((len(model.unigrams), 2), np.int64), np.zeros((slots, 2), np.int32)
-        for batch in batches:
-            chosen = np.array([bool(x) for x in batch.column("in_target").to_pylist()])
-            for start, texts in slices(batch.column("text")):
-                before, w, n = model.tokens(texts)
-                inside = np.repeat(chosen[start : start + len(texts)], n)
-                slot = model.slot(before, w)
-                first = before == len(model.words) + 1
-                for m, keep in ((0, inside), (1, slice(None))):
-                    uni[:, m] += np.bincount(w[keep], minlength=len(uni))
-                    uni[-1, m] += int(first[keep].sum())
-                    bi[:, m] += np.bincount(slot[keep], minlength=slots).astype(np.int32)
-        for kind, table in ((0, uni), (1, bi)):
-            at = np.flatnonzero(table[:, 1])
-            for i in range(0, len(at), 1 << 17):
-                a = at[i : i + (1 << 17)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a.astype(np.int32)), pa.array(table[a, 0].astype(np.int64)), pa.array(table[a, 1].astype(np.int64))], names=["kind", "at", "t", "b"])
-
-    counts = docs.select("doc_id", text).join(F.broadcast(target), "doc_id", "left").select("text", "in_target").mapInArrow(run, "kind int, at int, t long, b long")
-    found = counts.groupBy("kind", "at").agg(F.sum("t").alias("t"), F.sum("b").alias("b")).toPandas()
-    for kind, table in ((0, blank.unigrams), (1, blank.bigrams)):
-        part = found[found["kind"] == kind]
-        table[part["at"].to_numpy()] = part[["t", "b"]].to_numpy()
-    return Model(blank.words, blank.unigrams, blank.bigrams)
+        v = sent.value
+
+        def pieces():
+            for texts, inside in _texts(batches):
+                before, w, n = v.tokens(texts)
+                yield v.key(before, w), _both(np.repeat(inside, n))
+
+        for key, counts in _combined(pieces()):
+            rows = [(p, _packed(np.diff(key[at], prepend=0)), _packed(counts[at, 0]), _packed(counts[at, 1])) for p, at in v.by_part(key)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)], names=["part", "keys", "t", "b"])
+
+    schema = "part int, keys binary, t binary, b binary"
+    return Model(terms, materialise(marked.mapInArrow(run, schema).groupBy("part").applyInArrow(_sum_part, schema)))
+
+
+_COUNTS, _TOKENS, _TEXTS = 0, 1, 2
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``n_tokens``, bits per token under both models, and their difference ``score`` (lower: more like the target).
 
     Whole texts are read.  A text without words, or null, has 0 tokens and null figures; repeated rows are scored one by
-    one; with an empty target its model is uniform.
+    one; with an empty target its model is uniform.  The tokens of a block of texts go to the parts of the bigram table, which
+    follow their counts in the order of a partition, and come back as sums a text.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model.vocabulary)
+    kept = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    kind = dict(kept.dtypes)["doc_id"]
+    schema = f"kind int, part int, block long, a binary, b binary, c binary, ids array<{kind}>"
+    names = ["kind", "part", "block", "a", "b", "c", "ids"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch_of(rows: list, ids: pa.DataType) -> pa.RecordBatch:
+        types = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), ids)
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, block = sent.value, TaskContext.get().partitionId() << 32
         for batch in batches:
-            parts = [sent.value.entropies(texts) for _, texts in slices(batch.column("text"))]
-            bits = np.concatenate([p[0] for p in parts]) if parts else np.zeros((0, 2))
-            n = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
-            none = n == 0
-            cols = [pa.array(x, pa.float64(), mask=none) for x in (bits[:, 0], bits[:, 1], bits[:, 0] - bits[:, 1])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n.astype(np.int64)), *cols], names=["doc_id", "n_tokens", "target_bits", "background_bits", "score"])
+            ids = batch.column("doc_id")
+            for start, texts in slices(batch.column("text"), PIECE):
+                before, w, n = v.tokens(texts)
+                doc = np.repeat(np.arange(len(texts), dtype=np.int32), n)
+                before, w = before.astype(np.int32), w.astype(np.int32)
+                rows = [(_TOKENS, p, block, _packed(before[at]), _packed(w[at]), _packed(np.diff(doc[at], prepend=np.int32(0))), None) for p, at in v.by_part(v.key(before, w))]
+                rows.append((_TEXTS, block % v.parts, block, n.astype(np.int64).tobytes(), None, None, ids[start : start + len(texts)].to_pylist()))
+                yield batch_of(rows, pa.list_(ids.type))
+                block += 1
 
-    kept = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    kind = dict(kept.dtypes)["doc_id"]
-    return kept.mapInArrow(run, f"doc_id {kind}, n_tokens long, target_bits double, background_bits double, score double")
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, held, none = sent.value, -1, np.zeros(0, np.int64)
+        keys, counts = none, np.zeros((0, 2))
+        for batch in batches:
+            rows = []
+            for row_kind, part, block, a, b, c, ids in zip(*[batch.column(x) for x in names], strict=True):
+                row_kind, part, block = row_kind.as_py(), part.as_py(), block.as_py()
+                if part != held:
+                    held, keys, counts = part, none, np.zeros((0, 2))
+                if row_kind == _COUNTS:
+                    keys = np.cumsum(_unpacked(a, np.int64))
+                    counts = np.stack([_unpacked(x, np.int64) for x in (b, c)], axis=1).astype(float)
+                elif row_kind == _TEXTS:
+                    rows.append((_TEXTS, part, block, a.as_py(), None, None, ids.as_py()))
+                else:
+                    before, w, doc = (_unpacked(x, np.int32) for x in (a, b, c))
+                    doc = np.cumsum(doc, dtype=np.int32)
+                    key, found = v.key(before, w), np.zeros((len(w), 2))
+                    if len(keys):
+                        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                        found = np.where((keys[at] == key)[:, None], counts[at], 0.0)
+                    bits = v.bits(before, w, found)
+                    at, doc = np.unique(doc, return_inverse=True)
+                    rows.append((_TOKENS, part, block, at.tobytes(), *[np.bincount(doc, weights=bits[:, m]).tobytes() for m in (0, 1)], None))
+            if rows:
+                yield batch_of(rows, batch.column("ids").type)
+
+    def gather(key: tuple, table: pa.Table) -> pa.Table:
+        rows = sorted(zip(*[table.column(x).to_pylist() for x in ("kind", "part", "a", "b", "c", "ids")], strict=True), key=lambda r: r[:2])
+        n = np.frombuffer(rows[-1][2], np.int64)
+        bits = np.zeros((len(n), 2))
+        for _, _, a, b, c, _ in rows[:-1]:
+            bits[np.frombuffer(a, np.int32)] += np.stack([np.frombuffer(b), np.frombuffer(c)], axis=1)
+        bits /= np.maximum(n, 1)[:, None]
+        cols = [pa.array(x, pa.float64(), mask=n == 0) for x in (bits[:, 0], bits[:, 1], bits[:, 0] - bits[:, 1])]
+        return pa.Table.from_arrays([pa.array(rows[-1][5], table.schema.field("ids").type.value_type), pa.array(n), *cols], names=["doc_id", "n_tokens", "target_bits", "background_bits", "score"])
+
+    table = model.bigrams.select(F.lit(_COUNTS).alias("kind"), "part", F.lit(-1).cast("long").alias("block"), F.col("keys").alias("a"), F.col("t").alias("b"), F.col("b").alias("c"), F.lit(None).cast(f"array<{kind}>").alias("ids"))
+    met = table.unionByName(kept.mapInArrow(deal, schema)).repartitionById(model.vocabulary.parts, "part").sortWithinPartitions("part", "kind")
+    return met.mapInArrow(look_up, schema).groupBy("block").applyInArrow(gather, f"doc_id {kind}, n_tokens long, target_bits double, background_bits double, score double")
