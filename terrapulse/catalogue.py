@@ -192,7 +192,8 @@ def a18(obs):
 
 @register("w10_date_ranks", ("obs",), _DATE + ", k AS (SELECT *, row_number() OVER (ORDER BY round(median_abs, 9) DESC, date) AS rank_by_median_abs, row_number() OVER (ORDER BY round(frac, 9) DESC, date) AS rank_by_frac, ceil(count(*) OVER () * (1 - 0.9::DOUBLE)) AS top FROM dq) SELECT date, rank_by_median_abs, rank_by_frac, rank_by_median_abs <= top OR rank_by_frac <= top AS flagged FROM k")
 def w10(obs):
-    return series.flag_dates(series.date_quality(obs)).select("date", "rank_by_median_abs", "rank_by_frac", "flagged")
+    """Of the rule only the ranks; ``w10_date_flags`` is the whole of it."""
+    return series.flag_dates(series.date_quality(obs), frac=None, median_mm=None).select("date", "rank_by_median_abs", "rank_by_frac", "flagged")
 
 
 @register("f06_calendar", ("epoch",), "SELECT epoch_idx, CAST(dayofyear(date) AS INTEGER) AS doy, round(sin(2 * pi() * dayofyear(date) / 365.25::DOUBLE), 6) AS doy_sin, round(cos(2 * pi() * dayofyear(date) / 365.25::DOUBLE), 6) AS doy_cos FROM epoch")
@@ -522,13 +523,42 @@ _FLAGS = """, dq AS (SELECT date, median(abs(value_mm - intercept - slope * day_
 @register("a20_second_round", ("pair_pixel", "obs", "point"), _ROUND1 + _FLAGS + f""", pe AS (SELECT r1.*, least(0.2, coalesce(CASE a.scope WHEN 'global' THEN 0.1 WHEN 'mixed' THEN 0.05 WHEN 'local' THEN 0.025 END, 0) + coalesce(CASE b.scope WHEN 'global' THEN 0.1 WHEN 'mixed' THEN 0.05 WHEN 'local' THEN 0.025 END, 0) + CASE WHEN consistency < 0.5 THEN 0.1 ELSE 0 END)::DOUBLE AS penalty FROM r1 LEFT JOIN sc a ON date1 = a.date LEFT JOIN sc b ON date2 = b.date)
  SELECT date1, date2, round(penalty, 6) AS penalty, round(greatest(0, q1 - penalty), 6) AS q_round2, {_ACT.format("greatest(0, q1 - penalty)")} AS action FROM pe""")
 def a20(pixels, obs, points):
-    """Both rounds; what is returned is the final choice."""
+    """Both rounds, dates flagged by rank only; ``a20_second_round_flags`` has the whole rule.  What is returned is the final choice."""
+    return _second_round(pixels, obs, points, series.flag_dates(series.date_quality(obs), frac=None, median_mm=None), series.concentration(obs, points))
+
+
+def _second_round(pixels, obs, points, dates, concentration):
     one = feedback.first_round(pixels.select("date1", "date2").distinct(), _pair_metrics(pixels, obs, points))
-    flagged = series.flag_dates(series.date_quality(obs)).where("flagged").select("date").join(series.concentration(obs, points), "date")
+    flagged = dates.where("flagged").select("date").join(concentration, "date")
     two = feedback.second_round(one, flagged.select(F.date_format("date", "yyyyMMdd").alias("date"), feedback.scope(F.col("concentration")).alias("scope")))
     return two.select("date1", "date2", "penalty", "q_round2").join(feedback.final(two).select("date1", "date2", "action"), ["date1", "date2"])
 
 
+_RES = "abs(value_mm - intercept - slope * day_offset / 365.25::DOUBLE)"
+_JUMP = f", th AS (SELECT greatest(28, quantile_cont({_RES}, 0.95)) AS th FROM obs JOIN g USING (point_id))"
+_WHOLE_FLAGS = f""", dq AS (SELECT date, median({_RES}) AS a, avg(CAST({_RES} > th AS INT)) AS f FROM obs JOIN g USING (point_id), th GROUP BY date),
+ rk AS (SELECT *, row_number() OVER (ORDER BY round(a, 9) DESC, date) AS ra, row_number() OVER (ORDER BY round(f, 9) DESC, date) AS rf, ceil(count(*) OVER () * (1 - 0.9::DOUBLE)) AS top FROM dq),
+ wf AS (SELECT date, ra, rf, ra <= top OR rf <= top OR coalesce(round(f, 9) >= 0.20::DOUBLE OR round(a, 9) >= 20, false) AS flagged FROM rk)"""
+
+
+@register("w10_date_flags", ("obs",), _FIT + _JUMP + _WHOLE_FLAGS + " SELECT date, ra AS rank_by_median_abs, rf AS rank_by_frac, flagged FROM wf")
+def w10_flags(obs):
+    """The top tenth of either rank, or a fifth of the points over the jump threshold (A11), or a median residual of 20 mm."""
+    return series.flag_dates(series.date_quality(obs, series.residual_threshold(obs))).select("date", "rank_by_median_abs", "rank_by_frac", "flagged")
+
+
+@register("a20_second_round_flags", ("pair_pixel", "obs", "point"), _ROUND1 + _JUMP + _WHOLE_FLAGS + f""",
+ ce AS (SELECT point_id, least(9, floor("row" / ((SELECT max("row") FROM point) + 1)::DOUBLE * 10)) AS rb, least(9, floor(col / ((SELECT max(col) FROM point) + 1)::DOUBLE * 10)) AS cb FROM point),
+ cn AS (SELECT date, rb, cb, sum(CAST({_RES} > th AS INT)) AS n FROM obs JOIN g USING (point_id) JOIN ce USING (point_id), th GROUP BY ALL),
+ sc AS (SELECT strftime(date, '%Y%m%d') AS date, CASE WHEN c <= 0.2 THEN 'global' WHEN c <= 0.4 THEN 'mixed' ELSE 'local' END AS scope FROM (SELECT date, CASE WHEN sum(n) = 0 THEN 0 ELSE max(n) / CAST(sum(n) AS DOUBLE) END AS c FROM cn GROUP BY date) JOIN wf USING (date) WHERE flagged),
+ pe AS (SELECT r1.*, least(0.2, coalesce(CASE a.scope WHEN 'global' THEN 0.1 WHEN 'mixed' THEN 0.05 WHEN 'local' THEN 0.025 END, 0) + coalesce(CASE b.scope WHEN 'global' THEN 0.1 WHEN 'mixed' THEN 0.05 WHEN 'local' THEN 0.025 END, 0) + CASE WHEN consistency < 0.5 THEN 0.1 ELSE 0 END)::DOUBLE AS penalty FROM r1 LEFT JOIN sc a ON date1 = a.date LEFT JOIN sc b ON date2 = b.date)
+ SELECT date1, date2, round(penalty, 6) AS penalty, round(greatest(0, q1 - penalty), 6) AS q_round2, {_ACT.format("greatest(0, q1 - penalty)")} AS action FROM pe""")
+def a20_flags(pixels, obs, points):
+    """Both rounds with the whole date rule and the jump threshold of A11."""
+    jump = series.residual_threshold(obs)
+    return _second_round(pixels, obs, points, series.flag_dates(series.date_quality(obs, jump)), series.concentration(obs, points, jump))
+
+
 @register("p15_coverage_warnings", ("point",), _SCORE + ", n AS (SELECT count(*) FILTER (ps_score >= 0.75) AS strict, count(*) FILTER (ps_score >= 0.6 AND ps_score < 0.75) AS relaxed, greatest(1, count(*)) AS n FROM s) SELECT strict, relaxed, concat_ws(',', CASE WHEN strict / n < 0.005 OR strict < 2000 THEN 'too_sparse' END, CASE WHEN strict / n > 0.2 THEN 'strict_too_loose' END, CASE WHEN (strict + relaxed) / n > 0.4 THEN 'strict_relaxed_too_loose' END) AS reasons FROM n")
 def p15(points):
     return feedback.coverage_warnings(_scored_points(points))

@@ -70,19 +70,29 @@ def slope_sensitivity(obs: DataFrame) -> DataFrame:
     return df.where(F.col("epoch_idx") > F.col("first")).groupBy("point_id").agg(F.max(F.abs(less - full)).alias("sensitivity"))
 
 
-def date_quality(obs: DataFrame, threshold: float = 10.0) -> DataFrame:
+def _odd(res: DataFrame, threshold: float | DataFrame) -> DataFrame:
+    """Residuals with ``odd``: above a number, or above the ``jump_threshold`` of :func:`residual_threshold`."""
+    if isinstance(threshold, DataFrame):
+        return res.crossJoin(F.broadcast(threshold.select("jump_threshold"))).withColumn("odd", F.abs("res") > F.col("jump_threshold")).drop("jump_threshold")
+    return res.withColumn("odd", F.abs("res") > threshold)
+
+
+def date_quality(obs: DataFrame, threshold: float | DataFrame = 10.0) -> DataFrame:
     """Residuals from each point's line, by date: median, share above a threshold, signed bias."""
-    fit = trend(obs).select("point_id", "slope", "intercept")
-    res = obs.join(fit, "point_id").withColumn("res", F.col("value_mm") - (F.col("intercept") + F.col("slope") * F.col("day_offset") / 365.25))
-    return res.groupBy("date").agg(F.median(F.abs("res")).alias("median_abs"), F.avg((F.abs("res") > threshold).cast("double")).alias("frac"), F.median("res").alias("bias"))
+    res = _odd(residuals(obs), threshold)
+    return res.groupBy("date").agg(F.median(F.abs("res")).alias("median_abs"), F.avg(F.col("odd").cast("double")).alias("frac"), F.median("res").alias("bias"))
 
 
-def flag_dates(dates: DataFrame, quantile: float = 0.9) -> DataFrame:
-    """Ranks by both criteria; the top share of either is flagged (W10).  One row per date: a small table."""
+def flag_dates(dates: DataFrame, quantile: float = 0.9, frac: float | None = 0.20, median_mm: float | None = 20.0) -> DataFrame:
+    """Ranks by both criteria; flagged are the top share of either and, where limits are given, dates that reach one (W10).  One row per date: a small table."""
     a, b = Window.orderBy(F.desc(F.round("median_abs", 9)), "date"), Window.orderBy(F.desc(F.round("frac", 9)), "date")
     top = F.ceil(F.count(F.lit(1)).over(Window.partitionBy()) * (1 - quantile))
     df = dates.withColumns({"rank_by_median_abs": F.row_number().over(a), "rank_by_frac": F.row_number().over(b), "top": top})
-    return df.withColumn("flagged", (F.col("rank_by_median_abs") <= F.col("top")) | (F.col("rank_by_frac") <= F.col("top"))).drop("top")
+    flagged = (F.col("rank_by_median_abs") <= F.col("top")) | (F.col("rank_by_frac") <= F.col("top"))
+    for name, limit in (("frac", frac), ("median_abs", median_mm)):
+        if limit is not None:
+            flagged = flagged | F.coalesce(F.round(name, 9) >= limit, F.lit(False))
+    return df.withColumn("flagged", flagged).drop("top")
 
 
 def ends(obs: DataFrame) -> DataFrame:
@@ -168,13 +178,12 @@ def residuals(obs: DataFrame) -> DataFrame:
     return obs.join(fit, "point_id").withColumn("res", F.col("value_mm") - (F.col("intercept") + F.col("slope") * F.col("day_offset") / 365.25))
 
 
-def concentration(obs: DataFrame, points: DataFrame, threshold: float = 10.0, cells: int = 10) -> DataFrame:
+def concentration(obs: DataFrame, points: DataFrame, threshold: float | DataFrame = 10.0, cells: int = 10) -> DataFrame:
     """By date: anomalies and the largest share of them in one of ``cells`` x ``cells`` parts of the grid, 0 without any."""
     at = with_stats(points.select("point_id", "row", "col"), _h=F.max("row") + 1, _w=F.max("col") + 1)
     part = lambda x, n: F.least(F.lit(cells - 1), F.floor(F.col(x) / F.col(n) * cells))
     at = at.select("point_id", part("row", "_h").alias("_rb"), part("col", "_w").alias("_cb"))
-    odd = (F.abs("res") > threshold).cast("int")
-    by_cell = residuals(obs).join(at, "point_id").groupBy("date", "_rb", "_cb").agg(F.sum(odd).alias("n"))
+    by_cell = _odd(residuals(obs), threshold).join(at, "point_id").groupBy("date", "_rb", "_cb").agg(F.sum(F.col("odd").cast("int")).alias("n"))
     return by_cell.groupBy("date").agg(F.sum("n").alias("anomalies"), F.coalesce(F.try_divide(F.max("n"), F.sum("n")), F.lit(0.0)).alias("concentration"))
 
 
