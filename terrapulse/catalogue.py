@@ -217,9 +217,10 @@ def j06(points):
 
 @register("g05_components", ("point",), None)
 def g05(points):
-    """Connected sets of strict and relaxed points that lie within 120 m of each other."""
+    """Connected sets of strict and relaxed points that lie within 120 m of each other and hold a strict one; a point alone is a set."""
     good = _scored_points(points).where("point_class <> 'none'")
-    return components.connected_components(neighbours.within_radius(good, 120.0))
+    edges = neighbours.within_radius(good, 120.0).select("src", "dst").union(good.select("point_id", "point_id"))
+    return components.holding(components.connected_components(edges), good.where("point_class = 'strict'").select(F.col("point_id").alias("id")))
 
 
 @register("j12_frame_dates", ("scene",), "SELECT a.path, a.frame AS f1, b.frame AS f2, count(DISTINCT CAST(a.start_ts AS DATE)) AS dates FROM scene a JOIN scene b ON a.path = b.path AND CAST(a.start_ts AS DATE) = CAST(b.start_ts AS DATE) AND a.frame < b.frame GROUP BY ALL")

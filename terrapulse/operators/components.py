@@ -34,3 +34,9 @@ def connected_components(edges: DataFrame, *, src: str = "src", dst: str = "dst"
     else:
         raise RuntimeError("components did not settle")
     return vertices.join(links.select(F.col("hi").alias("id"), "lo"), "id", "left").select("id", F.coalesce("lo", "id").alias("component"))
+
+
+def holding(found: DataFrame, core: DataFrame) -> DataFrame:
+    """The components that hold at least one ``id`` of ``core``, whole."""
+    kept = found.join(core.select("id"), "id", "left_semi").select("component").distinct()
+    return found.join(kept, "component", "left_semi").select("id", "component")
