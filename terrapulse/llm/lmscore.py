@@ -21,7 +21,7 @@ from terrapulse.session import materialise
 #: Words that occur so often are the vocabulary; all others are one unknown word.
 MIN_COUNT = 2
 #: Tokens of the corpus for each part of the bigram table.
-PART_TOKENS = 1_500_000
+PART_TOKENS = 400_000
 #: So many target ids are sent to every task; more are joined by a shuffle of the texts, with the same result.
 SENT_IDS = 2_000_000
 #: Weight of the unigram estimate, in words.
