@@ -11,7 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+#: Texts that a task takes at once, bytes; a longer text is worked on in pieces of so many.
+SLICE_BYTES = 1 << 19
 
 
 def _fold_table() -> bytes:
@@ -54,6 +55,11 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
+def carried(carry: tuple[str, ...], *own: str) -> tuple[str, ...]:
+    """Columns to carry along, without those whose names the result takes for itself."""
+    return tuple(c for c in dict.fromkeys(carry) if c.lower() not in {x.lower() for x in own})
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts as bytes) in pieces of about ``limit`` bytes; a longer text is a piece of its own."""
     held: list[bytes] = []
@@ -70,10 +76,35 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, li
         yield start, held
 
 
+def _whole_words(text: bytes, limit: int) -> Iterator[bytes]:
+    """A folded text in pieces of about ``limit`` bytes, cut at blanks."""
+    at = 0
+    while len(text) - at > limit:
+        cut = text.find(b" ", at + limit)
+        if cut < 0:
+            break
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
 def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and the number of words of each text."""
+    """Hashes of all words in order, and the number of words of each text; long texts are read in pieces."""
+    if sum(map(len, texts)) <= 2 * SLICE_BYTES:
+        return _hashed([t.translate(FOLD) for t in texts])
+    counts = np.zeros(len(texts), np.int64)
+    hashes = [np.zeros(0, np.uint64)]
+    for i, t in enumerate(texts):
+        for piece in _whole_words(t.translate(FOLD), SLICE_BYTES):
+            h, n = _hashed([piece])
+            hashes.append(h)
+            counts[i] += n[0]
+    return np.concatenate(hashes), counts
+
+
+def _hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-    data = np.frombuffer(b" ".join(texts).translate(FOLD) + b" ", np.uint8)
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     inside = data != 32
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     if inside[0]:
@@ -93,6 +124,11 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def shingles(words: np.ndarray, counts: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``width`` words, and their number per text; a shorter text with words has one shingle."""
     n = np.where(counts == 0, 0, np.maximum(1, counts - width + 1))
+    if len(counts) == 1 and len(words) >= width:
+        out = np.full(int(n[0]), 0x5EED, np.uint64)
+        for j in range(width):
+            out = mix(out * np.uint64(0x9E3779B97F4A7C15) + words[j : j + len(out)])
+        return out, n
     doc = np.repeat(np.arange(len(counts)), n)
     begin = np.cumsum(counts) - counts
     at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + begin[doc]
