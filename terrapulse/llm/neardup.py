@@ -4,7 +4,8 @@
 2.  Each text gets K consistent weighted samples: for element k with weight S the sampler draws r, c ~ Gamma(2, 1) and
     b ~ U(0, 1) from k alone, sets t = floor(ln S / r + b) and a = ln c - r (t - b) - r; the element with the least a,
     together with its t, is the sample.  Two texts share a sample with the probability of their weighted Jaccard
-    similarity.
+    similarity.  The draws come from a table; of elements with the same least a the one with the least hash is the
+    sample, so that long texts, in which many elements share a draw, do not agree by chance.
 3.  Samples are banded.  Texts with equal words collapse to one before anything is compared.  Every member of a band is
     compared with the band's most central member.  The members that are not near it are then held, in blocks, against
     all members of the band: pairs whose shares of equal samples leave no real chance of a link are dropped, the rest
@@ -40,8 +41,6 @@ RARE, DAMPING, STEPS = 0.01, 0.25, 8
 SLACK = 0.12
 #: Members of a band that are held against the others at a time.
 BLOCK = 256
-#: Side of a join that may be broadcast, in rows of about 24 bytes.
-BROADCAST_ROWS = 1_000_000
 
 
 def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -58,13 +57,19 @@ def sample_value(weight: float | np.ndarray, at: np.ndarray) -> np.ndarray:
     return LN_C[at] - R[at] * (t - B[at]) - R[at]
 
 
+def sortable(a: np.ndarray) -> np.ndarray:
+    """Single-precision numbers as integers of the same order."""
+    bits = np.ascontiguousarray(a, np.float32).view(np.uint32)
+    return np.where(bits >> np.uint32(31), ~bits, bits | np.uint32(1 << 31))
+
+
 class Weights:
     """Weight of a shingle: tf times a damped, stepped idf of its hashed feature."""
 
     def __init__(self, step: np.ndarray):
         self.step = step
         self.values = 1.0 + DAMPING * np.arange(STEPS + 1) / STEPS
-        self.tables = [sample_value(v, np.arange(DRAWS)).astype(np.float32) for v in self.values]
+        self.tables = [sortable(sample_value(v, np.arange(DRAWS))) for v in self.values]
 
     def classes(self, shingle: np.ndarray) -> np.ndarray:
         return self.step[(shingle & np.uint64(FEATURES - 1)).astype(np.int64)]
@@ -101,15 +106,16 @@ def _count_features(width: int):
 
 
 def signatures(texts: list[bytes], weights: Weights, width: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(texts, K) sample names and the number of distinct shingles; a text without words has none."""
+    """(texts, K) sample names (element and t, folded to 32 bits) and the number of distinct shingles; a text without words has none."""
     sh, tf, doc = term_counts(texts, width)
     n = np.bincount(doc, minlength=len(texts))
-    out = np.full((len(texts), k), np.inf, np.float32)
+    out = np.zeros((len(texts), k), np.uint32)
     if not len(sh):
         return out, n
     cls = weights.classes(sh)
     h1 = (sh >> np.uint64(18)).astype(np.uint32) & np.uint32(DRAWS - 1)
     h2 = (sh >> np.uint64(40)).astype(np.uint32) | np.uint32(1)
+    element = mix(sh) & np.uint64(0xFFFFFFFF)
     flat = np.concatenate(weights.tables)
     base = (cls * DRAWS).astype(np.uint32)
     several = np.flatnonzero(tf > 1)
@@ -118,10 +124,12 @@ def signatures(texts: list[bytes], weights: Weights, width: int, k: int) -> tupl
     begin = (np.cumsum(n) - n)[with_any]
     for j in range(k):
         at = (h1 + h2 * np.uint32(j)) & np.uint32(DRAWS - 1)
-        a = flat[base + at]
+        a = flat[base + at].astype(np.uint64)
         if len(several):
-            a[several] = sample_value(heavy, at[several]).astype(np.float32)
-        out[with_any, j] = np.minimum.reduceat(a, begin)
+            a[several] = sortable(sample_value(heavy, at[several]))
+        a <<= np.uint64(32)
+        a |= element
+        out[with_any, j] = mix(np.minimum.reduceat(a, begin)).astype(np.uint32)
     return out, n
 
 
@@ -139,7 +147,7 @@ def _sign(sent, width: int, bands: int, rows: int):
                     new = list({d: i for i, d in enumerate(digest)}.items())
                 if new:
                     sig, n = signatures([texts[i] for _, i in new], weights, width, bands * rows)
-                    bits = sig.view(np.uint32).astype(np.uint64).reshape(len(new), bands, rows)
+                    bits = sig.astype(np.uint64).reshape(len(new), bands, rows)
                     key = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(new), bands)).copy()
                     for r in range(rows):
                         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + bits[:, :, r])
@@ -151,7 +159,7 @@ def _sign(sent, width: int, bands: int, rows: int):
                     same.append(d)
                     sizes.append(m)
                     keys.append(b)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(same, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(samples, pa.binary())], names=["id", "same", "n_shingles", "bands", "samples"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), pa.array(same, pa.binary()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(samples, pa.binary())], names=["doc_id", "tag", "same", "n_shingles", "bands", "samples"])
 
     return run
 
@@ -229,63 +237,75 @@ def _alike(sent, width: int, k: int, rows: int, threshold: float):
     return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, sent, width: int, threshold: float) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, sent, width: int, threshold: float) -> DataFrame:
     """``pairs`` (centre, id) with ``near``: texts meet by centre, in parts of about 64 members, so a centre with very many members is many tasks' work."""
-    spark = pairs.sparkSession
     n = pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("n"))
     parts = F.ceil(F.col("n") / 64).cast("int")
     members = pairs.join(n, "centre").select("centre", "id", F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"))
     own = members.select("centre", "part").distinct().select("centre", F.col("centre").alias("id"), "part")
-    wanted = materialise(members.union(own))
-    few = wanted.count() <= BROADCAST_ROWS
-    text = docs.select(F.col("id"), F.col("_text").alias("text"))
-    met = text.join(F.broadcast(wanted) if few else wanted, "id").select("centre", "part", "id", "text")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = texts.select("id", "text").join(members.union(own).hint("merge"), "id").select("centre", "part", "id", "text")
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = met.repartition(tasks, "centre", "part").sortWithinPartitions("centre", "part", F.col("id") != F.col("centre"))
     return met.mapInArrow(_verify(sent, width, threshold), "centre long, id long, near boolean")
 
 
-def find_groups(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def _linked(texts: DataFrame, sent, width: int, threshold: float, bands: int, rows: int) -> DataFrame:
+    """Verified links ``centre, id`` between the texts (``id, bands, samples, text``) that share a band."""
+    buckets = materialise(texts.select("id", F.posexplode("bands").alias("slot", "band")).where("band IS NOT NULL"))
+    sizes = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    degree = buckets.join(sizes, "band").groupBy("id").agg(F.sum("n").alias("degree"))
+    centres = buckets.join(degree, "id").groupBy("band").agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("centre"))
+    buckets = materialise(buckets.join(centres, "band"))
+    seen = materialise(_verified(buckets.where("id <> centre").select("centre", "id").distinct(), texts, sent, width, threshold))
+    near = seen.where("near").select("centre", "id")
+    far = buckets.where("id <> centre").join(near, ["centre", "id"], "left_anti").select("band", "id")
+    far = far.join(far.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "band")
+    far = materialise(far.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")))
+    spread = buckets.select("band", "slot", "id").join(far.select("band", "parts").distinct(), "band").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    marked = spread.join(far.select("band", "id", "own"), ["band", "id"], "left")
+    marked = marked.select("band", "slot", "part", "id", F.coalesce(F.col("own") == F.col("part"), F.lit(False)).alias("open"), F.col("own").isNotNull().alias("far"))
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = texts.select("id", "text", "samples").join(marked.hint("merge"), "id")
+    met = met.select("band", "part", "slot", "id", "open", "far", "samples", "text").repartition(tasks, "band", "part").sortWithinPartitions("band", "part", F.desc("open"), "id")
+    return near.union(met.mapInArrow(_alike(sent, width, bands * rows, rows, threshold), "centre long, id long"))
+
+
+def find_groups(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS, with_text: bool = False) -> DataFrame:
     """One row per document: ``doc_id``, ``class_id`` (smallest id of its class), ``n_shingles`` (distinct).
 
+    ``with_text`` adds ``tag``, the 64-bit hash of the row's text, and ``class_tag``, the smallest among the texts of
+    the class's smallest id.
+
     Two texts are linked if their weighted Jaccard similarity over ``width``-word shingles is at least ``threshold``;
-    classes are the connected sets.  Texts with the same words are always linked.  A text without words, or null, is
-    alone in its class; one with fewer words than ``width`` is one shingle; a null id is alone, with a null class;
-    repeated rows share a class and each keeps its row; an empty table gives no rows.
+    classes are the connected sets of texts.  Texts with the same words are always linked.  Ids may have any type that
+    sorts; rows with one id and different texts are judged by their texts, each row by itself.  A text without words,
+    or null, is alone in its class; one with fewer words than ``width`` is one shingle; a null id is alone, with a null
+    class; repeated rows share a class and each keeps its row; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    base = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("_text"))
+    base = docs.select("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tag"), F.col("text").cast("binary").alias("_text"))
     counted = base.select("_text").mapInArrow(_count_features(width), "f int, n long").groupBy("f").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(FEATURES, np.int64)
     counts[counted["f"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
     sent = spark.sparkContext.broadcast(Weights(idf_steps(counts, base.count())))
-    signed = materialise(base.mapInArrow(_sign(sent, width, bands, rows), "id long, same binary, n_shingles long, bands array<bigint>, samples binary"))
-    known = signed.where(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
-    reps = known.groupBy("same").agg(F.min("id").alias("rep"))
-    # equal texts have equal bands and samples, whichever copy they are taken from
-    texts = materialise(known.groupBy("same").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("samples").alias("samples")))
-    buckets = texts.select("id", F.posexplode("bands").alias("slot", "band"))
-    several = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = buckets.join(several, "band")
-    degree = buckets.groupBy("id").agg(F.sum("n").alias("degree"))
-    buckets = materialise(buckets.join(degree, "id"))
-    centres = buckets.groupBy("band").agg(F.max_by("id", F.struct("degree", -F.col("id"))).alias("centre"))
-    buckets = buckets.join(centres, "band")
-    seen = materialise(_verified(buckets.where("id <> centre").select("centre", "id").distinct(), base, sent, width, threshold))
-    near = seen.where("near").select("centre", "id")
-    far = buckets.where("id <> centre").join(near, ["centre", "id"], "left_anti").select("band", "id")
-    far = far.join(far.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "band")
-    far = materialise(far.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")))
-    spread = buckets.select("band", "slot", "id").join(far.select("band", "parts").distinct(), "band").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    marked = spread.join(far.select("band", "id", "own"), ["band", "id"], "left")
-    marked = materialise(marked.select("band", "slot", "part", "id", F.coalesce(F.col("own") == F.col("part"), F.lit(False)).alias("open"), F.col("own").isNotNull().alias("far")))
-    few = marked.count() <= BROADCAST_ROWS
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = base.select("id", F.col("_text").alias("text")).join(F.broadcast(marked) if few else marked, "id").join(texts.select("id", "samples"), "id")
-    met = met.select("band", "part", "slot", "id", "open", "far", "samples", "text").repartition(tasks, "band", "part").sortWithinPartitions("band", "part", F.desc("open"), "id")
-    more = met.mapInArrow(_alike(sent, width, bands * rows, rows, threshold), "centre long, id long")
-    edges = materialise(near.union(more))
-    classes = connected_components(edges, src="centre", dst="id").select(F.col("id").alias("rep"), "component")
-    named = reps.join(classes, "rep", "left").select("same", F.coalesce("component", "rep").alias("class_id"))
-    whole = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("class_id")).otherwise(F.col("id"))
-    return signed.join(named, "same", "left").select(F.col("id").alias("doc_id"), whole.alias("class_id"), "n_shingles")
+    kind = base.schema["doc_id"].dataType.simpleString()
+    signed = materialise(base.mapInArrow(_sign(sent, width, bands, rows), f"doc_id {kind}, tag long, same binary, n_shingles long, bands array<bigint>, samples binary"))
+    known = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
+    # equal texts have equal bands and samples, whichever copy they are taken from; a node is a text, not an id
+    nodes = known.groupBy("same").agg(F.min(F.struct("doc_id", "tag")).alias("least"), F.first("bands").alias("bands"), F.first("samples").alias("samples"))
+    nodes = materialise(nodes.withColumn("id", F.monotonically_increasing_id()))
+    shared = nodes.select("id", F.explode("bands").alias("band"))
+    several = shared.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
+    alone = shared.join(several.hint("merge"), "band").groupBy("id").agg(F.collect_list("band").alias("open"))
+    wanted = materialise(nodes.join(alone.hint("merge"), "id").select("id", "least.doc_id", "least.tag", F.transform("bands", lambda b: F.when(F.array_contains("open", b), b)).alias("bands"), "samples"))
+    body = base.join(wanted.hint("merge"), ["doc_id", "tag"]).select("id", "bands", "samples", F.col("_text").alias("text")).dropDuplicates(["id"])
+    body = materialise(body)
+    edges = materialise(_linked(body, sent, width, threshold, bands, rows))
+    classes = connected_components(edges, src="centre", dst="id")
+    named = nodes.select("id", "same", "least").join(classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    heads = named.groupBy("component").agg(F.min("least").alias("head"))
+    named = named.join(heads, "component").select("same", "head")
+    joined = signed.join(named, "same", "left")
+    member = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    own = [F.when(member, F.col("head")["tag"]).otherwise(F.col("tag")).alias("class_tag")] if with_text else []
+    return joined.select("doc_id", F.when(member, F.col("head")["doc_id"]).otherwise(F.col("doc_id")).alias("class_id"), "n_shingles", *(["tag"] if with_text else []), *own)

@@ -14,11 +14,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrapulse.llm._text import carried
 from terrapulse.session import materialise
 
 #: Base kinds in the contract's order, then kinds that only the classifier adds.
 BASE = ("email", "ip", "card", "phone")
-EXTRA = ("local", "ssn", "name")
+EXTRA = ("local", "ssn", "name", "secret")
 KINDS = BASE + EXTRA
 VOTES = ("form", "gazetteer", "cue", "against", "edge")
 
@@ -27,7 +28,9 @@ FIRST_NAMES = "Anna Carlos Carmen David Elena Emma Hans Heinrich Jack James Jean
 TITLES = "Mr Mrs Ms Dr Prof Herr Frau Mme Sr Sra".split()
 TOP_LEVEL = "com org net edu gov io de fr es uk eu info".split()
 DIALLING = "1 7 20 27 30 31 32 33 34 39 41 43 44 45 46 47 48 49 52 54 55 61 81 82 86 91".split()
-CUES = "address call card contact credit email e-mail fax mail mobile phone reach ssn social tel telephone write correo teléfono téléphone adresse telefon".split()
+CUES = "address call card contact credit email e-mail fax mail mobile phone reach ssn social tel telephone write correo teléfono téléphone adresse telefon api auth bearer credential key pass passwd password secret token".split()
+#: How the keys of well-known issuers start.
+KEY_HEADS = "AKIA ASIA AIza eyJ ghp_ gho_ github_pat_ glpat- hf_ npm_ pypi- rk_live_ sk- sk_live_ xoxb- xoxp- ya29".split()
 AGAINST = "article build chapter doi isbn issue license order page release section version vol".split()
 
 #: The contract's patterns, with possessive groups so that very long runs need no backtracking stack, and an anchor so
@@ -39,6 +42,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "local": r"(?<![0-9+(-])\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z/+_-]*+[0-9])(?=[0-9/+_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,512}+(?![A-Za-z0-9+/_-])",
     "name": r"\b(?:(?:" + "|".join(TITLES) + r")\.? |(?=(?:" + "|".join(FIRST_NAMES) + r") ))[A-ZÀ-Þ][a-zß-ÿ]+(?: [A-ZÀ-Þ][a-zß-ÿ]+)?",
 }
 EM_ROUNDS = 30
@@ -87,6 +91,7 @@ def passes(kind: Column, s: Column) -> Column:
         .when(kind == "card", F.length(d).between(13, 19) & F.call_function("luhn_check", d))
         .when(kind == "phone", F.length(d).between(9, 15))
         .when(kind == "ssn", ~s.rlike("^(000|666|9)") & ~s.rlike("-00-|-0000$"))
+        .when(kind == "secret", F.size(F.array_distinct(F.split(s, ""))) >= 10)
         .otherwise(F.lit(True))
     )
 
@@ -101,6 +106,7 @@ def _labelled(x: Column) -> Column:
         .when(kind == "card", _vote(s.rlike("^(4|5[1-5]|3[47]|6011|65|35)"), F.lit(True)))
         .when(kind == "phone", _vote(s.rlike(r"^\+(" + "|".join(DIALLING) + ")"), F.lit(True)))
         .when(kind == "local", _vote(s.rlike(r"^\(?[2-9]"), F.lit(True)))
+        .when(kind == "secret", _vote(s.rlike("^(" + "|".join(KEY_HEADS) + ")") | s.rlike("^([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$"), s.rlike("^[A-Za-z]+[-/_][A-Za-z/_-]+[0-9]{1,4}$")))
         .when(kind == "name", _vote(s.rlike("^([A-Za-z]+\\.? )?(" + "|".join(FIRST_NAMES) + r")\b")))
         .otherwise(F.lit(0))
     )
@@ -191,8 +197,11 @@ def find_pii(docs: DataFrame, *, threshold: float = 0.5, carry: tuple[str, ...]
     Returns per row: ``doc_id``, the columns in ``carry``, ``base`` and ``added``: arrays of (kind, start, end), in
     order of kind and start, in code points, end exclusive.  ``base`` holds the matches that pass the contract's
     checks.  ``added`` holds candidates of the other kinds that the trained classifier accepts and that touch no base
-    span.  A null or empty text has none; equal rows get equal results; without any candidate no model is trained.
+    span.  A null or empty text has none; rows with equal texts get equal results; without any candidate no model is
+    trained; an empty table gives no rows; of overlapping candidates of one kind the leftmost counts; carried columns
+    named like a result give way to it.
     """
+    carry = carried(carry, "doc_id", "base", "added", "spans")
     found = materialise(candidates(docs, carry=carry))
     model = fit(found)
     brief = lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
@@ -211,7 +220,7 @@ def _listed(spans: Column) -> Column:
 def digest(found: DataFrame) -> DataFrame:
     """The contract's columns from :func:`find_pii`."""
     n = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
-    return found.select("doc_id", *[n(k) for k in BASE], F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.concat("base", "added")).alias("spans"))
+    return found.select("doc_id", *[n(k) for k in BASE], F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
 
 
 def redact(text: Column, spans: Column) -> Column:

@@ -18,8 +18,8 @@ from terrapulse.session import materialise
 
 #: Bound of the labelled sample, half of its documents.
 TRAIN_DOCS = 6000
-#: Words of the learned lexicon.
-LEXICON = 100
+#: A word of the lexicon stands in so many toxic texts at least, with so large log odds.
+SUPPORT, ODDS = 3, 2.0
 #: Pronouns of the second person.
 SECOND_PERSON = "you your yours yourself u ur tu te toi vous votre vos ton ta tes du dich dir dein deine euch ihr ti tú usted ustedes vosotros".split()
 REACH = 4
@@ -102,13 +102,13 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(one), pa.array(np.bincount(at, minlength=len(w)).astype(np.int64) - one)], names=["word", "toxic", "clean"])
 
 
-def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> tuple[np.ndarray, np.ndarray]:
-    """Words of the sample with the largest smoothed log odds of standing in a toxic text, in three toxic texts at least."""
+def learn_lexicon(sample: DataFrame, *, support: int = SUPPORT, odds: float = ODDS) -> tuple[np.ndarray, np.ndarray]:
+    """All words of the sample in ``support`` toxic texts at least whose smoothed log odds of standing in a toxic text exceed ``odds``."""
     n = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     seen = sample.select("label", F.col("text").cast("binary").alias("text")).mapInArrow(_count_words, "word long, toxic long, clean long")
-    seen = seen.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where("toxic >= 3")
-    odds = F.log((F.col("toxic") + 0.5) / (n.get(1, 0) + 1.0)) - F.log((F.col("clean") + 0.5) / (n.get(0, 0) + 1.0))
-    top = seen.withColumn("odds", odds).where("odds > 2").orderBy(F.desc(F.col("odds") * F.log1p("toxic")), "word").limit(size).collect()
+    seen = seen.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.col("toxic") >= support)
+    log_odds = F.log((F.col("toxic") + 0.5) / (n.get(1, 0) + 1.0)) - F.log((F.col("clean") + 0.5) / (n.get(0, 0) + 1.0))
+    top = seen.withColumn("odds", log_odds).where(F.col("odds") > odds).select("word", "odds").collect()
     words = np.array([r.word for r in top], np.int64).view(np.uint64)
     order = np.argsort(words)
     return words[order], np.array([r.odds for r in top], float)[order]
@@ -134,14 +134,15 @@ def held_out():
 def classify(docs: DataFrame, labels: DataFrame, *, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """Toxicity of whole texts: ``doc_id``, ``score`` in [0, 1] (higher: label 1 likelier).
 
-    Learns the lexicon, the trees and the calibration from at most about ``2 * train_docs`` labelled rows that are not
-    held out, by a hash of the id; trees see four fifths of them, the calibration the rest.  A null text counts as
+    Learns from at most about ``2 * train_docs`` labelled rows that are not held out, by a hash of the id; the lexicon
+    and the trees see four fifths of them, the calibration the rest.  Very long texts are read in pieces of words.  A null text counts as
     empty; equal texts get equal scores; with labels of one class only, or none, every score is the share of ones (0
     if there are none).
     """
     sample = materialise(labelled_sample(docs, labels.where(~held_out()), "toxic", per_class=train_docs, seed=19, balanced=False).coalesce(4))
-    lexicon = learn_lexicon(sample)
-    known = materialise(featured(sample, lexicon, carry=("label",)).coalesce(2)).select(array_to_vector("x").alias("features"), F.col("label").cast("double").alias("label"), F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(5)).alias("fold"))
+    fold = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(5))
+    lexicon = learn_lexicon(sample.where(fold != 0))  # the calibration must not see features made from its own labels
+    known = materialise(featured(sample, lexicon, carry=("label",)).coalesce(2)).select(array_to_vector("x").alias("features"), F.col("label").cast("double").alias("label"), fold.alias("fold"))
     kinds = {(r.fold == 0, r.label) for r in known.select("fold", "label").distinct().collect()}
     scored = featured(docs, lexicon).select("doc_id", array_to_vector("x").alias("features"))
     if not {(False, 0.0), (False, 1.0), (True, 0.0), (True, 1.0)} <= kinds:
