@@ -12,9 +12,14 @@ from pyspark.sql import functions as F
 
 from terrapulse.llm._text import hashed_words, mix, shingles, slices
 
-#: Bound of the labelled sample, documents a class; terms, latent dimensions, neighbours that vote.
+#: Bound of the labelled sample, documents a class; shape terms, word terms, latent dimensions, neighbours that vote.
 TRAIN_DOCS = 2500
-TERMS, RANK, NEIGHBOURS = 1024, 64, 15
+TERMS, WORDS, RANK, NEIGHBOURS = 1024, 1024, 96, 15
+#: Weight of the words beside the shape.
+WORD_WEIGHT = 0.5
+WIDTH = TERMS + 4 + WORDS
+#: Texts that are held against the labelled vectors at once.
+ROWS = 256
 #: Power of the similarity in a neighbour's vote.
 SHARPNESS = 8
 
@@ -28,12 +33,12 @@ SHAPES = _shape_table()
 
 
 def terms(texts: list[bytes]) -> np.ndarray:
-    """(texts, TERMS + 4) term weights before idf: roots of shares.
+    """(texts, WIDTH) term weights before idf: roots of shares.
 
-    Terms are hashed 4-grams of the text's shape, in which runs of one class are one symbol, and four markers: words
-    equal to the one before, repeated 3-word runs, capitals among letters, and distinct words.
+    Terms are hashed 4-grams of the text's shape, in which runs of one class are one symbol; four markers: words
+    equal to the one before, repeated 3-word runs, capitals among letters, and distinct words; and hashed words.
     """
-    out = np.zeros((len(texts), TERMS + 4), np.float32)
+    out = np.zeros((len(texts), WIDTH), np.float32)
     sizes = np.fromiter((len(t) + 2 for t in texts), np.int64, len(texts))
     data = np.frombuffer(b"".join(b"\n" + t.translate(SHAPES) + b"\n" for t in texts) + b"\n\n\n", np.uint8)
     row = np.repeat(np.arange(len(texts)), sizes)
@@ -59,6 +64,8 @@ def terms(texts: list[bytes]) -> np.ndarray:
     out[:, TERMS + 1] = np.sqrt(1 - distinct(three, np.repeat(np.arange(len(texts)), k)) / np.maximum(k, 1)) * (k > 0)
     out[:, TERMS + 2] = np.sqrt(capital / np.maximum(letters, 1))
     out[:, TERMS + 3] = np.sqrt(distinct(words, doc) / some)
+    counts = np.bincount(doc * WORDS + (words >> np.uint64(40)).astype(np.int64) % WORDS, minlength=len(texts) * WORDS).reshape(len(texts), WORDS)
+    out[:, TERMS + 4 :] = WORD_WEIGHT * np.sqrt(counts / some[:, None])
     return out
 
 
@@ -75,33 +82,49 @@ class Model:
     prior: float
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        """Share of label 1 among the nearest neighbours, weighted by similarity; blocks of texts against all vectors."""
+        """Share of label 1 among the nearest neighbours, weighted by similarity; blocks of texts against all vectors.
+
+        Similarities count in steps of 2^-16 and blocks have one size, so equal texts get equal scores; of equally near
+        vectors the first counts.
+        """
         if not len(self.labels):
             return np.full(len(texts), self.prior)
         out = np.empty(len(texts))
-        for i in range(0, len(texts), 512):
-            x = unit(unit(terms(texts[i : i + 512]) * self.idf) @ self.basis)
-            cosine = x @ self.vectors.T
-            k = min(NEIGHBOURS, cosine.shape[1])
-            best = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-            w = np.clip(np.take_along_axis(cosine, best, 1), 1e-6, None).astype(float) ** SHARPNESS
-            out[i : i + 512] = (w * self.labels[best]).sum(1) / w.sum(1)
+        bits = len(self.labels).bit_length()
+        for i in range(0, len(texts), ROWS):
+            x = np.zeros((ROWS, WIDTH), np.float32)
+            here = terms(texts[i : i + ROWS])
+            x[: len(here)] = here
+            cosine = unit(unit(x * self.idf) @ self.basis) @ self.vectors.T
+            key = np.rint((np.clip(cosine, -1, 1) + 1) * 65536).astype(np.int64) << bits
+            key |= np.arange(len(self.labels))[::-1]
+            k = min(NEIGHBOURS, key.shape[1])
+            best = -np.sort(-np.partition(key, key.shape[1] - k, axis=1)[:, -k:], axis=1)
+            w = np.clip((best >> bits) / 65536 - 1, 1e-6, None) ** SHARPNESS
+            y = self.labels[::-1][best & ((1 << bits) - 1)]
+            out[i : i + ROWS] = ((w * y).sum(1) / w.sum(1))[: len(here)]
         return np.clip(out, 0, 1)
 
 
-def fit(texts: list[bytes], labels: np.ndarray, rank: int = RANK) -> Model:
-    """Latent space of the labelled texts: idf, then the leading directions of the term matrix."""
+def fit(x: np.ndarray, labels: np.ndarray, rank: int = RANK) -> Model:
+    """Latent space of the labelled texts' terms: idf, then the leading directions of the term matrix."""
     if not len(labels):
-        return Model(np.ones(TERMS + 4), np.eye(TERMS + 4), np.zeros((0, TERMS + 4)), labels, 0.5)
-    x = np.concatenate([terms(texts[i : i + 256]) for i in range(0, len(texts), 256)])
+        return Model(np.ones(WIDTH), np.eye(WIDTH), np.zeros((0, WIDTH)), labels, 0.5)
     idf = np.log((1 + len(x)) / (1 + (x > 0).sum(0))) + 1.0
-    idf[TERMS:] = 2.0
+    idf[TERMS : TERMS + 4] = 2.0
     x = unit(x * idf.astype(np.float32))
     _, vectors = np.linalg.eigh((x.T @ x).astype(float))
     basis = vectors[:, ::-1][:, :rank].astype(np.float32)
     return Model(idf.astype(np.float32), basis, unit(x @ basis).astype(np.float32), labels.astype(float), float(labels.mean()))
 
 
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start, texts in slices(batch.column("text")):
+            rows = [x.tobytes() for x in terms(texts).astype(np.float16)]
+            yield pa.RecordBatch.from_arrays([batch.column("label")[start : start + len(texts)], pa.array(rows, pa.binary())], names=["label", "x"])
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, *, per_class: int, seed: int, balanced: bool = True) -> DataFrame:
     """About ``per_class`` labelled documents of each class, picked by a hash of the id: ``doc_id, text, label``.
 
@@ -123,13 +146,16 @@ def held_out():
 def classify(docs: DataFrame, labels: DataFrame, *, per_class: int = TRAIN_DOCS) -> DataFrame:
     """Quality of whole texts: ``doc_id``, ``score`` in [0, 1] (higher: label 1 likelier).
 
-    Learns from at most about ``per_class`` labelled rows of each class that are not held out, by a hash of the id.
-    A null text counts as empty; empty texts are scored like any; rows with equal texts get equal scores; without
-    labelled rows every score is 0.5.
+    Learns from at most about ``per_class`` labelled rows of each class that are not held out, by a hash of the id;
+    their term vectors, not their texts, reach the driver.  A null text counts as empty; empty texts are scored like
+    any; rows with equal texts get equal scores; ties among neighbours go to the vector that sorts first; without
+    labelled rows every score is 0.5; an empty table gives no rows; other columns are not read.
     """
     sample = labelled_sample(docs, labels.where(~held_out()), "quality", per_class=per_class, seed=13)
-    rows = sample.orderBy("doc_id", "text").collect()
-    model = fit([(r.text or "").encode() for r in rows], np.array([r.label for r in rows], float))
+    rows = sample.select("label", F.col("text").cast("binary").alias("text")).mapInArrow(_terms, "label int, x binary").toArrow().to_pylist()
+    rows.sort(key=lambda r: (r["x"], r["label"]))
+    matrix = np.frombuffer(b"".join(r["x"] for r in rows), np.float16).reshape(-1, WIDTH).astype(np.float32)
+    model = fit(matrix, np.array([r["label"] for r in rows], float))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
