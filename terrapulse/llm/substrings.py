@@ -4,13 +4,17 @@ Equal strings of ``length`` bytes share an anchor: of their 32-byte grams the on
 several).  So the strings can be dealt out by anchor.
 
 1.  A scan cuts every text into runs of window starts with one anchor.  A run's context is the bytes that its windows
-    span.  Of equal contexts only the first can hold first occurrences; the others are marked at once, within a slice
-    of the scan before the shuffle, then across slices.
+    span.  Of contexts with equal hashes only the first can hold first occurrences; the others are taken for copies of
+    it, within a slice of the scan before the shuffle, then across slices.  Every such copy is compared with its first
+    as bytes: neighbouring copies with one source are joined to spans first, so the bytes of a span move once.
 2.  Anchors with one context hold no repeat that is left.  The contexts of the others are dealt out by anchor, and a
     task builds the Burrows-Wheeler transform of a bounded batch of them.  Breadth-first backward extension from the
     empty string gives longest common prefixes by increasing value and stops at ``length``: neighbours in the suffix
     array without a value by then share a string.  Of each such set all but the first are marked.
-3.  An anchor with very many different contexts is dealt out further, by whole window instead of anchor.
+3.  The windows of an anchor with very many different contexts are dealt out by their whole strings, so that no task
+    gets all of them.
+
+Hashes only deal out work: nothing is removed that was not compared.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from terrapulse.llm._text import mix, slices
 from terrapulse.session import materialise
@@ -29,7 +34,12 @@ from terrapulse.session import materialise
 GRAM = 32
 #: A batch of contexts for one suffix array, bytes; and contexts of one anchor beyond which it is dealt out further.
 BATCH_BYTES, HOT_CONTEXTS = 1 << 20, 4096
+#: Bytes of text that are scanned at once.
+SCAN_BYTES = 1 << 20
+#: What is cut out of a text: the context of a cool or a hot anchor, a copy, a source of copies.
+COOL, HOT, COPY, SOURCE = 0, 1, 2, 3
 MARK = "doc long, tag long, s long, e long"
+COLLISION = "two different strings have one 128-bit hash"
 _P = 0x9E3779B97F4A7C15
 
 
@@ -96,28 +106,46 @@ def merged(doc: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, n
     return doc[first], s[first], e[last]
 
 
+def parts_of(texts: list[bytes], length: int, limit: int = SCAN_BYTES) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Lists of (place in ``texts``, offset, bytes), all texts in one; a long text alone, cut so that each string of ``length`` bytes is whole in one part."""
+    if len(texts) == 1 and len(texts[0]) > limit:
+        for at in range(0, len(texts[0]) - length + 1, limit):
+            yield [(0, at, texts[0][at : at + limit + length - 1])]
+    else:
+        yield [(i, 0, t) for i, t in enumerate(texts)]
+
+
 def _scan(length: int):
-    names = ["key", "ctx", "doc", "tag", "s", "e", "off"]
+    names = ["key", "ctx", "doc", "tag", "s", "e", "done"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "tag"))
-            for start, texts in slices(batch.column("text")):
+            for start, texts in slices(batch.column("text"), SCAN_BYTES):
                 here = slice(start, start + len(texts))
                 order = np.lexsort((tags[here], ids[here]))
                 i, t = ids[here][order], tags[here][order]
-                x = anchored_runs([texts[k] for k in order], length)
-                both = mix(x["key"].view(np.uint64) + mix(x["ctx"].view(np.uint64)))
-                # of repeated rows the same places are equal, not earlier
-                _, at, back = np.unique(both, return_index=True, return_inverse=True)
-                first = at[back]
-                same = (i[x["doc"]] == i[x["doc"][first]]) & (t[x["doc"]] == t[x["doc"][first]]) & (x["s"] == x["s"][first]) if len(first) else np.zeros(0, bool)
-                own = np.zeros(len(first), bool)
-                own[at] = True
-                d, s, e = merged(*(x[c][~own & ~same] for c in ("doc", "s", "e")))
-                k = len(s)
-                cols = [np.concatenate(p) for p in ((x["key"][own], mix(np.arange(k, dtype=np.uint64) + i[d].astype(np.uint64)).view(np.int64)), (x["ctx"][own], np.zeros(k, np.int64)), (i[x["doc"][own]], i[d]), (t[x["doc"][own]], t[d]), (x["s"][own], s), (x["e"][own], e), (x["off"][own], np.full(k, -1)))]
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=names)
+                for parts in parts_of([texts[k] for k in order], length):
+                    which, offset = np.array([p[0] for p in parts]), np.array([p[1] for p in parts])
+                    x = anchored_runs([p[2] for p in parts], length)
+                    both = mix(x["key"].view(np.uint64) + mix(x["ctx"].view(np.uint64)))
+                    # of repeated rows the same places are equal, not earlier
+                    _, at, back = np.unique(both, return_index=True, return_inverse=True)
+                    first = at[back]
+                    d0, s0 = x["doc"], x["s"]
+                    same = (i[which[d0]] == i[which[d0[first]]]) & (t[which[d0]] == t[which[d0[first]]]) & (s0 == s0[first]) if len(first) else np.zeros(0, bool)
+                    own = np.zeros(len(first), bool)
+                    own[at] = True
+                    again = np.flatnonzero(~own & ~same)
+                    for a, b in zip(again.tolist(), first[again].tolist(), strict=True):
+                        if parts[d0[a]][2][s0[a] : x["e"][a]] != parts[d0[b]][2][s0[b] : x["e"][b]]:
+                            raise RuntimeError(COLLISION)
+                    s1, e1 = (x[c] + offset[d0] if len(d0) else x[c] for c in ("s", "e"))
+                    d, s, e = merged(d0[again], s1[again], e1[again])
+                    k, doc = len(s), which[d0] if len(d0) else d0
+                    dd = which[d] if k else d
+                    cols = [np.concatenate(p) for p in ((x["key"][own], mix(np.arange(k, dtype=np.uint64) + i[dd].astype(np.uint64)).view(np.int64)), (x["ctx"][own], np.zeros(k, np.int64)), (i[doc[own]], i[dd]), (t[doc[own]], t[dd]), (s1[own], s), (e1[own], e))]
+                    yield pa.RecordBatch.from_arrays([*[pa.array(c.astype(np.int64)) for c in cols], pa.array(np.arange(len(cols[0])) >= int(own.sum()))], names=names)
 
     return run
 
@@ -215,13 +243,26 @@ def _mark_batch(length: int):
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["doc", "tag", "fdoc", "ftag", "fs", "s", "e"]
     for batch in batches:
         out = []
-        for doc, tag, text, runs in zip(*(batch.column(c).to_pylist() for c in ("doc", "tag", "text", "runs")), strict=True):
-            out += [(r["key"], doc, tag, r["s"], r["hot"], text[r["s"] : r["e"]]) for r in runs]
-        kinds = (pa.int64(),) * 4 + (pa.bool_(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=["key", "doc", "tag", "s", "hot", "context"])
+        for doc, tag, fdoc, ftag, shift, x in zip(*(batch.column(c).to_pylist() for c in ("doc", "tag", "fdoc", "ftag", "shift", "x")), strict=True):
+            s, e = (np.array([r[c] for r in x]) for c in ("s", "e"))
+            out += [(doc, tag, fdoc, ftag, int(a) + shift, int(a), int(b)) for a, b in zip(*merged(np.zeros(len(s)), s, e)[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(7)], names=names)
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["kind", "key", "doc", "tag", "s", "e", "context"]
+    for batch in batches:
+        for doc, tag, text, runs in zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), batch.column("text"), batch.column("runs").to_pylist(), strict=True):
+            text = text.as_py()
+            for at in range(0, len(runs), 4096):
+                some = runs[at : at + 4096]
+                # a copy goes under the place of its source
+                rows = [(r["kind"], r["key"], r["fdoc"], r["ftag"], r["fs"], r["fs"] + r["e"] - r["s"], text[r["s"] : r["e"]]) if r["kind"] == COPY else (r["kind"], r["key"], doc, tag, r["s"], r["e"], text[r["s"] : r["e"]]) for r in some]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int32(), *[pa.int64()] * 5, pa.binary()), strict=True)], names=names)
 
 
 def _windows(length: int):
@@ -229,7 +270,7 @@ def _windows(length: int):
         for batch in batches:
             out = []
             for doc, tag, s, c in zip(*(batch.column(c).to_pylist() for c in ("doc", "tag", "s", "context")), strict=True):
-                out += [(hashlib.blake2b(c[i : i + length], digest_size=16).digest(), doc, tag, s + i) for i in range(len(c) - length + 1)]
+                out += [(c[i : i + length], doc, tag, s + i) for i in range(len(c) - length + 1)]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate((pa.binary(), pa.int64(), pa.int64(), pa.int64()))], names=["w", "doc", "tag", "s"])
 
     return run
@@ -261,27 +302,48 @@ def remove_repeats(docs: DataFrame, *, length: int = 100) -> DataFrame:
     Returns per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and ``removed`` (array: start, end, start,
     end ... in bytes).  Earlier is a smaller id, or an earlier start in the same document; a null id comes last, and
     among rows of one id with different texts a hash of the text decides; of equal rows neither is earlier.  A null
-    text is empty; a text shorter than ``length`` keeps all.
+    text is empty; a text shorter than ``length`` keeps all; an empty table gives no rows; long texts are scanned in
+    parts; other columns are not read.  Ids must be integers.  Two strings with one 128-bit hash would stop the job.
     """
     if length < 64 + GRAM or length > 192 - GRAM:
         raise ValueError("length must be from 96 to 160")
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        raise TypeError("doc_id must be of an integer type")
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64("text").alias("tag"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    runs = base.where(F.length("text") >= length).select("doc", "tag", "text").mapInArrow(_scan(length), "key long, ctx long, doc long, tag long, s long, e long, off long")
+    runs = base.where(F.length("text") >= length).select("doc", "tag", "text").mapInArrow(_scan(length), "key long, ctx long, doc long, tag long, s long, e long, done boolean")
     one = Window.partitionBy("key", "ctx")
     place = F.struct("doc", "tag", "s")
     anchor = Window.partitionBy("key")
-    seen = runs.withColumn("later", F.min(place).over(one) != place).withColumn("several", F.min("ctx").over(anchor) != F.max("ctx").over(anchor))
-    seen = materialise(seen.where("off < 0 or later or several").withColumn("done", F.expr("off < 0 or later")))
+    seen = runs.withColumn("from", F.min(place).over(one)).withColumn("several", F.min("ctx").over(anchor) != F.max("ctx").over(anchor))
+    later = ~F.col("done") & (F.col("from") != place)
+    seen = seen.withColumn("from", F.when(later, F.col("from"))).where(F.col("done") | F.col("from").isNotNull() | F.col("several"))
+    seen = materialise(seen.select("key", "doc", "tag", "s", "e", "done", "from"))
     marks = seen.where("done").select("doc", "tag", "s", "e")
-    left = seen.where("not done").select("key", "doc", "tag", "s", "e").distinct()
-    left = left.join(left.groupBy("key").agg((F.count(F.lit(1)) > HOT_CONTEXTS).alias("hot")), "key")
-    wanted = left.groupBy("doc", "tag").agg(F.collect_list(F.struct("key", "s", "e", "hot")).alias("runs"))
-    contexts = materialise(base.select("doc", "tag", "text").join(wanted, ["doc", "tag"]).select("doc", "tag", "text", "runs").mapInArrow(_cut, "key long, doc long, tag long, s long, hot boolean, context binary").distinct())
-    cool = contexts.where("not hot").repartition(tasks, "key").sortWithinPartitions("key", "doc", "tag", "s")
+    # copies side by side with one source are one span; a run's windows end before the next run's last
+    copies = seen.where("from IS NOT NULL").select("doc", "tag", "s", "e", F.col("from.doc").alias("fdoc"), F.col("from.tag").alias("ftag"), (F.col("from.s") - F.col("s")).alias("shift")).distinct()
+    copies = copies.groupBy("doc", "tag", "fdoc", "ftag", "shift").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("x"))
+    copies = materialise(copies.select("doc", "tag", "fdoc", "ftag", "shift", "x").mapInArrow(_spans, "doc long, tag long, fdoc long, ftag long, fs long, s long, e long"))
+    left = seen.where("NOT done AND from IS NULL").select("key", "doc", "tag", "s", "e").distinct()
+    left = left.join(left.groupBy("key").agg(F.when(F.count(F.lit(1)) > HOT_CONTEXTS, HOT).otherwise(COOL).alias("kind")), "key")
+    nothing = [F.lit(0).cast("long").alias(c) for c in ("fdoc", "ftag", "fs")]
+    zero = F.lit(0).cast("long").alias("key")
+    sources = copies.select(F.lit(SOURCE).alias("kind"), zero, F.col("fdoc").alias("doc"), F.col("ftag").alias("tag"), F.col("fs").alias("s"), (F.col("fs") + F.col("e") - F.col("s")).alias("e"), *nothing).distinct()
+    asked = left.select("kind", "key", "doc", "tag", "s", "e", *nothing).union(copies.select(F.lit(COPY).alias("kind"), zero, "doc", "tag", "s", "e", "fdoc", "ftag", "fs")).union(sources)
+    asked = asked.groupBy("doc", "tag").agg(F.collect_list(F.struct("kind", "key", "s", "e", "fdoc", "ftag", "fs")).alias("runs"))
+    cut = base.select("doc", "tag", "text").join(asked, ["doc", "tag"]).select("doc", "tag", "text", "runs")
+    cut = materialise(cut.mapInArrow(_cut, "kind int, key long, doc long, tag long, s long, e long, context binary"))
+    source = cut.where(F.col("kind") == SOURCE).select("doc", "tag", "s", "e", F.col("context").alias("was")).distinct()
+    compared = cut.where(F.col("kind") == COPY).join(source, ["doc", "tag", "s", "e"], "left")
+    differ = compared.where("was IS NULL OR was <> context").limit(1)
+    if not differ.isEmpty():
+        raise RuntimeError(COLLISION)
+    marks = marks.union(copies.select("doc", "tag", "s", "e"))
+    contexts = cut.where(F.col("kind").isin(COOL, HOT)).distinct()
+    cool = contexts.where(F.col("kind") == COOL).repartition(tasks, "key").sortWithinPartitions("key", "doc", "tag", "s")
     marks = marks.union(cool.select("key", "doc", "tag", "s", "context").mapInArrow(_mark_batch(length), MARK))
-    spread = contexts.where("hot").mapInArrow(_windows(length), "w binary, doc long, tag long, s long")
+    spread = contexts.where(F.col("kind") == HOT).select("doc", "tag", "s", "context").mapInArrow(_windows(length), "w binary, doc long, tag long, s long")
     hot = spread.withColumn("later", F.min(place).over(Window.partitionBy("w")) != place).where("later")
     marks = marks.union(hot.select("doc", "tag", "s", (F.col("s") + length).alias("e")))
     spans = marks.groupBy("doc", "tag").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
