@@ -21,7 +21,7 @@ from terrapulse.session import materialise
 #: Words that occur so often are the vocabulary; all others are one unknown word.
 MIN_COUNT = 2
 #: Tokens of the corpus for each part of the bigram table.
-PART_TOKENS = 400_000
+PART_TOKENS = 800_000
 #: So many target ids are sent to every task; more are joined by a shuffle of the texts, with the same result.
 SENT_IDS = 2_000_000
 #: Weight of the unigram estimate, in words.
@@ -30,8 +30,8 @@ PRIOR = 100.0
 HELD = 400_000
 
 
-#: Texts that a task takes at once, bytes.
-PIECE = 1 << 20
+#: Texts that a task takes at once, bytes, in counting and in scoring.
+PIECE, BLOCK = 1 << 20, 2 << 20
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -112,6 +112,10 @@ class Vocabulary:
     parts: int  # of the bigram table
     slots: int | None  # bigrams are folded into so many, where given
 
+    def __post_init__(self):
+        self.total = self.unigrams[: len(self.words) + 1].sum(0)
+        self.scale = np.array([1.0, self.total[0] / self.total[1] if self.total[0] else 1.0])
+
     def ids(self, words: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.words, words), max(0, len(self.words) - 1))
         return np.where(self.words[at] == words, at, len(self.words)) if len(self.words) else np.zeros(len(words), np.int64)
@@ -142,8 +146,7 @@ class Vocabulary:
 
     def bits(self, before: np.ndarray, w: np.ndarray, found: np.ndarray) -> np.ndarray:
         """(tokens, 2) bits under both models, of which the background is scaled to the size of the target."""
-        total = self.unigrams[: len(self.words) + 1].sum(0)
-        scale = np.array([1.0, total[0] / total[1] if total[0] else 1.0])
+        total, scale = self.total, self.scale
         single = (self.unigrams[w] * scale + 1.0) / (total * scale + len(self.words) + 1.0)
         context = self.unigrams[before] * scale
         return -np.log2((np.minimum(found * scale, context) + PRIOR * single) / (context + PRIOR))
@@ -233,7 +236,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         v, block = sent.value, TaskContext.get().partitionId() << 32
         for batch in batches:
             ids = batch.column("doc_id")
-            for start, texts in slices(batch.column("text"), PIECE):
+            for start, texts in slices(batch.column("text"), BLOCK):
                 before, w, n = v.tokens(texts)
                 doc = np.repeat(np.arange(len(texts), dtype=np.int32), n)
                 before, w = before.astype(np.int32), w.astype(np.int32)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrapulse.llm._text import carried
 from terrapulse.session import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -47,21 +48,33 @@ def mix_sources(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share:
     have equal keys and are interchangeable; an empty table gives no rows.
 
     The n documents of a source are range-split by key into about sqrt(n) buckets of sqrt(n) documents, so a source
-    with a third of all rows is many buckets; sums of buckets, not documents, are accumulated per source.
+    with a third of all rows is many buckets; sums of buckets, not documents, are accumulated per source.  The prefix
+    sums end in one row per source, the key at which its budget is spent; only that row meets the carried columns, so
+    texts are not shuffled.  Equal rows share a key; if the budget ends among them, they share the rest, rounded down.
+    Carried columns named like a result give way to it.
     """
+    carry = carried(carry, "doc_id", "source", "size", "source_size", "target", "epochs", "taken", "key")
     rows = materialise(sized(docs, seed=seed, carry=carry))
-    per_source = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")), weights=weights, share=share, max_repeat=max_repeat)
+    small = rows.select("source", "size", "key")
+    per_source = targets(small.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")), weights=weights, share=share, max_repeat=max_repeat)
     budget = F.floor("target").cast("long")
     per_source = per_source.withColumn("epochs", F.when(F.col("source_size") > 0, F.least(F.lit(max_repeat), F.floor(budget / F.col("source_size")))).otherwise(0).cast("long"))
     per_source = materialise(per_source.withColumn("rest", budget - F.col("epochs") * F.col("source_size")).withColumn("buckets", F.ceil(F.sqrt("n_docs"))))
     same = F.col("r.source").eqNullSafe(F.col("s.source"))
     bucket = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32)) * F.col("buckets")).cast("long")
-    joined = rows.alias("r").join(per_source.alias("s"), same).select("r.*", "source_size", "target", "epochs", "rest", "buckets").withColumn("bucket", bucket)
-    sums = joined.groupBy("source", "bucket").agg(F.sum("size").alias("b_size"))
+    dealt = small.alias("r").join(per_source.alias("s"), same).select("r.*", "rest", bucket.alias("bucket"))
+    keys = dealt.groupBy("source", "bucket", "key", "rest").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    sums = keys.groupBy("source", "bucket", "rest").agg(F.sum("size").alias("b_size"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("source", "bucket", F.coalesce(F.sum("b_size").over(earlier), F.lit(0)).alias("b_before"))
-    inner = Window.partitionBy("source", "bucket").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    done = joined.alias("r").join(sums.alias("s"), same & (F.col("r.bucket") == F.col("s.bucket"))).select("r.*", "b_before")
-    done = done.withColumn("before", F.col("b_before") + F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    more = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before")))
+    sums = sums.withColumn("b_before", F.coalesce(F.sum("b_size").over(earlier), F.lit(0)))
+    # the budget ends in one bucket of each source; only its documents are ordered
+    last = sums.where("b_before <= rest AND rest < b_before + b_size").select("source", "bucket", "b_before")
+    inner = Window.partitionBy("source").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    ends = keys.alias("r").join(last.alias("s"), same & (F.col("r.bucket") == F.col("s.bucket"))).select("r.source", "r.key", "r.size", "r.n", "r.rest", "b_before")
+    ends = ends.withColumn("before", F.col("b_before") + F.coalesce(F.sum("size").over(inner), F.lit(0)))
+    ends = ends.where("before <= rest AND rest < before + size").select("source", F.col("key").alias("cut"), F.floor((F.col("rest") - F.col("before")) / F.col("n")).cast("long").alias("part"))
+    cuts = per_source.alias("r").join(ends.alias("s"), same, "left").select("r.source", "source_size", "target", "epochs", "cut", "part")
+    # without a cut the whole epochs are the whole target
+    more = F.when(F.col("key") < F.col("cut"), F.col("size")).when(F.col("key") == F.col("cut"), F.col("part")).otherwise(F.lit(0))
+    done = rows.alias("r").join(cuts.alias("s"), same).select("r.*", "source_size", "target", "epochs", "cut", "part")
     return done.select("doc_id", "source", *carry, "size", "source_size", "target", "epochs", (F.col("epochs") * F.col("size") + more).cast("long").alias("taken"))
