@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from terrapulse import catalogue
+from terrapulse import queries as catalogue
 from terrapulse.operators.components import connected_components
 
 DATA = "/root/testdata/sf0.001"
