@@ -11,8 +11,8 @@ from terrapulse.operators import bounds
 AREA = (30.0005, 30.0025, 103.0095, 103.0305)
 _IN = "lat BETWEEN 30.0005 AND 30.0025 AND lon BETWEEN 103.0095 AND 103.0305"
 #: A rate in mm a year for points of the grid, which have no series of their own.
-RATE = (F.col("model_rms") - 2.0) * 5.0 + (F.col("tcoh") - 0.5) * 20.0
-RATE_SQL = "((model_rms - 2.0::DOUBLE) * 5.0::DOUBLE + (tcoh - 0.5::DOUBLE) * 20.0::DOUBLE)"
+RATE = (F.col("model_rms") - 2.013) * 5.0 + (F.col("tcoh") - 0.5) * 20.0
+RATE_SQL = "((model_rms - 2.013::DOUBLE) * 5.0::DOUBLE + (tcoh - 0.5::DOUBLE) * 20.0::DOUBLE)"
 
 
 @register("p02_placed_points", ("point",), "SELECT point_id FROM point WHERE lat > 0.1 AND isfinite(lat) AND isfinite(lon)")

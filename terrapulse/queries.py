@@ -1,5 +1,5 @@
 """All registered queries of the reference's operators and their DuckDB twins."""
 
-from terrapulse import catalogue, catalogue_grids  # noqa: F401  (modules register on import)
+from terrapulse import catalogue, catalogue_grids, catalogue_references  # noqa: F401  (modules register on import)
 
 QUERIES, ORACLE_SQL = catalogue.QUERIES, catalogue.ORACLE_SQL
