@@ -13,27 +13,40 @@ def with_stats(df: DataFrame, **stats) -> DataFrame:
     return df.join(F.broadcast(df.agg(*[e.alias(n) for n, e in stats.items()])))
 
 
-def minmax(df: DataFrame, col: str, out: str) -> DataFrame:
-    """x over its range, in [0, 1]; a constant or missing value gives 0."""
-    x = F.col(col)
-    df = with_stats(df, _lo=F.min(x), _hi=F.max(x))
-    return df.withColumn(out, F.coalesce(clip(F.try_divide(x - F.col("_lo"), F.col("_hi") - F.col("_lo")), 0.0, 1.0), F.lit(0.0))).drop("_lo", "_hi")
-
-
-def robust_range(df: DataFrame, col: str, out: str, low: float = 0.05, high: float = 0.95) -> DataFrame:
-    """x over the range of its 5th and 95th percentile, in [0, 1]; a missing value gives 0."""
-    x = F.col(col)
-    df = with_stats(df, _lo=F.percentile(x, F.lit(low)), _hi=F.percentile(x, F.lit(high)))
-    return df.withColumn(out, F.coalesce(clip(F.try_divide(x - F.col("_lo"), F.col("_hi") - F.col("_lo")), 0.0, 1.0), F.lit(0.0))).drop("_lo", "_hi")
-
-
-def robust_z(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Deviations from the median in scaled median deviations, held within [-5, 8]; a missing value gives 0."""
-    x = F.col(col)
-    df = with_stats(df, _med=F.median(x))
-    df = with_stats(df, _mad=F.median(F.abs(x - F.col("_med"))))
-    z = (x - F.col("_med")) / F.greatest(1.4826 * F.col("_mad"), F.lit(1e-3))
-    return df.withColumn(out, F.coalesce(clip(z, -5.0, 8.0), F.lit(0.0))).drop("_med", "_mad")
+def minmax(df: DataFrame, *cols: str, **named: str) -> DataFrame:
+    """Columns over their range, in [0, 1]; a constant or missing value gives 0.
+
+    ``minmax(df, "x", "out")`` or ``minmax(df, out="x", out2="y")``: the statistics of all columns are one aggregate, so ``df``
+    is read twice however many columns there are.
+    """
+    return _scaled(df, _named(cols, named), lambda x: (F.min(x), F.max(x)))
+
+
+def robust_range(df: DataFrame, *cols: str, low: float = 0.05, high: float = 0.95, **named: str) -> DataFrame:
+    """Columns over the range of their 5th and 95th percentile, in [0, 1]; a missing value gives 0.  Called like :func:`minmax`."""
+    return _scaled(df, _named(cols, named), lambda x: (F.percentile(x, F.lit(low)), F.percentile(x, F.lit(high))))
+
+
+def _named(cols: tuple[str, ...], named: dict[str, str]) -> dict[str, str]:
+    return {cols[1]: cols[0]} if cols else named
+
+
+def _scaled(df: DataFrame, named: dict[str, str], ends) -> DataFrame:
+    pairs = {out: ends(F.col(c)) for out, c in named.items()}
+    df = with_stats(df, **{f"_{k}_{out}": e for out, p in pairs.items() for k, e in zip(("lo", "hi"), p, strict=True)})
+    share = lambda out, c: F.try_divide(F.col(c) - F.col(f"_lo_{out}"), F.col(f"_hi_{out}") - F.col(f"_lo_{out}"))
+    df = df.withColumns({out: F.coalesce(clip(share(out, c), 0.0, 1.0), F.lit(0.0)) for out, c in named.items()})
+    return df.drop(*[f"_{k}_{out}" for out in named for k in ("lo", "hi")])
+
+
+def robust_z(df: DataFrame, *cols: str, **named: str) -> DataFrame:
+    """Deviations from the median in scaled median deviations, held within [-5, 8]; a missing value gives 0.  Called like :func:`minmax`."""
+    named = _named(cols, named)
+    df = with_stats(df, **{f"_med_{out}": F.median(c) for out, c in named.items()})
+    df = with_stats(df, **{f"_mad_{out}": F.median(F.abs(F.col(c) - F.col(f"_med_{out}"))) for out, c in named.items()})
+    z = lambda out, c: (F.col(c) - F.col(f"_med_{out}")) / F.greatest(1.4826 * F.col(f"_mad_{out}"), F.lit(1e-3))
+    df = df.withColumns({out: F.coalesce(clip(z(out, c), -5.0, 8.0), F.lit(0.0)) for out, c in named.items()})
+    return df.drop(*[f"_{k}_{out}" for out in named for k in ("med", "mad")])
 
 
 def order_statistic(df: DataFrame, keys: list[str], value: str, position, cuts: int = 200) -> DataFrame:

@@ -32,7 +32,7 @@ def metrics(pixels: DataFrame) -> DataFrame:
 
 def scored(pair: DataFrame) -> DataFrame:
     """Risk, action and weight of each pair."""
-    pair = minmax(minmax(pair, "n_conncomp", "ncc"), "pair_p95_abs_los_mm", "p95")
+    pair = minmax(pair, ncc="n_conncomp", p95="pair_p95_abs_los_mm")
     coh, valid, large = F.col("coh_mean"), F.col("valid_conncomp_frac"), F.col("pair_frac_abs_los_gt_50mm")
     risk = 0.25 * (1 - F.least(F.lit(1.0), coh)) + 0.20 * (1 - valid) + 0.15 * F.col("ncc") + 0.20 * F.col("p95") + 0.20 * large
     action = F.when((coh < 0.45) | (valid < 0.65) | (large > 0.15), "drop").when((coh >= 0.55) & (valid >= 0.85) & (large <= 0.05), "keep").otherwise("downweight")

@@ -34,7 +34,7 @@ def constrained(points: DataFrame, *, min_edge: float = MIN_EDGE, min_neighbours
 def scored(points: DataFrame) -> DataFrame:
     """``ref_score`` and ``network_quality`` of points."""
     unit = lambda c: clip(F.col(c), 0.0, 1.0)
-    df = robust_range(robust_range(points, "model_rms", "_m"), "neighbours", "_n")
+    df = robust_range(points, _m="model_rms", _n="neighbours")
     score = 0.35 * unit("tcoh") + 0.25 * unit("maincc_ratio") + 0.20 * (1 - F.col("_m")) + 0.10 * unit("valid_pair_ratio") + 0.10 * F.col("_n")
     df = df.withColumn("ref_score", score).drop("_m", "_n")
     return df.withColumn("network_quality", 0.70 * F.col("ref_score") + 0.20 * unit("ps_score") + 0.10 * (1 - unit("jump_risk")))
