@@ -35,12 +35,16 @@ PIECE, BLOCK = 1 << 20, 2 << 20
 
 
 def _packed(x: np.ndarray) -> bytes:
-    """The bytes of numbers by place, so that the leading zeros of all lie together and compress."""
-    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    """Numbers compressed, byte by byte of their places, so that the leading zeros of all lie together; the size goes before."""
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
 
 
 def _unpacked(x: pa.Scalar, kind: type) -> np.ndarray:
-    return np.frombuffer(x.as_buffer(), np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+    buffer = x.as_buffer()
+    size = int.from_bytes(buffer[:8].to_pybytes(), "little")
+    raw = pa.decompress(buffer[8:], decompressed_size=size, codec="zstd") if size else b""
+    return np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
 
 
 def _summed(key: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -73,7 +73,8 @@ def mix_sources(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share:
     ends = keys.alias("r").join(last.alias("s"), same & (F.col("r.bucket") == F.col("s.bucket"))).select("r.source", "r.key", "r.size", "r.n", "r.rest", "b_before")
     ends = ends.withColumn("before", F.col("b_before") + F.coalesce(F.sum("size").over(inner), F.lit(0)))
     ends = ends.where("before <= rest AND rest < before + size").select("source", F.col("key").alias("cut"), F.floor((F.col("rest") - F.col("before")) / F.col("n")).cast("long").alias("part"))
-    cuts = per_source.alias("r").join(ends.alias("s"), same, "left").select("r.source", "source_size", "target", "epochs", "cut", "part")
+    # written, so that its size is known: a row a source is sent to the texts, not the texts dealt out by source
+    cuts = materialise(per_source.alias("r").join(ends.alias("s"), same, "left").select("r.source", "source_size", "target", "epochs", "cut", "part"))
     # without a cut the whole epochs are the whole target
     more = F.when(F.col("key") < F.col("cut"), F.col("size")).when(F.col("key") == F.col("cut"), F.col("part")).otherwise(F.lit(0))
     done = rows.alias("r").join(cuts.alias("s"), same).select("r.*", "source_size", "target", "epochs", "cut", "part")
