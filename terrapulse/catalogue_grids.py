@@ -11,10 +11,13 @@ from terrapulse.operators import bounds
 AREA = (30.0005, 30.0025, 103.0095, 103.0305)
 _IN = "lat BETWEEN 30.0005 AND 30.0025 AND lon BETWEEN 103.0095 AND 103.0305"
 #: A rate in mm a year for points of the grid, which have no series of their own.
-RATE = (F.col("model_rms") - 2.013) * 5.0 + (F.col("tcoh") - 0.5) * 20.0
 RATE_SQL = "((model_rms - 2.013::DOUBLE) * 5.0::DOUBLE + (tcoh - 0.5::DOUBLE) * 20.0::DOUBLE)"
 
 
+def rate():
+    return (F.col("model_rms") - 2.013) * 5.0 + (F.col("tcoh") - 0.5) * 20.0
+
+
 @register("p02_placed_points", ("point",), "SELECT point_id FROM point WHERE lat > 0.1 AND isfinite(lat) AND isfinite(lon)")
 def p02(points):
     return points.where(bounds.has_place(F.col("lat"), F.col("lon"))).select("point_id")
@@ -39,7 +42,7 @@ def p04(points):
     f"SELECT point_id, round({RATE_SQL}, 6) AS velocity FROM point WHERE {RATE_SQL} <> 0 AND tcoh >= 0.4 AND jump_risk * 100 < 80 AND col % 7 <> 0",
 )
 def p05(points):
-    df = points.withColumns({"velocity": RATE, "deviation": F.col("jump_risk") * 100, "land": F.col("col") % 7 != 0})
+    df = points.withColumns({"velocity": rate(), "deviation": F.col("jump_risk") * 100, "land": F.col("col") % 7 != 0})
     return bounds.displayed(df, 0.4).select("point_id", "velocity")
 
 
@@ -118,7 +121,7 @@ def p20(scenes):
 @register("p21_corrected_rate", ("point",), f'SELECT point_id, round({RATE_SQL} - 0.01 * "row", 6) AS velocity FROM point WHERE col % 2 = 0 UNION ALL SELECT point_id, NULL FROM point WHERE col % 2 = 1')
 def p21(points):
     field = points.where("col % 2 = 0").select("row", "col", (F.col("row") * 0.01).alias("motion"))
-    return bounds.corrected_rate(points.withColumn("velocity", RATE), field, ["row", "col"]).select("point_id", "velocity")
+    return bounds.corrected_rate(points.withColumn("velocity", rate()), field, ["row", "col"]).select("point_id", "velocity")
 
 
 @register("p22_slant_range", ("point",), "SELECT point_id, round(800000.0::DOUBLE + col * 3 * 2.33::DOUBLE, 6) AS slant_range FROM point")

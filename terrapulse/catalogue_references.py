@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from terrapulse.catalogue import _METRICS, _scored_points, register
-from terrapulse.catalogue_grids import RATE, RATE_SQL
+from terrapulse.catalogue_grids import RATE_SQL, rate
 from terrapulse.operators import fits, pairs, references, series
 
 _T = "(day_offset / 365.25::DOUBLE)"
@@ -59,7 +59,7 @@ def _reference_points(points):
     whole = Window.partitionBy()
     edge = F.least("row", "col", F.max("row").over(whole) - F.col("row"), F.max("col").over(whole) - F.col("col"))
     return df.withColumns({
-        "neighbours": F.col("point_id") % 7, "edge": edge, "gradient": F.col("jump_risk") * 10, "safe": F.col("col") % 9 != 0, "velocity": RATE, "strict": F.col("ps_score") >= 0.75,
+        "neighbours": F.col("point_id") % 7, "edge": edge, "gradient": F.col("jump_risk") * 10, "safe": F.col("col") % 9 != 0, "velocity": rate(), "strict": F.col("ps_score") >= 0.75,
     })
 
 
