@@ -60,13 +60,22 @@ def interval_score(alpha: float = 0.2) -> Column:
     return hi - lo + 2 / alpha * F.greatest(lo - y, F.lit(0.0)) + 2 / alpha * F.greatest(y - hi, F.lit(0.0)) + F.abs(mid - y)
 
 
-def scores(predicted: DataFrame, target_coverage: float = 0.8) -> DataFrame:
-    """Metrics by method and step ahead, and over all steps as step 0 (FC16, A34)."""
+def quantile_loss(predicted: DataFrame, penalty: float = 0.1) -> DataFrame:
+    """Mean pinball loss of the three quantiles, and ``penalty`` times how far they cross, by method (FC14)."""
+    y, lo, mid, hi = (F.col(c) for c in ("target", "p10", "p50", "p90"))
+    base = sum(F.avg(pinball(p, y, q)) for p, q in ((lo, 0.1), (mid, 0.5), (hi, 0.9))) / 3
+    crossed = F.avg(F.greatest(F.lit(0.0), lo - mid)) + F.avg(F.greatest(F.lit(0.0), mid - hi))
+    return predicted.groupBy("method").agg((base + penalty * crossed).alias("loss"))
+
+
+def scores(predicted: DataFrame, target_coverage: float = 0.8, by: tuple[str, ...] = ("method",)) -> DataFrame:
+    """Metrics by ``by`` and step ahead, and over all steps as step 0 (FC16, A34)."""
     y = F.col("target")
     diff = F.col("p50") - y
     mean_pinball = sum(F.avg(pinball(F.col(c), y, q)) for c, q in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9))) / 3
     cover = F.avg(y.between(F.col("p10"), F.col("p90")).cast("double"))
-    steps = predicted.groupingSets([[F.col("method"), F.col("h")], [F.col("method")]], F.col("method"), F.col("h"))
+    group = [F.col(c) for c in by]
+    steps = predicted.groupingSets([[*group, F.col("h")], group], *group, F.col("h"))
     return steps.agg(
         F.avg(F.abs(diff)).alias("mae"), F.sqrt(F.avg(diff * diff)).alias("rmse"), mean_pinball.alias("pinball"), cover.alias("coverage"),
         F.abs(cover - target_coverage).alias("coverage_error"), F.avg(F.col("p90") - F.col("p10")).alias("width"), F.avg(interval_score()).alias("wis_ref"),
