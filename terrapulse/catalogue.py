@@ -498,9 +498,13 @@ _ROUND1 = _FEED + """, lim AS (SELECT quantile_cont(median_residual, 0.05) AS a,
 _ACT = "CASE WHEN {0} >= 0.75 THEN 'keep' WHEN {0} >= 0.5 THEN 'downweight' ELSE 'drop' END"
 
 
-def _pair_metrics(pixels, obs, points):
+def _pair_residuals(pixels, obs, points):
     good = _scored_points(points).where("point_class <> 'none'").select("point_id")
-    return feedback.pair_metrics(feedback.pair_residuals(pixels, series.trend(obs).join(good, "point_id", "left_semi")))
+    return feedback.pair_residuals(pixels, series.trend(obs).join(good, "point_id", "left_semi"))
+
+
+def _pair_metrics(pixels, obs, points):
+    return feedback.pair_metrics(_pair_residuals(pixels, obs, points))
 
 
 @register("a13_trusted_pair_metrics", ("pair_pixel", "obs", "point"), _FEED + " SELECT date1, date2, round(bad_ratio, 6) AS bad_ratio, round(main_cc_coverage, 6) AS main_cc_coverage, round(unwrap_jump_index, 6) AS unwrap_jump_index, round(median_residual, 6) AS median_residual FROM m")

@@ -35,6 +35,22 @@ def pair_metrics(residuals: DataFrame, jump_threshold: float = 28.0) -> DataFram
     )
 
 
+def point_jumps(residuals: DataFrame, jump_threshold: float = 28.0) -> DataFrame:
+    """Of each point the shares of valid and of main-component pixels, and of jumps among the valid ones (A10)."""
+    jump = (F.col("ok") & (F.col("residual") > jump_threshold)).cast("long")
+    return residuals.groupBy("point_id").agg(
+        F.avg(F.col("ok").cast("double")).alias("valid_pair_ratio"), F.avg(F.col("main").cast("double")).alias("maincc_ratio"),
+        (F.sum(jump) / F.greatest(F.lit(1), F.count_if("ok"))).alias("jump_risk"),
+    )
+
+
+def with_overlap(pairs: DataFrame, coverage: DataFrame) -> DataFrame:
+    """Pairs with ``overlap``, the lesser ``coverage`` of their two dates; an unknown date is covered."""
+    end = lambda d, n: coverage.select(F.col("date").alias(d), F.col("coverage").alias(n))
+    met = pairs.join(end("date1", "_a"), "date1", "left").join(end("date2", "_b"), "date2", "left")
+    return met.withColumn("overlap", F.least(F.coalesce("_a", F.lit(1.0)), F.coalesce("_b", F.lit(1.0)))).drop("_a", "_b")
+
+
 def by_quality(quality: Column) -> Column:
     """Action by pair quality."""
     return F.when(quality >= 0.75, "keep").when(quality >= 0.50, "downweight").otherwise("drop")
@@ -45,11 +61,14 @@ def weight_of(action: Column) -> Column:
 
 
 def first_round(pairs: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Quality, action and weight of every pair; a pair without metrics has the worst values and quality 0."""
+    """Quality, action and weight of every pair; a pair without metrics has the worst values and quality 0.
+
+    ``pairs`` may have ``overlap`` (:func:`with_overlap`), which counts as 1 where it is not there.
+    """
     known = robust_range(metrics.withColumn("_known", F.lit(True)), "median_residual", "_m").withColumn("consistency", F.when(F.col("median_residual").isNotNull(), 1 - F.col("_m")).otherwise(0.0)).drop("_m")
     df = pairs.join(known, PAIR, "left")
     df = df.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in (("bad_ratio", 1.0), ("main_cc_coverage", 0.0), ("unwrap_jump_index", 1.0), ("consistency", 0.0))})
-    q = 0.30 * (1 - F.col("bad_ratio")) + 0.25 * F.col("main_cc_coverage") + 0.20 * (1 - F.col("unwrap_jump_index")) + 0.15 * F.col("consistency") + 0.10
+    q = 0.30 * (1 - F.col("bad_ratio")) + 0.25 * F.col("main_cc_coverage") + 0.20 * (1 - F.col("unwrap_jump_index")) + 0.15 * F.col("consistency") + 0.10 * (F.col("overlap") if "overlap" in pairs.columns else F.lit(1.0))
     df = df.withColumn("q_round1", F.when(F.col("_known"), q).otherwise(0.0)).drop("_known")
     return df.withColumn("action_round1", by_quality(F.col("q_round1"))).withColumn("weight_round1", weight_of(F.col("action_round1")))
 

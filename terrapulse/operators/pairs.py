@@ -85,3 +85,16 @@ def degree(pair: DataFrame) -> DataFrame:
     per = kept.groupBy("date").agg(F.count(F.lit(1)).alias("degree"))
     whole = Window.partitionBy()
     return per.withColumn("redundancy", F.sum("degree").over(whole) / 2.0 / (F.count(F.lit(1)).over(whole) - 1))
+
+
+def network(pair: DataFrame) -> DataFrame:
+    """Mean coherence of each pair and whether the network keeps it."""
+    return pair.select("date1", "date2", F.col("coh_mean").alias("coherence"), (F.col("action") != "drop").alias("kept"))
+
+
+def redundancy(pair: DataFrame, least: float = 1.5) -> DataFrame:
+    """One row: kept pairs, their dates, pairs to a chain's links, and whether that is over ``least``."""
+    ends = pair.where("action <> 'drop'").select(F.explode(F.array("date1", "date2")).alias("date"))
+    out = ends.groupBy("date").agg(F.count(F.lit(1)).alias("n")).agg((F.sum("n") / 2).cast("long").alias("pairs"), F.count(F.lit(1)).alias("dates"))
+    links = F.col("dates") - 1
+    return out.withColumns({"redundancy": F.try_divide(F.col("pairs"), links), "enough": F.col("pairs") > least * links})
