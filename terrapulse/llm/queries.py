@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrapulse.llm import contamination, hamming, langid, lmscore, mixing, neardup, pii, quality, substrings, toxicity
+from terrapulse.llm import contamination, hamming, langid, lmscore, mixing, neardup, pii, quality, sharding, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +59,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_hamming_top_k, op2_decontamination, op3_repeated_substrings, op4_near_duplicates, op5_pii, op6_quality, op7_lm_score, op8_toxicity, op9_source_mix, op10_language_id)}
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.interleave(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_hamming_top_k, op2_decontamination, op3_repeated_substrings, op4_near_duplicates, op5_pii, op6_quality, op7_lm_score, op8_toxicity, op9_source_mix, op10_language_id, op13_sharding)}
 
 _WORDS = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -99,4 +103,14 @@ t AS (SELECT source, source_size, least(cap, coalesce((SELECT level FROM lv) * w
 b AS (SELECT *, CASE WHEN source_size > 0 THEN least(2, CAST(floor(floor(target) / source_size) AS BIGINT)) ELSE 0 END AS epochs FROM t),
 c AS (SELECT d.*, source_size, target, epochs, CAST(floor(target) AS BIGINT) - epochs * source_size AS rest, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
 SELECT doc_id, source, size, source_size, target, CAST(epochs AS BIGINT) AS epochs, CAST(epochs * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken FROM c""",
+    "op13_sharding": """
+WITH crc AS (SELECT list(list_reduce(list_prepend(n::BIGINT, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t FROM range(256) r(n)),
+d AS (SELECT doc_id, source, coalesce('0' || source, '1') AS stratum, hex(encode(coalesce(text, ''))) AS h, md5('29:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id) - 1 AS rank, count(*) OVER (PARTITION BY stratum) AS n FROM d),
+p AS (SELECT *, row_number() OVER (ORDER BY (2 * rank + 1)::DOUBLE / (2 * n)::DOUBLE, stratum, key, doc_id) - 1 AS place, count(*) OVER () AS total FROM r),
+s AS (SELECT *, 24 * place // total AS shard FROM p)
+SELECT doc_id, source, CAST(len(h) // 2 + 8 AS BIGINT) AS size,
+CAST(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(h) // 2), lambda i: ('0x' || substring(h, 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS BIGINT) AS text_crc32,
+'rows' AS law, CAST(shard AS INTEGER) AS shard, CAST(place - row_number_before AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM (SELECT *, (shard * total + 23) // 24 AS row_number_before FROM s), crc""",
 }
