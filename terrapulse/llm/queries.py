@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrapulse.llm import contamination, hamming, langid, lmscore, mixing, neardup, pii, quality, sharding, substrings, toxicity
+from terrapulse.llm import alignment, contamination, hamming, langid, lexsearch, lmscore, mixing, neardup, pii, quality, sharding, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,11 +59,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(table(spark, sf_dir, "documents"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hamming_top_k, op2_decontamination, op3_repeated_substrings, op4_near_duplicates, op5_pii, op6_quality, op7_lm_score, op8_toxicity, op9_source_mix, op10_language_id, op13_sharding)}
+QUERIES = {f.__name__: f for f in (op1_hamming_top_k, op2_decontamination, op3_repeated_substrings, op4_near_duplicates, op5_pii, op6_quality, op7_lm_score, op8_toxicity, op9_source_mix, op10_language_id, op11_ranked_search, op12_token_alignment, op13_sharding)}
 
 _WORDS = r"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -103,6 +111,16 @@ t AS (SELECT source, source_size, least(cap, coalesce((SELECT level FROM lv) * w
 b AS (SELECT *, CASE WHEN source_size > 0 THEN least(2, CAST(floor(floor(target) / source_size) AS BIGINT)) ELSE 0 END AS epochs FROM t),
 c AS (SELECT d.*, source_size, target, epochs, CAST(floor(target) AS BIGINT) - epochs * source_size AS rest, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
 SELECT doc_id, source, size, source_size, target, CAST(epochs AS BIGINT) AS epochs, CAST(epochs * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken FROM c""",
+    "op11_ranked_search": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format(text="text")} AS w FROM documents WHERE text IS NOT NULL),
+s AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, unnest({_WORDS.format(text="text")}) AS term FROM benchmark WHERE text IS NOT NULL),
+t AS (SELECT rid, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+m AS (SELECT rid, doc_id, 100 - 90 + ((90 * len(w)::BIGINT * n) // l) AS m FROM d, s WHERE len(w) > 0),
+p AS (SELECT item_id, doc_id, rid, CAST(sum(CAST(floor(1000 * ln((2 * n + 2) / (2 * df + 1))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+FROM q JOIN f USING (term) JOIN t USING (term) JOIN m USING (rid), s GROUP BY ALL)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM p WHERE score > 0) WHERE r <= 10""",
     "op13_sharding": """
 WITH crc AS (SELECT list(list_reduce(list_prepend(n::BIGINT, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t FROM range(256) r(n)),
 d AS (SELECT doc_id, source, coalesce('0' || source, '1') AS stratum, hex(encode(coalesce(text, ''))) AS h, md5('29:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key FROM documents),
