@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from terrapulse.adapters import DUCK, view
 from terrapulse.functions import scalars, stats
-from terrapulse.operators import components, feedback, forecasts, neighbours, pairs, rasters, series, zones
+from terrapulse.operators import components, feedback, fits, forecasts, neighbours, pairs, rasters, series, zones
+from terrapulse.session import materialise
+from terrapulse.twins import MODEL, value_at
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -169,10 +171,10 @@ def w14(obs):
     return series.shape(obs)
 
 
-_FIT = "g AS (SELECT point_id, count(*) AS n, regr_slope(value_mm, day_offset / 365.25::DOUBLE) AS slope, regr_intercept(value_mm, day_offset / 365.25::DOUBLE) AS intercept, greatest(regr_syy(value_mm, day_offset / 365.25::DOUBLE) - regr_slope(value_mm, day_offset / 365.25::DOUBLE) * regr_sxy(value_mm, day_offset / 365.25::DOUBLE), 0.000001) AS sse FROM obs GROUP BY point_id)"
+_FIT = "g AS (SELECT point_id, count(*) AS n, regr_slope(value_mm, day_offset / 365.25::DOUBLE) AS slope, regr_intercept(value_mm, day_offset / 365.25::DOUBLE) AS intercept, greatest(regr_syy(value_mm, day_offset / 365.25::DOUBLE) - regr_slope(value_mm, day_offset / 365.25::DOUBLE) * regr_sxy(value_mm, day_offset / 365.25::DOUBLE), 0) AS sse FROM obs GROUP BY point_id)"
 
 
-@register("ts06_trend", ("obs",), _FIT + " SELECT point_id, n, round(slope, 6) AS slope, round(intercept, 6) AS intercept, round(sse, 6) AS sse, round(sqrt(sse / n), 6) AS rms, round(n * ln(sse / n) + 2 * ln(n), 6) AS bic FROM g")
+@register("ts06_trend", ("obs",), _FIT + " SELECT point_id, n, round(slope, 6) AS slope, round(intercept, 6) AS intercept, round(sse, 6) AS sse, round(sqrt(sse / n), 6) AS rms, round(n * ln(greatest(sse / n, 1e-6)) + 2 * ln(n), 6) AS bic FROM g")
 def ts06(obs):
     return series.trend(obs)
 
@@ -182,7 +184,7 @@ def ts04(obs):
     return series.slope_sensitivity(obs)
 
 
-_DATE = _FIT + ", dq AS (SELECT date, median(abs(value_mm - intercept - slope * day_offset / 365.25::DOUBLE)) AS median_abs, avg(CAST(abs(value_mm - intercept - slope * day_offset / 365.25::DOUBLE) > 10 AS INT)) AS frac, median(value_mm - intercept - slope * day_offset / 365.25::DOUBLE) AS bias FROM obs JOIN g USING (point_id) GROUP BY date)"
+_DATE = MODEL + ", dq AS (SELECT date, median(abs(res)) AS median_abs, avg(CAST(abs(res) > 10 AS INT)) AS frac, median(res) AS bias FROM r GROUP BY date)"
 
 
 @register("a18_date_qc", ("obs",), _DATE + " SELECT date, round(median_abs, 6) AS median_abs, round(frac, 6) AS frac, round(bias, 6) AS bias FROM dq")
@@ -231,7 +233,7 @@ def j12(scenes):
     return per.withColumnRenamed("frame", "f1").join(other, ["path", "d"]).where("f1 < f2").groupBy("path", "f1", "f2").agg(F.count(F.lit(1)).alias("dates"))
 
 
-_LINE = "f AS (SELECT point_id, regr_slope(value_mm, day_offset / 365.25::DOUBLE) AS slope, regr_intercept(value_mm, day_offset / 365.25::DOUBLE) AS cut FROM obs GROUP BY point_id), r AS (SELECT obs.*, value_mm - (cut + slope * day_offset / 365.25::DOUBLE) AS res FROM obs JOIN f USING (point_id))"
+_LINE = MODEL
 _DELTA = "d AS (SELECT *, value_mm - lag(value_mm) OVER (PARTITION BY point_id ORDER BY epoch_idx) AS delta FROM obs)"
 _GRID = "g AS (SELECT p.point_id, e.epoch_idx, o.value_mm FROM (SELECT DISTINCT point_id FROM obs) p CROSS JOIN epoch e LEFT JOIN obs o ON o.point_id = p.point_id AND o.epoch_idx = e.epoch_idx)"
 
@@ -490,8 +492,9 @@ def fc22(obs):
     return forecasts.scores(forecasts.calibrated(found, forecasts.calibration(found)))
 
 
-_FEED = _MAIN + ", " + _FIT + ", " + _SCORE + f""", x AS (SELECT date1, date2, {_OK} AS ok, {_OK} AND coalesce(cc = main_cc, false) AS main, abs(unw * 0.05546576::DOUBLE / (4 * pi()) * 1000 - slope * datediff('day', strptime(date1, '%Y%m%d'), strptime(date2, '%Y%m%d')) / 365.25::DOUBLE) AS res
- FROM pair_pixel JOIN s USING (point_id) JOIN g USING (point_id) LEFT JOIN mc USING (date1, date2) WHERE ps_score >= 0.6),
+_DAY1, _DAY2 = (f"CAST(strptime(date{k}, '%Y%m%d') AS DATE)" for k in (1, 2))
+_FEED = _MAIN + ", " + MODEL + ", " + _SCORE + f""", x AS (SELECT date1, date2, {_OK} AS ok, {_OK} AND coalesce(cc = main_cc, false) AS main, abs(unw * 0.05546576::DOUBLE / (4 * pi()) * 1000 - ({value_at(_DAY2)} - {value_at(_DAY1)})) AS res
+ FROM pair_pixel JOIN s USING (point_id) JOIN mp USING (point_id) LEFT JOIN mc USING (date1, date2), og WHERE ps_score >= 0.6),
  m AS (SELECT date1, date2, 1 - avg(CAST(ok AS INT)) AS bad_ratio, avg(CAST(main AS INT)) AS main_cc_coverage, coalesce(avg(CAST(res > 28 AS INT)) FILTER (ok), 1) AS unwrap_jump_index, median(res) FILTER (ok) AS median_residual FROM x GROUP BY ALL)"""
 _ROUND1 = _FEED + """, lim AS (SELECT quantile_cont(median_residual, 0.05) AS a, quantile_cont(median_residual, 0.95) AS b FROM m), k AS (SELECT m.*, CASE WHEN median_residual IS NULL THEN 0 ELSE 1 - CASE WHEN b > a THEN least(1, greatest(0, (median_residual - a) / (b - a))) ELSE 0 END END AS consistency FROM m, lim),
  r1 AS (SELECT date1, date2, coalesce(consistency, 0) AS consistency, coalesce(0.30 * (1 - bad_ratio) + 0.25 * main_cc_coverage + 0.20 * (1 - unwrap_jump_index) + 0.15 * consistency + 0.10, 0) AS q1 FROM (SELECT DISTINCT date1, date2 FROM pair_pixel) LEFT JOIN k USING (date1, date2))"""
@@ -500,7 +503,7 @@ _ACT = "CASE WHEN {0} >= 0.75 THEN 'keep' WHEN {0} >= 0.5 THEN 'downweight' ELSE
 
 def _pair_residuals(pixels, obs, points):
     good = _scored_points(points).where("point_class <> 'none'").select("point_id")
-    return feedback.pair_residuals(pixels, series.trend(obs).join(good, "point_id", "left_semi"))
+    return feedback.pair_residuals(pixels, fits.models(obs.drop("res")).join(good, "point_id", "left_semi"))
 
 
 def _pair_metrics(pixels, obs, points):
@@ -518,10 +521,10 @@ def a14(pixels, obs, points):
     return feedback.first_round(pixels.select("date1", "date2").distinct(), _pair_metrics(pixels, obs, points)).select("date1", "date2", "consistency", "q_round1", "action_round1")
 
 
-_FLAGS = """, dq AS (SELECT date, median(abs(value_mm - intercept - slope * day_offset / 365.25::DOUBLE)) AS a, avg(CAST(abs(value_mm - intercept - slope * day_offset / 365.25::DOUBLE) > 10 AS INT)) AS f FROM obs JOIN g USING (point_id) GROUP BY date),
+_FLAGS = """, dq AS (SELECT date, median(abs(res)) AS a, avg(CAST(abs(res) > 10 AS INT)) AS f FROM r GROUP BY date),
  fl AS (SELECT date FROM (SELECT date, row_number() OVER (ORDER BY round(a, 9) DESC, date) AS ra, row_number() OVER (ORDER BY round(f, 9) DESC, date) AS rf, ceil(count(*) OVER () * (1 - 0.9::DOUBLE)) AS top FROM dq) WHERE ra <= top OR rf <= top),
  ce AS (SELECT point_id, least(9, floor("row" / ((SELECT max("row") FROM point) + 1)::DOUBLE * 10)) AS rb, least(9, floor(col / ((SELECT max(col) FROM point) + 1)::DOUBLE * 10)) AS cb FROM point),
- cn AS (SELECT date, rb, cb, sum(CAST(abs(value_mm - intercept - slope * day_offset / 365.25::DOUBLE) > 10 AS INT)) AS n FROM obs JOIN g USING (point_id) JOIN ce USING (point_id) GROUP BY ALL),
+ cn AS (SELECT date, rb, cb, sum(CAST(abs(res) > 10 AS INT)) AS n FROM r JOIN ce USING (point_id) GROUP BY ALL),
  sc AS (SELECT strftime(date, '%Y%m%d') AS date, CASE WHEN c <= 0.2 THEN 'global' WHEN c <= 0.4 THEN 'mixed' ELSE 'local' END AS scope FROM (SELECT date, CASE WHEN sum(n) = 0 THEN 0 ELSE max(n) / CAST(sum(n) AS DOUBLE) END AS c FROM cn GROUP BY date) JOIN fl USING (date))"""
 
 
@@ -529,6 +532,7 @@ _FLAGS = """, dq AS (SELECT date, median(abs(value_mm - intercept - slope * day_
  SELECT date1, date2, round(penalty, 6) AS penalty, round(greatest(0, q1 - penalty), 6) AS q_round2, {_ACT.format("greatest(0, q1 - penalty)")} AS action FROM pe""")
 def a20(pixels, obs, points):
     """Both rounds, dates flagged by rank only; ``a20_second_round_flags`` has the whole rule.  What is returned is the final choice."""
+    obs = materialise(series.residuals(obs))
     return _second_round(pixels, obs, points, series.flag_dates(series.date_quality(obs), frac=None, median_mm=None), series.concentration(obs, points))
 
 
@@ -539,27 +543,29 @@ def _second_round(pixels, obs, points, dates, concentration):
     return two.select("date1", "date2", "penalty", "q_round2").join(feedback.final(two).select("date1", "date2", "action"), ["date1", "date2"])
 
 
-_RES = "abs(value_mm - intercept - slope * day_offset / 365.25::DOUBLE)"
-_JUMP = f", th AS (SELECT greatest(28, quantile_cont({_RES}, 0.95)) AS th FROM obs JOIN g USING (point_id))"
-_WHOLE_FLAGS = f""", dq AS (SELECT date, median({_RES}) AS a, avg(CAST({_RES} > th AS INT)) AS f FROM obs JOIN g USING (point_id), th GROUP BY date),
+_RES = "abs(res)"
+_JUMP = f", th AS (SELECT greatest(28, quantile_cont({_RES}, 0.95)) AS th FROM r)"
+_WHOLE_FLAGS = f""", dq AS (SELECT date, median({_RES}) AS a, avg(CAST({_RES} > th AS INT)) AS f FROM r, th GROUP BY date),
  rk AS (SELECT *, row_number() OVER (ORDER BY round(a, 9) DESC, date) AS ra, row_number() OVER (ORDER BY round(f, 9) DESC, date) AS rf, ceil(count(*) OVER () * (1 - 0.9::DOUBLE)) AS top FROM dq),
  wf AS (SELECT date, ra, rf, ra <= top OR rf <= top OR coalesce(round(f, 9) >= 0.20::DOUBLE OR round(a, 9) >= 20, false) AS flagged FROM rk)"""
 
 
-@register("w10_date_flags", ("obs",), _FIT + _JUMP + _WHOLE_FLAGS + " SELECT date, ra AS rank_by_median_abs, rf AS rank_by_frac, flagged FROM wf")
+@register("w10_date_flags", ("obs",), MODEL + _JUMP + _WHOLE_FLAGS + " SELECT date, ra AS rank_by_median_abs, rf AS rank_by_frac, flagged FROM wf")
 def w10_flags(obs):
     """The top tenth of either rank, or a fifth of the points over the jump threshold (A11), or a median residual of 20 mm."""
+    obs = materialise(series.residuals(obs))
     return series.flag_dates(series.date_quality(obs, series.residual_threshold(obs))).select("date", "rank_by_median_abs", "rank_by_frac", "flagged")
 
 
 @register("a20_second_round_flags", ("pair_pixel", "obs", "point"), _ROUND1 + _JUMP + _WHOLE_FLAGS + f""",
  ce AS (SELECT point_id, least(9, floor("row" / ((SELECT max("row") FROM point) + 1)::DOUBLE * 10)) AS rb, least(9, floor(col / ((SELECT max(col) FROM point) + 1)::DOUBLE * 10)) AS cb FROM point),
- cn AS (SELECT date, rb, cb, sum(CAST({_RES} > th AS INT)) AS n FROM obs JOIN g USING (point_id) JOIN ce USING (point_id), th GROUP BY ALL),
+ cn AS (SELECT date, rb, cb, sum(CAST({_RES} > th AS INT)) AS n FROM r JOIN ce USING (point_id), th GROUP BY ALL),
  sc AS (SELECT strftime(date, '%Y%m%d') AS date, CASE WHEN c <= 0.2 THEN 'global' WHEN c <= 0.4 THEN 'mixed' ELSE 'local' END AS scope FROM (SELECT date, CASE WHEN sum(n) = 0 THEN 0 ELSE max(n) / CAST(sum(n) AS DOUBLE) END AS c FROM cn GROUP BY date) JOIN wf USING (date) WHERE flagged),
  pe AS (SELECT r1.*, least(0.2, coalesce(CASE a.scope WHEN 'global' THEN 0.1 WHEN 'mixed' THEN 0.05 WHEN 'local' THEN 0.025 END, 0) + coalesce(CASE b.scope WHEN 'global' THEN 0.1 WHEN 'mixed' THEN 0.05 WHEN 'local' THEN 0.025 END, 0) + CASE WHEN consistency < 0.5 THEN 0.1 ELSE 0 END)::DOUBLE AS penalty FROM r1 LEFT JOIN sc a ON date1 = a.date LEFT JOIN sc b ON date2 = b.date)
  SELECT date1, date2, round(penalty, 6) AS penalty, round(greatest(0, q1 - penalty), 6) AS q_round2, {_ACT.format("greatest(0, q1 - penalty)")} AS action FROM pe""")
 def a20_flags(pixels, obs, points):
     """Both rounds with the whole date rule and the jump threshold of A11."""
+    obs = materialise(series.residuals(obs))
     jump = series.residual_threshold(obs)
     return _second_round(pixels, obs, points, series.flag_dates(series.date_quality(obs, jump)), series.concentration(obs, points, jump))
 

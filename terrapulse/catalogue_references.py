@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terrapulse.catalogue import _METRICS, _scored_points, register
 from terrapulse.catalogue_grids import RATE_SQL, rate
 from terrapulse.operators import fits, pairs, references, series
+from terrapulse.twins import MODEL
 
 _T = "(day_offset / 365.25::DOUBLE)"
 
@@ -23,14 +24,36 @@ def ts01(obs):
     return x.select("point_id", "n", F.round(F.get("coefficients", 0), 4).alias("cut"), F.round(F.get("coefficients", 1), 4).alias("slope"), F.round("sse", 2).alias("sse"))
 
 
-@register("ts03_chosen_model", ("obs",), None)
+@register("ts03_chosen_model", ("obs",), MODEL + " SELECT point_id, first(model) AS model, first(break_idx) AS break_idx, round(first(delta_bic), 4) AS delta_bic, round(first(model_rms), 6) AS model_rms FROM r GROUP BY point_id")
 def ts03(obs):
-    return fits.chosen_model(obs).drop("epochs", "fitted")
+    return fits.chosen_model(obs).drop("epochs", "fitted").withColumn("delta_bic", F.round("delta_bic", 4))
 
 
-@register("ts07_robust_harmonic", ("obs",), None)
+@register("ts05_model_residuals", ("obs",), MODEL + " SELECT point_id, epoch_idx, round(fit, 5) AS fit, round(res, 5) AS res FROM r")
+def ts05(obs):
+    return fits.model_fits(obs).select("point_id", "epoch_idx", F.round("fit", 5).alias("fit"), F.round("res", 5).alias("res"))
+
+
+def _weighted(n: int, source: str, weight: str) -> str:
+    """One weighted fit of a line and a wave, over the columns ``t, y, s, c`` and a weight (DuckDB)."""
+    p = "OVER (PARTITION BY point_id)"
+    dot = lambda a, b: f"sum(w * {a} * {b}) {p}"
+    return f"""a{n} AS (SELECT * EXCLUDE (w), {weight} AS w FROM {source}), b{n} AS (SELECT *, sum(w * t) {p} / sum(w) {p} AS mt, sum(w * y) {p} / sum(w) {p} AS my, sum(w * s) {p} / sum(w) {p} AS ms, sum(w * c) {p} / sum(w) {p} AS mc FROM a{n}),
+ c{n} AS (SELECT *, {dot("(t - mt)", "(t - mt)")} AS tt, {dot("(t - mt)", "(y - my)")} AS ty, {dot("(t - mt)", "(s - ms)")} AS ts, {dot("(t - mt)", "(c - mc)")} AS tc FROM b{n}),
+ d{n} AS (SELECT *, y - my - ty / tt * (t - mt) AS r, s - ms - ts / tt * (t - mt) AS s1, c - mc - tc / tt * (t - mt) AS c1 FROM c{n}),
+ e{n} AS (SELECT *, {dot("s1", "r")} / {dot("s1", "s1")} AS al, {dot("s1", "c1")} / {dot("s1", "s1")} AS rho FROM d{n}),
+ f{n} AS (SELECT *, {dot("(c1 - rho * s1)", "r")} / {dot("(c1 - rho * s1)", "(c1 - rho * s1)")} AS be FROM e{n}),
+ g{n} AS (SELECT point_id, epoch_idx, t, y, s, c, w, (al - be * rho) * s + be * c AS seasonal, my + ty / tt * (t - mt) + al * s1 + be * (c1 - rho * s1) AS fit FROM f{n})"""
+
+
+_HARMONIC = f"""z AS (SELECT point_id, epoch_idx, value_mm AS y, day_offset / 365.25::DOUBLE AS t, sin(2 * pi() * day_offset / 365.25::DOUBLE) AS s, cos(2 * pi() * day_offset / 365.25::DOUBLE) AS c, 1.0::DOUBLE AS w FROM obs),
+ {_weighted(1, "z", "1.0::DOUBLE")}, h AS (SELECT *, abs(y - fit) AS off, median(abs(y - fit)) OVER (PARTITION BY point_id) AS scale FROM g1),
+ {_weighted(2, "h", "1 / greatest(1, off / (1.5 * CASE WHEN scale > 1e-3 THEN scale ELSE 1 END))")}"""
+
+
+@register("ts07_robust_harmonic", ("obs",), _HARMONIC + " SELECT point_id, epoch_idx, round(fit - seasonal, 5) AS trend, round(seasonal, 5) AS seasonal, round(y - fit, 5) AS residual FROM g2")
 def ts07(obs):
-    return fits.robust_harmonic(obs)
+    return fits.robust_harmonic(obs).select("point_id", "epoch_idx", *[F.round(c, 5).alias(c) for c in ("trend", "seasonal", "residual")])
 
 
 @register(

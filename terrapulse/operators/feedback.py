@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terrapulse.functions.scalars import phase_to_mm
 from terrapulse.functions.stats import robust_range
+from terrapulse.operators import fits
 from terrapulse.operators.pairs import WEIGHT, is_valid, main_component
 
 PAIR = ["date1", "date2"]
@@ -15,15 +16,16 @@ PENALTY = {"global": 0.10, "mixed": 0.05, "local": 0.025}
 LOW_CONSISTENCY, MOST = 0.10, 0.20
 
 
-def pair_residuals(pixels: DataFrame, fits: DataFrame) -> DataFrame:
-    """Pixels with ``ok``, ``main`` and ``residual``, the difference between what a pair shows and the rate (``slope``) of its point's line (TS5).
+def pair_residuals(pixels: DataFrame, models: DataFrame) -> DataFrame:
+    """Pixels with ``ok``, ``main`` and ``residual``, the difference between what a pair shows and what its point's model says of its two dates (J2, TS5).
 
-    Pixels of points without a line are left out.
+    ``models`` are those of ``fits.models``, read at both dates whether the point has an epoch there or not.  Pixels of points
+    without a model are left out.
     """
     ok = is_valid(F.col("cc"), F.col("unw"))
-    years = F.datediff(F.to_date("date2", "yyyyMMdd"), F.to_date("date1", "yyyyMMdd")) / 365.25
-    df = pixels.join(fits.select("point_id", "slope"), "point_id").join(main_component(pixels), PAIR, "left")
-    return df.select(*PAIR, "point_id", ok.alias("ok"), F.coalesce(ok & (F.col("cc") == F.col("main_cc")), F.lit(False)).alias("main"), F.abs(phase_to_mm(F.col("unw")) - F.col("slope") * years).alias("residual"))
+    at = lambda d: fits.predicted(F.to_date(d, "yyyyMMdd"))
+    df = pixels.join(models, "point_id").join(main_component(pixels), PAIR, "left")
+    return df.select(*PAIR, "point_id", ok.alias("ok"), F.coalesce(ok & (F.col("cc") == F.col("main_cc")), F.lit(False)).alias("main"), F.abs(phase_to_mm(F.col("unw")) - (at("date2") - at("date1"))).alias("residual"))
 
 
 def pair_metrics(residuals: DataFrame, jump_threshold: float = 28.0) -> DataFrame:

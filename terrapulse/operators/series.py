@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapulse.functions.stats import with_stats
+from terrapulse.operators import fits
 
 
 def by_point():
@@ -52,9 +53,9 @@ def trend(obs: DataFrame) -> DataFrame:
     out = obs.groupBy("point_id").agg(
         F.count(F.lit(1)).alias("n"), F.regr_slope("value_mm", t).alias("slope"), F.regr_intercept("value_mm", t).alias("intercept"), F.regr_syy("value_mm", t).alias("syy"), F.regr_sxy("value_mm", t).alias("sxy")
     )
-    sse = F.greatest(F.col("syy") - F.col("slope") * F.col("sxy"), F.lit(1e-6))
+    sse = F.greatest(F.col("syy") - F.coalesce(F.col("slope") * F.col("sxy"), F.lit(0.0)), F.lit(0.0))
     out = out.withColumn("sse", sse).withColumn("rms", F.sqrt(F.col("sse") / F.col("n")))
-    return out.withColumn("bic", F.col("n") * F.log(F.col("sse") / F.col("n")) + 2 * F.log("n")).drop("syy", "sxy")
+    return out.withColumn("bic", fits.bic(F.col("sse"), F.col("n"), 2)).drop("syy", "sxy")
 
 
 def slope_sensitivity(obs: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def _odd(res: DataFrame, threshold: float | DataFrame) -> DataFrame:
 
 
 def date_quality(obs: DataFrame, threshold: float | DataFrame = 10.0) -> DataFrame:
-    """Residuals from each point's line, by date: median, share above a threshold, signed bias."""
+    """Residuals from each point's chosen model, by date: median, share above a threshold, signed bias."""
     res = _odd(residuals(obs), threshold)
     return res.groupBy("date").agg(F.median(F.abs("res")).alias("median_abs"), F.avg(F.col("odd").cast("double")).alias("frac"), F.median("res").alias("bias"))
 
@@ -173,9 +174,13 @@ def residual_threshold(obs: DataFrame, floor_mm: float = 28.0, scale: float = 1.
 
 
 def residuals(obs: DataFrame) -> DataFrame:
-    """Observations with the residual from their point's line."""
-    fit = trend(obs).select("point_id", "slope", "intercept")
-    return obs.join(fit, "point_id").withColumn("res", F.col("value_mm") - (F.col("intercept") + F.col("slope") * F.col("day_offset") / 365.25))
+    """Observations with the residual ``res`` from their point's chosen model (TS3): annual motion and a change of rate are no noise.
+
+    Observations that have ``res`` already are given back, so that a chain of rules can share one fit.
+    """
+    if "res" in obs.columns:
+        return obs
+    return fits.model_fits(obs).select(*obs.columns, "res")
 
 
 def concentration(obs: DataFrame, points: DataFrame, threshold: float | DataFrame = 10.0, cells: int = 10) -> DataFrame:
