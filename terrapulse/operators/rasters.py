@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapulse.functions.stats import with_stats
-from terrapulse.operators.components import connected_components
+from terrapulse.operators.components import contracted
+from terrapulse.session import materialise
 
 CELL = ["row", "col"]
+#: Rows and columns of a tile: the cells that a task labels at once.
+TILE = 256
 EIGHT = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j]
 FOUR = [(i, j) for i, j in EIGHT if not i or not j]
 
@@ -54,6 +59,28 @@ def box_deviation(grid: DataFrame, value: str, size: int = 5) -> DataFrame:
     return box(grid, value, size).select(*CELL, F.sqrt(F.greatest(F.lit(0.0), F.col("squares") / F.col("n") - mean * mean)).alias("deviation"))
 
 
+def box_means(grid: DataFrame, **wanted: tuple[str, int]) -> DataFrame:
+    """Means over boxes of several columns and sizes in one pass: ``out=(value, size)``.
+
+    Cells without a value give null in the columns made of it.  All sums share the two shuffles, along rows and along
+    columns.
+    """
+    values = dict.fromkeys(v for v, _ in wanted.values())
+    number = {v: F.when(~F.isnan(F.col(v).cast("double")), F.col(v).cast("double")) for v in values}
+    df = lattice(grid.select(*CELL, F.struct(*[number[v].alias(v) for v in values]).alias("_all")), "_all")
+    half = max(n for _, n in wanted.values()) // 2
+    sums = {f"_{k}_{o}": (F.col(f"_all.{v}").isNotNull().cast("double") if k == "n" else F.coalesce(F.col(f"_all.{v}"), F.lit(0.0))) for o, (v, _) in wanted.items() for k in "nt"}
+    df = df.withColumns(sums)
+    for along, across, last in (("col", "row", "_w"), ("row", "col", "_h")):
+        at = F.col(along)
+        df = df.withColumn(along, F.explode(F.sequence(F.when(at == 0, F.lit(-half)).otherwise(at), F.when(at == F.col(last), at + half).otherwise(at))))
+        order = Window.partitionBy(across).orderBy(along)
+        df = df.withColumns({f"_{k}_{o}": F.sum(f"_{k}_{o}").over(order.rangeBetween(-(n // 2), n // 2)) for o, (_, n) in wanted.items() for k in "nt"})
+        df = df.where(F.col(along).between(F.lit(0), F.col(last)))
+    mean = {o: F.when(F.col(f"_all.{v}").isNotNull(), F.col(f"_t_{o}") / F.col(f"_n_{o}")) for o, (v, _) in wanted.items()}
+    return df.where(F.col("_all").isNotNull()).select(*CELL, *[m.alias(o) for o, m in mean.items()])
+
+
 def gradient(grid: DataFrame, value: str, fill: Column | None = None) -> DataFrame:
     """Size of the gradient by central differences, one-sided at the border (R3); gaps count as ``fill``, the median by default."""
     df = lattice(grid, value)
@@ -76,10 +103,10 @@ def neighbour_count(grid: DataFrame, mask: Column, size: int = 5) -> DataFrame:
     return df.select(*CELL, (F.col("total") - F.col("_m")).cast("long").alias("neighbours"))
 
 
-def shifted(cells: DataFrame, offsets: list[tuple[int, int]]) -> DataFrame:
-    """Every cell once for each offset, moved by it."""
+def shifted(cells: DataFrame, offsets: list[tuple[int, int]], by: tuple[str, ...] = ()) -> DataFrame:
+    """Every cell once for each offset, moved by it; ``by`` are columns that stay."""
     moved = F.array(*[F.struct((F.col("row") + i).alias("row"), (F.col("col") + j).alias("col")) for i, j in offsets])
-    return cells.select(F.inline(moved))
+    return cells.select(*by, F.inline(moved))
 
 
 def far_from(cells: DataFrame, seeds: DataFrame, distance: int = 4) -> DataFrame:
@@ -89,54 +116,116 @@ def far_from(cells: DataFrame, seeds: DataFrame, distance: int = 4) -> DataFrame
     return cells.join(shifted(seeds, near).distinct(), CELL, "left_anti")
 
 
-def dilate(mask: DataFrame, grid: DataFrame, times: int = 1) -> DataFrame:
-    """The mask and its eight neighbours within ``grid``."""
+def dilate(mask: DataFrame, grid: DataFrame, times: int = 1, by: tuple[str, ...] = ()) -> DataFrame:
+    """The mask and its eight neighbours within ``grid`` (R7); masks of several layers are told apart by the columns ``by``."""
     for _ in range(times):
-        mask = shifted(mask, [(0, 0), *EIGHT]).distinct().join(grid.select(*CELL), CELL, "left_semi")
+        mask = shifted(mask, [(0, 0), *EIGHT], by).distinct().join(grid.select(*CELL), CELL, "left_semi")
     return mask
 
 
-def erode(mask: DataFrame, times: int = 1) -> DataFrame:
+def erode(mask: DataFrame, times: int = 1, by: tuple[str, ...] = ()) -> DataFrame:
     """Cells whose eight neighbours all belong to the mask; what lies outside the raster does not."""
     for _ in range(times):
-        mask = shifted(mask, [(0, 0), *EIGHT]).groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n")).where("_n = 9").select(*CELL)
+        mask = shifted(mask, [(0, 0), *EIGHT], by).groupBy(*by, *CELL).agg(F.count(F.lit(1)).alias("_n")).where("_n = 9").select(*by, *CELL)
     return mask
 
 
-def opening(mask: DataFrame, grid: DataFrame, times: int = 1) -> DataFrame:
-    return dilate(erode(mask, times), grid, times)
+def opening(mask: DataFrame, grid: DataFrame, times: int = 1, by: tuple[str, ...] = ()) -> DataFrame:
+    return dilate(erode(mask, times, by), grid, times, by)
 
 
-def closing(mask: DataFrame, grid: DataFrame, times: int = 1) -> DataFrame:
-    return erode(dilate(mask, grid, times), times)
+def closing(mask: DataFrame, grid: DataFrame, times: int = 1, by: tuple[str, ...] = ()) -> DataFrame:
+    return erode(dilate(mask, grid, times, by), times, by)
 
 
-def labels(mask: DataFrame, offsets: list[tuple[int, int]] = EIGHT) -> DataFrame:
-    """``row, col, label`` of connected cells; a label is the smallest cell number, row * 2^31 + col."""
-    number = lambda r, c: F.col(r).cast("long") * F.lit(1 << 31) + F.col(c)
-    cells = mask.select(*CELL).distinct()
-    half = [o for o in offsets if o > (0, 0)]
-    ends = F.array(*[F.struct((F.col("row") + i).alias("row"), (F.col("col") + j).alias("col")) for i, j in half])
-    links = cells.select(number("row", "col").alias("src"), F.inline(ends)).join(cells, CELL).select("src", number("row", "col").alias("dst"))
-    own = cells.select(number("row", "col").alias("src"), number("row", "col").alias("dst"))
-    found = connected_components(links.union(own))
-    return found.select(F.shiftright("id", 31).cast("int").alias("row"), F.col("id").bitwiseAND(F.lit((1 << 31) - 1).cast("long")).cast("int").alias("col"), F.col("component").alias("label"))
+def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest member of each of ``n`` numbers' sets, when ``a[i]`` and ``b[i]`` belong together."""
+    root = np.arange(n)
+    while True:
+        x, y = root[a], root[b]
+        if (x == y).all():
+            return root
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root != root[root]).any():
+            root = root[root]
+
 
+def _tile_parts(row: np.ndarray, col: np.ndarray, reach: int) -> np.ndarray:
+    """For cells of a tile in order of row and column: where in the list the first cell of each one's part is.
 
-def fill_holes(mask: DataFrame, grid: DataFrame, value: str) -> DataFrame:
-    """The mask with those cells of the lattice that it cuts off from the border, by four neighbours."""
-    cells = lattice(grid, value).select(*CELL, "_h", "_w")
-    open_ = cells.join(mask.select(*CELL), CELL, "left_anti")
-    parts = labels(open_, FOUR).join(open_, CELL)
-    border = (F.col("row") == 0) | (F.col("col") == 0) | (F.col("row") == F.col("_h")) | (F.col("col") == F.col("_w"))
-    outer = parts.where(border).select("label").distinct()
-    return mask.select(*CELL).union(parts.join(outer, "label", "left_anti").select(*CELL))
+    Runs of neighbouring cells of a row are joined to the runs that they touch in the next row.
+    """
+    wide = np.int64(1 << 32)
+    first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (col[1:] != col[:-1] + 1)))
+    last = np.append(first[1:], len(row)) - 1
+    at, begin, end = row[first].astype(np.int64), col[first].astype(np.int64) + 2, col[last].astype(np.int64) + 2
+    low = np.searchsorted(at * wide + end, (at + 1) * wide + begin - reach, "left")
+    high = np.searchsorted(at * wide + begin, (at + 1) * wide + end + reach, "right")
+    met = np.maximum(high - low, 0)
+    below = np.arange(int(met.sum())) - np.repeat(np.cumsum(met) - met - low, met)
+    root = _joined(len(first), np.repeat(np.arange(len(first)), met), below)
+    return np.repeat(first[root], last - first + 1)
 
 
-def propagate(seeds: DataFrame, mask: DataFrame) -> DataFrame:
+def labels(mask: DataFrame, offsets: list[tuple[int, int]] = EIGHT, by: tuple[str, ...] = (), tile: int = TILE) -> DataFrame:
+    """``row, col, label`` of connected cells; a label is the smallest cell number, row * 2^31 + col.
+
+    Cells are labelled within tiles of ``tile`` x ``tile`` first, by runs; only the parts of tiles, where border cells touch,
+    are vertices of a graph.  So a tile is the most a task holds, and rounds follow the number of tiles that a part crosses.
+    """
+    return labelled(mask, offsets, by, tile)[0]
+
+
+def labelled(mask: DataFrame, offsets: list[tuple[int, int]] = EIGHT, by: tuple[str, ...] = (), tile: int = TILE) -> tuple[DataFrame, int]:
+    """:func:`labels`, and the number of rounds that it took to join the parts of tiles."""
+    reach = 1 if (1, 1) in offsets else 0
+    by = list(by)
+    cells = mask.select(*by, *[F.col(c).cast("int").alias(c) for c in CELL]).distinct().withColumns({"_tr": F.floor(F.col("row") / tile), "_tc": F.floor(F.col("col") / tile)})
+
+    def part(found: pd.DataFrame) -> pd.DataFrame:
+        found = found.sort_values(CELL)
+        row, col = found["row"].to_numpy(), found["col"].to_numpy()
+        head = _tile_parts(row, col, reach)
+        return found.assign(_local=row[head].astype("int64") * (1 << 31) + col[head])[[*by, *CELL, "_local"]]
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.select(*by, *CELL).schema)
+    parts = materialise(cells.groupBy(*by, "_tr", "_tc").applyInPandas(part, f"{kinds}, _local long"))
+    edge = lambda c: (F.pmod(F.col(c), F.lit(tile)) == 0) | (F.pmod(F.col(c), F.lit(tile)) == tile - 1)
+    border = parts.where(edge("row") | edge("col"))
+    name = F.struct(*by, "_local")
+    half = [o for o in offsets if o > (0, 0)]
+    out = F.array(*[F.struct((F.col("row") + i).alias("row"), (F.col("col") + j).alias("col"), (F.floor((F.col("row") + i) / tile) != F.floor(F.col("row") / tile)).alias("_v"), (F.floor((F.col("col") + j) / tile) != F.floor(F.col("col") / tile)).alias("_u")) for i, j in half])
+    moved = border.select(*by, name.alias("src"), F.inline(out)).where("_v OR _u").select(*by, *CELL, "src")
+    links = moved.join(border.select(*by, *CELL, name.alias("dst")), [*by, *CELL]).select("src", "dst").distinct()
+    found, rounds = contracted(links)
+    whole = found.select("id.*", F.col("component._local").alias("_whole"))
+    done = parts.join(whole, [*by, "_local"], "left")
+    return done.select(*by, *CELL, F.coalesce("_whole", "_local").alias("label")), rounds
+
+
+def fill_holes(mask: DataFrame, grid: DataFrame | None = None, value: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """The mask with those cells that it cuts off from the border of the raster, by four neighbours.
+
+    Only cells of the box around a mask can be holes; a ring of open cells around it stands for all that lies outside,
+    so neither the raster nor the rest of its cells (``grid``, ``value``) are needed.
+    """
+    by, own = list(by), mask.select(*by, *CELL).distinct()
+    ends = [F.min("row").alias("_r0"), F.max("row").alias("_r1"), F.min("col").alias("_c0"), F.max("col").alias("_c1")]
+    box_ = (own.groupBy(*by).agg(*ends) if by else own.agg(*ends)).where("_r0 IS NOT NULL")
+    rows = box_.select(*by, F.explode(F.sequence(F.col("_r0") - 1, F.col("_r1") + 1)).alias("row"), "_r0", "_r1", "_c0", "_c1").repartition(*by, "row")
+    ring = (F.col("row") < F.col("_r0")) | (F.col("row") > F.col("_r1")) | (F.col("col") < F.col("_c0")) | (F.col("col") > F.col("_c1"))
+    cells = rows.withColumn("col", F.explode(F.sequence(F.col("_c0") - 1, F.col("_c1") + 1))).select(*by, *CELL, ring.alias("_out"))
+    open_ = cells.join(own, [*by, *CELL], "left_anti")
+    parts = labels(open_, FOUR, tuple(by)).join(open_, [*by, *CELL])
+    outer = parts.where("_out").select(*by, "label").distinct()
+    return own.union(parts.join(outer, [*by, "label"], "left_anti").select(*by, *CELL))
+
+
+def propagate(seeds: DataFrame, mask: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Cells of the mask that a path of its cells joins to a seed, and the seeds."""
-    parts = labels(mask.select(*CELL).union(seeds.select(*CELL)))
-    return parts.join(parts.join(seeds.select(*CELL), CELL, "left_semi").select("label").distinct(), "label", "left_semi").select(*CELL)
+    keys = [*by, *CELL]
+    parts = labels(mask.select(*keys).union(seeds.select(*keys)), by=by)
+    return parts.join(parts.join(seeds.select(*keys), keys, "left_semi").select(*by, "label").distinct(), [*by, "label"], "left_semi").select(*keys)
 
 
 def buffer_radius(points: DataFrame, least: float = 3e-4) -> DataFrame:

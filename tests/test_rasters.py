@@ -68,3 +68,50 @@ def test_order_statistic(spark):
     for k in "abcd":
         xs = sorted(x for j, x in rows if j == k and x is not None)
         assert got[k] == xs[-(-len(xs) * 9 // 10) - 1]
+
+
+def test_tiles_join_whatever_their_size(spark):
+    """Parts across many tiles, by layer; a long winding part takes few rounds."""
+    rng = random.Random(9)
+    rows = [(z, r, c) for z in "ab" for r in range(17) for c in range(23) if rng.random() < (0.5 if z == "a" else 0.62)]
+    df = spark.createDataFrame(rows, "layer string, row int, col int")
+    for tile, offsets in ((3, rasters.EIGHT), (5, rasters.FOUR), (64, rasters.FOUR)):
+        got = {(r["layer"], r["row"], r["col"]): r["label"] for r in rasters.labels(df, offsets, ("layer",), tile).collect()}
+        assert set(got) == set(rows)
+        for z in "ab":
+            on = {(r, c) for k, r, c in rows if k == z}
+            for cell in on:
+                r, c = min(flood(on, [cell], offsets))
+                assert got[(z, *cell)] == r * 2**31 + c
+    snake = [(r, c) for r in range(0, 60, 2) for c in range(60)] + [(r, 59 if r % 4 == 1 else 0) for r in range(1, 59, 2)]
+    found, rounds = rasters.labelled(spark.createDataFrame(snake, "row int, col int"), tile=8)
+    assert {r["label"] for r in found.collect()} == {0} and found.count() == len(snake)
+    assert rounds <= 12  # a walk from cell to cell would take 1830, from tile to tile 224
+
+
+def test_one_tile_takes_no_round(spark):
+    assert rasters.labelled(spark.createDataFrame([(0, 0), (1, 1), (5, 5)], "row int, col int"))[1] == 0
+
+
+def test_layered_morphology(spark):
+    """Closing, opening, holes and propagation of two layers at once equal those of each alone."""
+    rng = random.Random(2)
+    rows = [(z, r, c) for z in (1, 2) for r in range(12) for c in range(14) if rng.random() < 0.6]
+    df = spark.createDataFrame(rows, "z int, row int, col int")
+    grid = spark.createDataFrame([(r, c) for r in range(12) for c in range(14)], "row int, col int")
+    seeds = df.where("row = 5")
+    for both, one in (
+        (rasters.closing(df, grid, 2, ("z",)), lambda m, s: rasters.closing(m, grid, 2)), (rasters.opening(df, grid, 1, ("z",)), lambda m, s: rasters.opening(m, grid, 1)),
+        (rasters.fill_holes(df, by=("z",)), lambda m, s: rasters.fill_holes(m)), (rasters.propagate(seeds, df, ("z",)), lambda m, s: rasters.propagate(s, m)),
+    ):
+        got = {(r["z"], r["row"], r["col"]) for r in both.collect()}
+        assert got == {(z, *c) for z in (1, 2) for c in cells(one(df.where(F.col("z") == z).select("row", "col"), seeds.where(F.col("z") == z).select("row", "col")))}
+
+
+def test_box_means_in_one_pass(spark):
+    rng = random.Random(4)
+    grid = spark.createDataFrame([(r, c, rng.random(), None if rng.random() < 0.2 else rng.random()) for r in range(7) for c in range(9) if rng.random() < 0.9], "row int, col int, a double, b double")
+    got = {(r["row"], r["col"]): r for r in rasters.box_means(grid, x=("a", 3), y=("a", 5), z=("b", 3)).collect()}
+    for name, value, size in (("x", "a", 3), ("y", "a", 5), ("z", "b", 3)):
+        alone = {(r["row"], r["col"]): r["mean"] for r in rasters.box_mean(grid, value, size).collect()}
+        assert {k for k, r in got.items() if r[name] is not None} == set(alone) and all(abs(got[k][name] - m) < 1e-9 for k, m in alone.items())
