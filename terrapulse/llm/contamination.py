@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrapulse.llm._text import FOLD
+from terrapulse.llm._text import FOLD, carried
 from terrapulse.session import materialise
 
 #: Test strings are broadcast in blocks of at most so many bytes of item text; a larger set takes several passes.
@@ -108,10 +108,12 @@ def find_contamination(
     (array of word positions: start, end, start, end ...), ``n_hit`` and ``item_ids`` (sorted strings).
     A null or empty text has no words and no hits; an item without words is ignored; an item shorter than the
     window is one window; items with equal windows are all reported; repeated rows are judged one by one; a null
-    item id is reported as an empty string.  The documents are scanned once for every ``block_bytes`` of test
+    item id is reported as an empty string; carried columns named like a result give way to it; empty tables give no
+    rows or no hits.  The documents are scanned once for every ``block_bytes`` of test
     text, without a shuffle; no more than one block is ever on the driver or in a task.
     """
     spark = docs.sparkSession
+    carry = carried(carry, id_col, "n_words", "hit_runs", "n_hit", "item_ids", "_text", "_runs", "_items")
     items = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(item_text).cast("binary").alias("t")).where(F.col("t").isNotNull())
     total = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     blocks = max(1, -(-2 * total // block_bytes))
