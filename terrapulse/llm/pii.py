@@ -42,7 +42,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "local": r"(?<![0-9+(-])\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z/+_-]*+[0-9])(?=[0-9/+_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,512}+(?![A-Za-z0-9+/_-])",
+    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z/+_-]*+[0-9])(?=[0-9/+_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+(?![A-Za-z0-9+/_-])",
     "name": r"\b(?:(?:" + "|".join(TITLES) + r")\.? |(?=(?:" + "|".join(FIRST_NAMES) + r") ))[A-ZÀ-Þ][a-zß-ÿ]+(?: [A-ZÀ-Þ][a-zß-ÿ]+)?",
 }
 EM_ROUNDS = 30
