@@ -81,6 +81,14 @@ def _both(inside: np.ndarray) -> np.ndarray:
     return np.stack([inside.astype(np.int32), np.ones(len(inside), np.int32)], axis=1)
 
 
+def _with_ends(inside: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Of every word of texts with ``n`` words: target count and count, and both again where it ends its text."""
+    both = _both(np.repeat(inside, n))
+    last = np.zeros(len(both), np.int32)
+    last[np.cumsum(n)[n > 0] - 1] = 1
+    return np.concatenate([both, both * last[:, None]], axis=1)
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
     for batch in batches:
         chosen = np.array([bool(x) for x in batch.column("in_target").to_pylist()], bool)
@@ -89,22 +97,22 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, target count, count); the null word counts the texts that have words."""
+    """(word, target count, count, and both at the end of a text); the null word counts the texts that have words."""
     starts = np.zeros(2, np.int64)
 
     def pieces():
         for texts, chosen in _texts(batches):
             h, n = hashed_words(texts)
             starts[:] += _both(chosen[n > 0]).sum(0)
-            yield h, _both(np.repeat(chosen, n))
+            yield h, _with_ends(chosen, n)
 
     def batch(words, counts):
-        return pa.RecordBatch.from_arrays([words, *[pa.array(counts[:, m].astype(np.int64)) for m in (0, 1)]], names=["word", "t", "b"])
+        return pa.RecordBatch.from_arrays([words, *[pa.array(counts[:, m].astype(np.int64)) for m in range(4)]], names=["word", "t", "b", "te", "be"])
 
     for u, counts in _combined(pieces()):
         for i in range(0, len(u), 1 << 17):
             yield batch(pa.array(u[i : i + (1 << 17)].view(np.int64)), counts[i : i + (1 << 17)])
-    yield batch(pa.array([None], pa.int64()), starts[None])
+    yield batch(pa.array([None], pa.int64()), np.append(starts, [0, 0])[None])
 
 
 @dataclass
@@ -115,6 +123,7 @@ class Vocabulary:
     unigrams: np.ndarray  # (vocabulary + 2, 2); the last two rows are the unknown word and the start of a text
     parts: int  # of the bigram table
     slots: int | None  # bigrams are folded into so many, where given
+    ends: np.ndarray  # as ``unigrams``: how often each ends a text, and so is followed by nothing
 
     def __post_init__(self):
         self.total = self.unigrams[: len(self.words) + 1].sum(0)
@@ -152,7 +161,7 @@ class Vocabulary:
         """(tokens, 2) bits under both models, of which the background is scaled to the size of the target."""
         total, scale = self.total, self.scale
         single = (self.unigrams[w] * scale + 1.0) / (total * scale + len(self.words) + 1.0)
-        context = self.unigrams[before] * scale
+        context = (self.unigrams[before] - self.ends[before]) * scale
         return -np.log2((np.minimum(found * scale, context) + PRIOR * single) / (context + PRIOR))
 
 
@@ -183,20 +192,20 @@ def train(docs: DataFrame, target: DataFrame, *, vocabulary: int | None = None,
     target = target.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().withColumn("in_target", F.lit(True))
     target = F.broadcast(target) if target.count() <= SENT_IDS else target
     marked = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(target, "doc_id", "left").select("text", "in_target")
-    counted = materialise(marked.mapInArrow(_count_words, "word long, t long, b long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("b").alias("b")))
+    counted = materialise(marked.mapInArrow(_count_words, "word long, t long, b long, te long, be long").groupBy("word").agg(*[F.sum(c).alias(c) for c in ("t", "b", "te", "be")]))
     named = counted.where("word IS NOT NULL")
     chosen = named.where(F.col("b") >= min_count)
     if vocabulary is not None:
         chosen = chosen.orderBy(F.desc("b"), "word").limit(vocabulary)
     chosen = chosen.toArrow()
-    sums = lambda df: np.array([x or 0 for x in df.agg(F.sum("t"), F.sum("b")).first()], float)
+    sums = lambda df: np.array([x or 0 for x in df.agg(*[F.sum(c) for c in ("t", "b", "te", "be")]).first()], float)
     total = sums(named)
     words = chosen.column("word").to_numpy().view(np.uint64)
     order = np.argsort(words)
-    counts = np.stack([chosen.column(c).to_numpy()[order] for c in ("t", "b")], axis=1).astype(float)
+    counts = np.stack([chosen.column(c).to_numpy()[order] for c in ("t", "b", "te", "be")], axis=1).astype(float)
     del chosen
     unigrams = np.concatenate([counts, [total - counts.sum(0)], [sums(counted.where("word IS NULL"))]])
-    terms = Vocabulary(words[order], unigrams, max(1, -int(-total[1] // part_tokens)), slots)
+    terms = Vocabulary(words[order], unigrams[:, :2], max(1, -int(-total[1] // part_tokens)), slots, unigrams[:, 2:])
     sent = spark.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
