@@ -1,6 +1,8 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF weighted shingles.
 
-1.  Document frequencies of all shingles are counted over all documents in 2^18 hashed features.
+1.  Document frequencies are counted exactly over all documents for every shingle that a hundredth of them hold; rarer
+    ones share the largest weight.  Counts of 2^18 hashed features, which are never too low, tell which shingles can be
+    as frequent; only those are counted by themselves.
 2.  Each text gets K consistent weighted samples: for element k with weight S the sampler draws r, c ~ Gamma(2, 1) and
     b ~ U(0, 1) from k alone, sets t = floor(ln S / r + b) and a = ln c - r (t - b) - r; the element with the least a,
     together with its t, is the sample.  Two texts share a sample with the probability of their weighted Jaccard
@@ -28,11 +30,12 @@ from terrapulse.llm._text import FOLD, hashed_words, mix, shingles, slices
 from terrapulse.operators.components import connected_components
 from terrapulse.session import materialise
 
+#: Counters that tell which shingles can be frequent; they decide on no weight.
 FEATURES = 1 << 18
 #: Draws of (r, ln c, b); an element picks one for each of its K samples.
 DRAWS = 1 << 16
 BANDS, ROWS = 25, 5
-#: Rarer features than this share of the documents count as rare; the weight of a shingle that all documents hold is
+#: Shingles of fewer documents than this share count as rare; the weight of a shingle that all documents hold is
 #: 1 and that of a rare one 1 + DAMPING.  Undamped, a group of copies would raise the frequency of its own text until
 #: its few edited words outweigh the rest.
 RARE, DAMPING, STEPS = 0.01, 0.25, 8
@@ -41,6 +44,8 @@ RARE, DAMPING, STEPS = 0.01, 0.25, 8
 SLACK = 0.12
 #: Members of a band that are held against the others at a time.
 BLOCK = 256
+#: Shingles of heavy features that a task holds before it passes their counts on.
+HELD = 1 << 21
 
 
 def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,23 +69,36 @@ def sortable(a: np.ndarray) -> np.ndarray:
 
 
 class Weights:
-    """Weight of a shingle: tf times a damped, stepped idf of its hashed feature."""
+    """Weight of a shingle: tf times a damped, stepped idf.
 
-    def __init__(self, step: np.ndarray):
-        self.step = step
+    ``frequent``: sorted hashes of the shingles that are not rare (at most the mean number of shingles a document over
+    ``RARE``), ``step`` their steps from 0 (in all documents) to ``STEPS``, which all others have.
+    """
+
+    def __init__(self, frequent: np.ndarray, step: np.ndarray):
+        self.frequent, self.step = frequent.astype(np.uint64), step
         self.values = 1.0 + DAMPING * np.arange(STEPS + 1) / STEPS
         self.tables = [sortable(sample_value(v, np.arange(DRAWS))) for v in self.values]
 
     def classes(self, shingle: np.ndarray) -> np.ndarray:
-        return self.step[(shingle & np.uint64(FEATURES - 1)).astype(np.int64)]
+        out = np.full(len(shingle), STEPS, np.int64)
+        if len(self.frequent):
+            at = np.minimum(np.searchsorted(self.frequent, shingle), len(self.frequent) - 1)
+            hit = self.frequent[at] == shingle
+            out[hit] = self.step[at[hit]]
+        return out
 
 
 def idf_steps(counts: np.ndarray, n_docs: int) -> np.ndarray:
-    """Steps 0 (in all documents) to STEPS (rare) from the document frequencies of the features."""
+    """Steps 0 (in all documents) to STEPS (rare) from document frequencies."""
     share = np.clip(counts / max(1, n_docs), RARE, 1.0)
     return np.rint(STEPS * np.log(1.0 / share) / math.log(1.0 / RARE)).astype(np.int64)
 
 
+def feature_of(shingle: np.ndarray) -> np.ndarray:
+    return (shingle & np.uint64(FEATURES - 1)).astype(np.int64)
+
+
 def term_counts(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of each text in order of text, their counts, and the text of each."""
     words, n_words = hashed_words(texts)
@@ -98,13 +116,54 @@ def _count_features(width: int):
         for batch in batches:
             for _, texts in slices(batch.column(0)):
                 sh, _, _ = term_counts(texts, width)
-                total += np.bincount((sh & np.uint64(FEATURES - 1)).astype(np.int64), minlength=FEATURES)
+                total += np.bincount(feature_of(sh), minlength=FEATURES)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["f", "n"])
 
     return run
 
 
+def _count_shingles(width: int, sent):
+    """(shingle, documents) of the shingles whose feature is heavy, summed over a piece of the texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heavy, held, size = sent.value, [], 0
+
+        def batch() -> pa.RecordBatch:
+            key, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "n"])
+
+        for b in batches:
+            for _, texts in slices(b.column(0)):
+                sh, _, _ = term_counts(texts, width)
+                held.append(sh[heavy[feature_of(sh)]])
+                size += len(held[-1])
+                if size > HELD:
+                    yield batch()
+                    held, size = [], 0
+        if held:
+            yield batch()
+
+    return run
+
+
+def frequent_shingles(texts: DataFrame, width: int) -> Weights:
+    """Exact document frequencies of all shingles that at least ``RARE`` of the texts (one binary column) hold."""
+    spark = texts.sparkSession
+    counted = texts.mapInArrow(_count_features(width), "f int, n long").groupBy("f").agg(F.sum("n").alias("n")).toPandas()
+    n_docs = texts.count()
+    heavy = np.zeros(FEATURES, bool)
+    heavy[counted["f"].to_numpy(np.int64)[counted["n"].to_numpy(np.int64) >= RARE * n_docs]] = True
+    if not heavy.any():
+        return Weights(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    found = texts.mapInArrow(_count_shingles(width, spark.sparkContext.broadcast(heavy)), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    # a document holds each of its shingles once, so they are at most the mean number of shingles over RARE
+    found = found.where(F.col("n") > RARE * n_docs).toArrow()
+    shingle, n = found.column("shingle").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(shingle)
+    return Weights(shingle[order], idf_steps(n[order], n_docs))
+
+
 def signatures(texts: list[bytes], weights: Weights, width: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(texts, K) sample names (element and t, folded to 32 bits) and the number of distinct shingles; a text without words has none."""
     sh, tf, doc = term_counts(texts, width)
@@ -284,10 +343,7 @@ def find_groups(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, band
     """
     spark = docs.sparkSession
     base = docs.select("doc_id", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tag"), F.col("text").cast("binary").alias("_text"))
-    counted = base.select("_text").mapInArrow(_count_features(width), "f int, n long").groupBy("f").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(FEATURES, np.int64)
-    counts[counted["f"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
-    sent = spark.sparkContext.broadcast(Weights(idf_steps(counts, base.count())))
+    sent = spark.sparkContext.broadcast(frequent_shingles(base.select("_text"), width))
     kind = base.schema["doc_id"].dataType.simpleString()
     signed = materialise(base.mapInArrow(_sign(sent, width, bands, rows), f"doc_id {kind}, tag long, same binary, n_shingles long, bands array<bigint>, samples binary"))
     known = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))

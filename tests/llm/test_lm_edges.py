@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from terrapulse.llm import hamming, langid, neardup, pii, substrings
+from terrapulse.llm import contamination, hamming, langid, neardup, pii, substrings
 from terrapulse.llm._text import hashed_words
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -80,7 +80,7 @@ def test_near_copies_are_found(spark):
             words[at] = "changed"
         rows.append((2 * i + 1, " ".join(words)))
     got = {r.doc_id: r.class_id for r in neardup.find_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    plain = neardup.Weights(np.full(neardup.FEATURES, neardup.STEPS))  # all shingles rare, as here
+    plain = neardup.Weights(np.zeros(0, np.uint64), np.zeros(0, np.int64))  # all shingles rare, as here
     bags = [neardup.weighted_bag(t.encode(), plain, 5) for _, t in rows]
     near = [(i, j) for i in range(80) for j in range(i) if neardup.weighted_jaccard(bags[i], bags[j]) >= 0.8]
     assert len(near) >= 20 and sum(got[i] == got[j] for i, j in near) >= 0.9 * len(near)
@@ -90,7 +90,7 @@ def test_near_copies_are_found(spark):
 def test_long_unrelated_texts_share_no_samples():
     rng = np.random.default_rng(5)
     texts = [" ".join(map(str, rng.integers(0, 10**9, 60_000) + k * 10**9)).encode() for k in (0, 1)]
-    own, n = zip(*(neardup.signatures([t], neardup.Weights(np.full(neardup.FEATURES, neardup.STEPS)), 5, 125) for t in texts), strict=True)
+    own, n = zip(*(neardup.signatures([t], neardup.Weights(np.zeros(0, np.uint64), np.zeros(0, np.int64)), 5, 125) for t in texts), strict=True)
     assert min(x[0] for x in n) > 50_000 and (own[0] == own[1]).mean() < 0.02
 
 
@@ -150,3 +150,42 @@ def test_pipeline_stages(spark, tmp_path):
     none = docs.where("doc_id < 0")
     for name, stage in corpus_pipeline.STAGES[:4]:
         assert stage(spark, none, str(tmp_path)).count() == 0, name
+
+
+def test_document_frequencies_are_exact(spark):
+    """Frequent shingles get their own steps, however long the texts; a shingle that shares a feature with them does not."""
+    rng = random.Random(8)
+    common, some = "this line is in every text", "that line is in a tenth"
+    texts = [f"{text_of(rng, 400)} {common} {text_of(rng, 5)}" + (f" {some}" if i % 10 == 0 else "") for i in range(300)]
+    df = spark.createDataFrame([(t.encode(),) for t in texts], "_text binary").repartition(3)
+    weights = neardup.frequent_shingles(df, 5)
+    held = {}
+    for t in texts:
+        for s in set(neardup.term_counts([t.encode()], 5)[0].tolist()):
+            held[s] = held.get(s, 0) + 1
+    want = {s: n for s, n in held.items() if n > 3}
+    assert set(weights.frequent.tolist()) == set(want)
+    steps = neardup.idf_steps(np.array([want[s] for s in weights.frequent.tolist()]), 300)
+    assert weights.step.tolist() == steps.tolist() and weights.step.min() == 0
+    rare = np.array([s for s in held if s not in want], np.uint64)
+    assert (weights.classes(rare) == neardup.STEPS).all() and (weights.classes(weights.frequent) == weights.step).all()
+
+
+def test_carried_columns_and_long_secrets(spark):
+    docs = spark.createDataFrame([(1, "a b c", 7, "x"), (2, None, 8, "y")], "doc_id long, text string, n_words int, _text string")
+    items = spark.createDataFrame([(5, "b")], "item_id long, text string")
+    got = {r.doc_id: r for r in contamination.find_contamination(docs, items, carry=("n_words", "_text", "text")).collect()}
+    assert got[1].n_words == 3 and got[1].n_hit == 1 and got[1].item_ids == ["5"] and got[1].text == "a b c" and got[2].n_words == 0
+    assert contamination.find_contamination(docs.where("false"), items).count() == 0 and {r.n_hit for r in contamination.find_contamination(docs, items.where("false")).collect()} == {0}
+    rng = random.Random(1)
+    long = "".join(rng.choice("abcdefghijkmnopqrstuvwxyz0123456789ABCDEFG") for _ in range(700))
+    df = spark.createDataFrame([(1, f"api token = {long}"), (2, f"api token = {long[:24]}")], "doc_id long, text string")
+    found = pii.candidates(df).collect()
+    assert all(any(x.kind == "secret" and x.ok for x in r.spans) for r in found)
+
+
+def test_very_long_text_has_hits(spark):
+    docs = spark.createDataFrame([(1, "pad " * 400000 + "needle in hay")], "doc_id long, text string")
+    items = spark.createDataFrame([(9, "needle in hay")], "item_id long, text string")
+    r = contamination.find_contamination(docs, items).first()
+    assert r.n_words == 400003 and r.hit_runs == [400000, 400003]
