@@ -19,8 +19,8 @@ from terrapulse.llm._text import SLICE_BYTES, carried, mix, slices
 
 #: Bound of the training sample, documents a language.
 TRAIN_DOCS = 1500
-#: Documents of the sample that must hold an n-gram for it to count as one of the language: one is likely a misprint or a name.
-SUPPORT = 2
+#: Documents of the sample that must hold an n-gram for it to count as one of the language.
+SUPPORT = 1
 #: Slots of the filter for each n-gram of the largest language, and probes.
 ROOM, PROBES = 12, 3
 UNDETERMINED = "und"
