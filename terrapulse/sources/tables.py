@@ -1,10 +1,15 @@
-"""Text and CSV inputs as typed tables, and point and feature outputs."""
+"""Text and CSV inputs as typed tables, and point and feature outputs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from terrapulse.functions.stats import with_stats
+
+#: The columns of the quality scan.
+METRICS = ("model_rms", "valid_pair_ratio", "maincc_ratio", "jump_risk")
+
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV with a header as a typed table; blanks are null."""
@@ -35,3 +40,66 @@ def write_features(points: DataFrame, path: str) -> None:
     place = F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates"))
     rest = F.struct(*[c for c in points.columns if c not in ("lon", "lat")])
     points.select(F.to_json(F.struct(F.lit("Feature").alias("type"), place.alias("geometry"), rest.alias("properties"))).alias("value")).write.text(path)
+
+
+def read_metrics(spark: SparkSession, path: str, keys: tuple[str, ...] = ("point_id",)) -> DataFrame:
+    """The quality columns of a point table, and its keys; nothing else of the file is read."""
+    return spark.read.parquet(path).select(*keys, *METRICS)
+
+
+def high_confidence(points: DataFrame) -> DataFrame:
+    """``uid, longitude, latitude, tcoh, los_mm_yr, velocity_std_mm_yr`` of strict points, numbered along rows and columns.
+
+    ``points`` have ``row, col, lon, lat, tcoh, velocity, deviation, point_class``.  Numbers are those of the rows before, added up, and the
+    place in the row, so that no task sorts all points.
+    """
+    strict = points.where("point_class = 'strict'")
+    counts = strict.groupBy("row").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("row", F.coalesce(F.sum("_n").over(Window.orderBy("row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    uid = F.col("_before") + F.row_number().over(Window.partitionBy("row").orderBy("col"))
+    r = lambda c, n: F.round(F.col(c), n)
+    return strict.join(before, "row").select(uid.alias("uid"), r("lon", 6).alias("longitude"), r("lat", 6).alias("latitude"), r("tcoh", 3).alias("tcoh"), r("velocity", 3).alias("los_mm_yr"), r("deviation", 3).alias("velocity_std_mm_yr"))
+
+
+def styled(found: DataFrame, most: int = 50_000) -> DataFrame:
+    """``uid, longitude, latitude, description, red, green, blue`` of the first ``most`` points: red sinks, blue rises, white rests.
+
+    The colour is full at the 95th percentile of the rates' sizes, which counts as 1 at least.
+    """
+    df = with_stats(found, _max=F.greatest(F.percentile(F.abs("los_mm_yr"), F.lit(0.95)), F.lit(1.0))).where(F.col("uid") <= most)
+    x = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("los_mm_yr") / F.col("_max")))
+    pale = lambda share: F.floor(255 * share).cast("int")
+    full = F.lit(255)
+    sinks = x < 0
+    return df.select(
+        "uid", "longitude", "latitude", F.format_string("Vel: %.1f mm/yr", F.col("los_mm_yr").cast("double")).alias("description"),
+        F.when(sinks, full).otherwise(pale(1 - x)).alias("red"), F.when(sinks, pale(1 + x)).otherwise(pale(1 - x)).alias("green"), F.when(sinks, pale(1 + x)).otherwise(full).alias("blue"),
+    )
+
+
+def zone_table(records: DataFrame) -> DataFrame:
+    """Zone records as text columns of a CSV: six places, eight for the share of the area, arrays as JSON."""
+    def shown(f):
+        c = F.col(f.name)
+        kind = f.dataType.typeName()
+        if kind in ("double", "float"):
+            return F.format_string("%.8f" if f.name.endswith("share") else "%.6f", c.cast("double")).alias(f.name)
+        return (F.to_json(c) if kind in ("array", "struct", "map") else c.cast("string")).alias(f.name)
+
+    return records.select(*[shown(f) for f in records.schema])
+
+
+def zone_series(profiles: DataFrame, figures: DataFrame) -> DataFrame:
+    """One row a zone and date: quartiles, trimmed mean and its smoothing, count, and the zone's net motion and continuity.
+
+    ``profiles`` come from ``zones.profile`` with ``date``; ``figures`` have ``zone, net_mm, continuity``.  The smoothing takes a quarter of each neighbour,
+    the end values twice.
+    """
+    w = Window.partitionBy("zone").orderBy("date")
+    c = F.col("trimmed_mean")
+    smooth = 0.25 * F.coalesce(F.lag(c).over(w), c) + 0.5 * c + 0.25 * F.coalesce(F.lead(c).over(w), c)
+    return profiles.withColumn("smooth", smooth).join(figures.select("zone", "net_mm", "continuity"), "zone").select("zone", "date", "p25", "p50", "trimmed_mean", "smooth", "p75", "n_points", "net_mm", "continuity")
+
+
+def write_csv(table: DataFrame, path: str) -> None:
+    table.write.option("header", True).csv(path)
