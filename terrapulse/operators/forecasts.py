@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrapulse.functions.stats import order_statistic
+from terrapulse.functions.stats import order_statistic, quantiles
 
 
 def samples(obs: DataFrame, lookback: int = 12, horizon: int = 3) -> DataFrame:
@@ -33,7 +33,7 @@ def baselines(found: DataFrame) -> DataFrame:
 def bands(predicted: DataFrame, low: float = 0.1, high: float = 0.9) -> DataFrame:
     """Quantiles of what is left over, by method and step ahead (FC13)."""
     left = F.col("target") - F.col("p50")
-    return predicted.groupBy("method", "h").agg(F.percentile(left, F.lit(low)).alias("q10"), F.percentile(left, F.lit(high)).alias("q90"))
+    return quantiles(predicted, "method", "h", q10=(left, low), q90=(left, high))
 
 
 def with_bands(predicted: DataFrame, found: DataFrame) -> DataFrame:

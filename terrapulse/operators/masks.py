@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrapulse.functions.stats import with_stats
+from terrapulse.functions.stats import quantiles, with_stats
 from terrapulse.operators import series, support, zones
 from terrapulse.operators.rasters import CELL, box_means, closing, fill_holes, labels, lattice, neighbour_count, opening, propagate
-from terrapulse.operators.seeds import floored
 from terrapulse.session import materialise
 
 # Limits of region growing.
@@ -43,7 +42,8 @@ def region_grow(found: DataFrame, probability: DataFrame, *, limits: dict[str, f
     df = materialise(df.select(*CELL, "velocity", "tcoh", "ps_score", "support", "probability"))
     around = box_means(df, density=("support", 9), core=("velocity", 15), region=("velocity", 21), background=("velocity", 41), tcoh_region=("tcoh", 9), ps_region=("ps_score", 9))
     df = materialise(df.join(around, CELL).withColumn("anomaly", F.abs(F.col("region") - F.col("background"))))
-    held = df.where("support > 0.5").agg(floored_abs("core", 0.90, lim["core"]).alias("_core"), floored("anomaly", 0.78, lim["anomaly"]).alias("_odd"))
+    held = quantiles(df.where("support > 0.5"), _core=(F.abs("core"), 0.90), _odd=(F.col("anomaly"), 0.78))
+    held = held.select(F.greatest("_core", F.lit(lim["core"])).alias("_core"), F.greatest("_odd", F.lit(lim["anomaly"])).alias("_odd"))
     df = df.join(F.broadcast(held)).withColumn("_grow", F.greatest(F.col("_core") * lim["grow_share"], F.lit(lim["grow"])))
     layers = []
     for sign in (1, -1):
@@ -64,10 +64,6 @@ def region_grow(found: DataFrame, probability: DataFrame, *, limits: dict[str, f
     return grown.join(df.select(*CELL), CELL, "left_semi").select("sign", *CELL)
 
 
-def floored_abs(value: str, quantile: float, floor: float) -> Column:
-    return F.greatest(F.percentile(F.abs(value), F.lit(quantile)), F.lit(floor))
-
-
 def layered(df: DataFrame, masks: list[Column]) -> DataFrame:
     """Cells with ``bits``: bit k is set where mask k holds."""
     bits = F.lit(0)
@@ -133,7 +129,7 @@ def principal_candidates(found: DataFrame, probability: DataFrame, *, value: str
     df = found.join(probability, CELL, "left").withColumns({"support": F.greatest("strict", "relaxed"), "probability": F.coalesce("probability", F.lit(0.0)), "_value": F.col(value)})
     df = materialise(df.select(*CELL, "_value", "velocity", "anomaly", "tcoh", "support", "probability"))
     around = materialise(df.join(box_means(df, core=("_value", 15), density=("support", 9), tcoh_region=("tcoh", 9), p_region=("probability", 9)), CELL))
-    base = around.where("support > 0.5").agg(floored_abs("core", 0.90, lim["base"]).alias("_base"), F.count(F.lit(1)).alias("_n")).where("_n > 0")
+    base = quantiles(around.where("support > 0.5"), _base=(F.abs("core"), 0.90)).where("_base IS NOT NULL").select(F.greatest("_base", F.lit(lim["base"])).alias("_base"))
     at = around.join(F.broadcast(base))
     steady = (F.col("density") >= lim["density"]) & (F.col("tcoh_region") >= lim["tcoh"]) & (F.col("p_region") >= lim["probability"])
     masks = [steady & (F.col("core") * s >= F.greatest(F.col("_base") * share, F.lit(floor))) for s in (1, -1) for share, floor in LEVELS]

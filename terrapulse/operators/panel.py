@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapulse.functions.scalars import clip
-from terrapulse.functions.stats import robust_range
+from terrapulse.functions.stats import quantiles, robust_range
 from terrapulse.operators.fits import design
 from terrapulse.operators.forecasts import bands, scores, with_bands
 
@@ -171,7 +171,7 @@ def normaliser(found: DataFrame, channels: tuple[str, ...] = CHANNELS) -> DataFr
     flat = found.select(F.inline("history"))
     spread = lambda c: F.when(F.stddev_pop(c) < 1e-6, 1.0).otherwise(F.stddev_pop(c))
     stats = flat.agg(*[F.avg(c).alias(f"mean_{c}") for c in channels], *[spread(c).alias(f"std_{c}") for c in channels])
-    size = found.select(F.explode("targets").alias("y")).agg(F.greatest(F.lit(1.0), F.coalesce(F.percentile(F.abs("y"), F.lit(0.95)), F.lit(1.0))).alias("target_scale"))
+    size = quantiles(found.select(F.explode("targets").alias("y")), y=(F.abs("y"), 0.95)).select(F.greatest(F.lit(1.0), F.coalesce("y", F.lit(1.0))).alias("target_scale"))
     return stats.join(F.broadcast(size))
 
 

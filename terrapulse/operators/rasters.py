@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrapulse.functions.stats import with_stats
+from terrapulse.functions.stats import quantiles
 from terrapulse.operators.components import contracted
 from terrapulse.session import materialise
 
@@ -84,7 +84,7 @@ def box_means(grid: DataFrame, **wanted: tuple[str, int]) -> DataFrame:
 def gradient(grid: DataFrame, value: str, fill: Column | None = None) -> DataFrame:
     """Size of the gradient by central differences, one-sided at the border (R3); gaps count as ``fill``, the median by default."""
     df = lattice(grid, value)
-    df = with_stats(df, _fill=F.median(value)) if fill is None else df.withColumn("_fill", fill)
+    df = df.join(F.broadcast(quantiles(grid, _fill=(F.col(value), 0.5)))) if fill is None else df.withColumn("_fill", fill)
     df = df.withColumn("_x", F.coalesce(F.col(value), "_fill"))
 
     def slope(along: str, across: str) -> Column:
@@ -234,5 +234,6 @@ def buffer_radius(points: DataFrame, least: float = 3e-4) -> DataFrame:
     down = Window.partitionBy("col").orderBy("row")
     step = lambda c, axis, w: F.when(F.lead(axis).over(w) == F.col(axis) + 1, F.abs(F.lead(c).over(w) - F.col(c)))
     df = points.select(step("lon", "col", along).alias("a"), step("lat", "row", down).alias("b"))
-    median = lambda c: F.coalesce(F.median(F.when(F.col(c) > 0, F.col(c))), F.lit(0.0))
-    return df.agg((0.62 * F.greatest(median("a"), median("b"), F.lit(least))).alias("radius"))
+    known = lambda c: F.when(F.col(c) > 0, F.col(c))
+    found = quantiles(df, a=(known("a"), 0.5), b=(known("b"), 0.5))
+    return found.select((0.62 * F.greatest(F.coalesce("a", F.lit(0.0)), F.coalesce("b", F.lit(0.0)), F.lit(least))).alias("radius"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapulse.functions.scalars import clip
-from terrapulse.functions.stats import robust_range, with_stats
+from terrapulse.functions.stats import quantiles, robust_range, with_stats
 from terrapulse.operators.rasters import CELL, box, box_deviation, box_mean, far_from, gradient, lattice
 from terrapulse.session import materialise
 
@@ -40,9 +40,10 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
-def floored(value: str, quantile: float, floor: float) -> Column:
-    """A percentile of all rows, ``floor`` at least and where there are none (M2)."""
-    return F.greatest(F.percentile(value, F.lit(quantile)), F.lit(floor))
+def with_floors(df: DataFrame, **wanted: tuple[Column, float, float]) -> DataFrame:
+    """``df`` with ``out=(column, quantile, floor)``: a quantile of all rows, ``floor`` at least and where there are none (M2)."""
+    found = quantiles(df, **{n: (c, q) for n, (c, q, _) in wanted.items()})
+    return df.join(F.broadcast(found.select(*[F.greatest(n, F.lit(floor)).alias(n) for n, (_, _, floor) in wanted.items()])))
 
 
 def same_sign(found: DataFrame, level: Column) -> DataFrame:
@@ -59,10 +60,11 @@ def weak_seeds(found: DataFrame) -> DataFrame:
     The features and the moving cells are read several times, so both are written once.
     """
     found = materialise(found)
-    df = with_stats(
+    at = lambda c, q, floor: (F.col(c), q, floor)
+    df = with_floors(
         found,
-        _fast=floored("speed", 0.95, 5.0), _odd=floored("anomaly", 0.94, 3.0), _slow=floored("speed", 0.40, 1.5),
-        _even=floored("anomaly", 0.45, 1.2), _flat=floored("gradient", 0.45, 0.5), _calm=floored("deviation", 0.45, 0.75),
+        _fast=at("speed", 0.95, 5.0), _odd=at("anomaly", 0.94, 3.0), _slow=at("speed", 0.40, 1.5),
+        _even=at("anomaly", 0.45, 1.2), _flat=at("gradient", 0.45, 0.5), _calm=at("deviation", 0.45, 0.75),
     )
     trusted = (F.col("tcoh") >= 0.65) | (F.col("ps_score") >= 0.50) | (F.col("strict") + F.col("relaxed") > 0)
     moving = df.where(trusted & (F.col("speed") >= F.col("_fast")) & (F.col("anomaly") >= F.col("_odd")))

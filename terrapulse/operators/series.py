@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrapulse.functions.stats import with_stats
+from terrapulse.functions.stats import quantiles, with_stats
 from terrapulse.operators import fits
 
 
@@ -169,7 +169,7 @@ def even_epochs(epochs: DataFrame, k: int = 9) -> DataFrame:
 
 def residual_threshold(obs: DataFrame, floor_mm: float = 28.0, scale: float = 1.0) -> DataFrame:
     """90th and 95th percentile of the absolute residuals of all points, and the jump threshold they give."""
-    out = residuals(obs).agg(F.percentile(F.abs("res"), F.lit(0.9)).alias("p90"), F.percentile(F.abs("res"), F.lit(0.95)).alias("p95"))
+    out = quantiles(residuals(obs), p90=(F.abs("res"), 0.9), p95=(F.abs("res"), 0.95))
     return out.withColumn("jump_threshold", F.greatest(F.lit(floor_mm), F.col("p95") * scale))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapulse.functions.scalars import clip, distance_m, sigmoid
-from terrapulse.functions.stats import robust_z, with_stats
+from terrapulse.functions.stats import robust_z, with_quantiles, with_stats
 from terrapulse.operators import series
 from terrapulse.operators.components import connected_components
 from terrapulse.operators.neighbours import nearest
@@ -70,7 +70,7 @@ def features(obs: DataFrame, points: DataFrame, edges: DataFrame) -> DataFrame:
         F.avg("_n").alias("_n"), F.avg("_p").alias("_p"), (F.avg(F.when(F.col("rank") <= 4, F.col("dist_m"))) / 1000).alias("_four"), (F.min("dist_m") / 1000).alias("_one"),
     )
     df = own.join(near, "point_id", "left").join(trace, "point_id", "left")
-    df = with_stats(df, _edge=F.median("_one"))
+    df = with_quantiles(materialise(df), _edge=(F.col("_one"), 0.5))
     density = F.greatest(F.col("_edge"), F.lit(1e-3)) / F.greatest(F.col("_four"), F.lit(1e-3))
     zero = lambda x: F.coalesce(x, F.lit(0.0))
     df = df.withColumns({
@@ -98,8 +98,7 @@ def saliency(df: DataFrame) -> DataFrame:
 
 def flagged(df: DataFrame) -> DataFrame:
     """``active`` and ``core`` points, by percentiles with floors."""
-    q = lambda c, x: F.percentile(c, F.lit(x))
-    df = with_stats(df, _a=q("saliency", 0.80), _c=q("saliency", 0.92), _v=q("activity", 0.75))
+    df = with_quantiles(df, _a=(F.col("saliency"), 0.80), _c=(F.col("saliency"), 0.92), _v=(F.col("activity"), 0.75))
     active = (F.col("sign") != 0) & (F.col("saliency") >= F.greatest(F.lit(ACTIVE_SALIENCY), F.col("_a"))) & (F.col("temporal_coherence") >= ACTIVE_COHERENCE) & (F.col("qc_support") >= QC_SUPPORT)
     core = (F.col("saliency") >= F.greatest(F.lit(CORE_SALIENCY), F.col("_c"))) & (F.col("activity") >= F.col("_v")) & (F.col("temporal_coherence") >= CORE_COHERENCE)
     return df.withColumn("active", active).withColumn("core", active & core).drop("_a", "_c", "_v")

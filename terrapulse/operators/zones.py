@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapulse.functions.scalars import clip, distance_m, edge_distance, pixel_area_km2
-from terrapulse.functions.stats import with_stats
+from terrapulse.functions.stats import quantiles, with_stats
 
 
 def cell_average(pixels: DataFrame, key: str = "point_id", value: str = "coh") -> DataFrame:
@@ -19,8 +19,8 @@ def outlier_share(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Share of values further than five scaled median deviations from their group's median."""
     x = F.col(value)
     df = df.where(x.isNotNull() & ~F.isnan(x)).select(*keys, value)
-    df = df.join(df.groupBy(*keys).agg(F.median(x).alias("_med")), keys).withColumn("_d", F.abs(x - F.col("_med")))
-    scale = df.groupBy(*keys).agg(F.greatest(1.4826 * F.median("_d"), F.lit(1e-6)).alias("_scale"))
+    df = df.join(quantiles(df, *keys, _med=(x, 0.5)), keys).withColumn("_d", F.abs(x - F.col("_med")))
+    scale = quantiles(df, *keys, _scale=(F.col("_d"), 0.5)).withColumn("_scale", F.greatest(1.4826 * F.col("_scale"), F.lit(1e-6)))
     return df.join(scale, keys).groupBy(*keys).agg(F.avg((F.col("_d") > 5 * F.col("_scale")).cast("double")).alias("outlier_share"))
 
 
@@ -70,7 +70,8 @@ def histogram(df: DataFrame, value: str) -> DataFrame:
 def spread(df: DataFrame, value: str) -> DataFrame:
     """Mean, population deviation, median, and the symmetric colour limit: 97th percentile of absolute values, 1 at least."""
     x = F.col(value)
-    return df.agg(F.avg(x).alias("mean"), F.stddev_pop(x).alias("deviation"), F.median(x).alias("median"), F.greatest(F.lit(1.0), F.percentile(F.abs(x), F.lit(0.97))).alias("limit"))
+    ranks = quantiles(df, median=(x, 0.5), limit=(F.abs(x), 0.97)).select("median", F.greatest(F.lit(1.0), F.col("limit")).alias("limit"))
+    return df.agg(F.avg(x).alias("mean"), F.stddev_pop(x).alias("deviation")).join(ranks)
 
 
 def bilinear(at: DataFrame, grid: DataFrame, value: str) -> DataFrame:

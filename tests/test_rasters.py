@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from terrapulse.functions.stats import order_statistic
+from terrapulse.functions.stats import order_statistic, quantiles
 from terrapulse.operators import rasters
 
 
@@ -115,3 +115,29 @@ def test_box_means_in_one_pass(spark):
     for name, value, size in (("x", "a", 3), ("y", "a", 5), ("z", "b", 3)):
         alone = {(r["row"], r["col"]): r["mean"] for r in rasters.box_mean(grid, value, size).collect()}
         assert {k for k, r in got.items() if r[name] is not None} == set(alone) and all(abs(got[k][name] - m) < 1e-9 for k, m in alone.items())
+
+
+def test_quantiles_are_exact(spark):
+    """Against sorted lists: small and large groups, ties, few and no values, the extremes."""
+    rng = random.Random(3)
+    rows = [(g, rng.gauss(0, 1), float(rng.randrange(6)), None if i % 3 else rng.random()) for g, n in (("a", 9000), ("b", 7), ("c", 1)) for i in range(n)] + [("d", None, None, None)]
+    df = spark.createDataFrame(rows, "g string, x double, y double, z double").repartition(3)
+    wanted = {f"{c}_{k}": (F.col(c), p) for c in "xyz" for k, p in enumerate((0.0, 0.1, 0.5, 0.95, 1.0))}
+
+    def plain(values, p):
+        v = sorted(x for x in values if x is not None)
+        if not v:
+            return None
+        at = (len(v) - 1) * p
+        return v[int(at)] + (v[min(int(at) + 1, len(v) - 1)] - v[int(at)]) * (at - int(at))
+
+    # the smaller accuracy makes brackets that are narrower than the group
+    for accuracy in (4096, 64):
+        got = {r.g: r for r in quantiles(df, "g", accuracy=accuracy, **wanted).collect()}
+        assert set(got) == set("abcd")
+        for g in got:
+            for n, (_, p) in wanted.items():
+                want = plain([r["gxyz".index(n[0])] for r in rows if r[0] == g], p)
+                assert want == got[g][n] or abs(want - got[g][n]) < 1e-12
+    assert abs(quantiles(df, m=(F.col("x"), 0.5)).first().m - plain([r[1] for r in rows], 0.5)) < 1e-12
+    assert quantiles(df.where("false"), m=(F.col("x"), 0.5)).first().m is None
