@@ -31,7 +31,7 @@ HELD = 400_000
 
 
 #: Texts that a task takes at once, bytes, in counting and in scoring.
-PIECE, BLOCK = 1 << 20, 2 << 20
+PIECE, BLOCK = 1 << 20, 4 << 20
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -137,10 +137,13 @@ class Vocabulary:
         """(previous word, word) of all tokens as numbers, and the number of tokens per text."""
         h, n = hashed_words(texts)
         w = self.ids(h)
-        before = np.concatenate(([0], w[:-1])) if len(w) else w
-        starts = (np.cumsum(n) - n)[n > 0]
-        before[starts] = len(self.words) + 1
-        return before, w, n
+        return self.before(w, n), w, n
+
+    def before(self, w: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The word before each one of texts with ``n`` words, the start of the text before the first."""
+        out = np.concatenate(([0], w[:-1])) if len(w) else w
+        out[(np.cumsum(n) - n)[n > 0]] = len(self.words) + 1
+        return out
 
     def key(self, before: np.ndarray, w: np.ndarray) -> np.ndarray:
         """The bigram as one number, which is exact without ``slots``."""
@@ -225,24 +228,25 @@ def train(docs: DataFrame, target: DataFrame, *, vocabulary: int | None = None,
     return Model(terms, materialise(marked.mapInArrow(run, schema).groupBy("part").applyInArrow(_sum_part, schema)))
 
 
-_COUNTS, _TOKENS, _TEXTS = 0, 1, 2
+_COUNTS, _ASKED, _TEXTS = 0, 1, 2
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``n_tokens``, bits per token under both models, and their difference ``score`` (lower: more like the target).
 
     Whole texts are read.  A text without words, or null, has 0 tokens and null figures; repeated rows are scored one by
-    one; with an empty target its model is uniform.  The tokens of a block of texts go to the parts of the bigram table, which
-    follow their counts in the order of a partition, and come back as sums a text.
+    one; with an empty target its model is uniform.  A block of texts asks the parts of the bigram table for the counts of its distinct
+    bigrams, each once; the parts follow their counts in the order of a partition, and the answers meet the block's words again.  So
+    what is moved grows with the words, not with words times parts.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model.vocabulary)
     kept = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     kind = dict(kept.dtypes)["doc_id"]
-    schema = f"kind int, part int, block long, a binary, b binary, c binary, ids array<{kind}>"
-    names = ["kind", "part", "block", "a", "b", "c", "ids"]
+    schema = f"kind int, part int, block long, a binary, b binary, ids array<{kind}>"
+    names = ["kind", "part", "block", "a", "b", "ids"]
 
     def batch_of(rows: list, ids: pa.DataType) -> pa.RecordBatch:
-        types = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), ids)
+        types = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), ids)
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,50 +255,62 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             ids = batch.column("doc_id")
             for start, texts in slices(batch.column("text"), BLOCK):
                 before, w, n = v.tokens(texts)
-                doc = np.repeat(np.arange(len(texts), dtype=np.int32), n)
-                before, w = before.astype(np.int32), w.astype(np.int32)
-                rows = [(_TOKENS, p, block, _packed(before[at]), _packed(w[at]), _packed(np.diff(doc[at], prepend=np.int32(0))), None) for p, at in v.by_part(v.key(before, w))]
-                rows.append((_TEXTS, block % v.parts, block, n.astype(np.int64).tobytes(), None, None, ids[start : start + len(texts)].to_pylist()))
+                keys = np.unique(v.key(before, w))
+                rows = [(_ASKED, p, block, _packed(np.diff(keys[at], prepend=0)), None, None) for p, at in v.by_part(keys)]
+                rows.append((_TEXTS, block % v.parts, block, _packed(w.astype(np.int32)), n.astype(np.int64).tobytes(), ids[start : start + len(texts)].to_pylist()))
                 yield batch_of(rows, pa.list_(ids.type))
                 block += 1
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, held, none = sent.value, -1, np.zeros(0, np.int64)
-        keys, counts = none, np.zeros((0, 2))
+        held, none = -1, np.zeros(0, np.int64)
+        keys, counts = none, [none, none]
         for batch in batches:
             rows = []
-            for row_kind, part, block, a, b, c, ids in zip(*[batch.column(x) for x in names], strict=True):
+            for row_kind, part, block, a, b, ids in zip(*[batch.column(x) for x in names], strict=True):
                 row_kind, part, block = row_kind.as_py(), part.as_py(), block.as_py()
                 if part != held:
-                    held, keys, counts = part, none, np.zeros((0, 2))
+                    held, keys, counts = part, none, [none, none]
                 if row_kind == _COUNTS:
+                    # a part's row holds its keys and, one after the other, both counts
                     keys = np.cumsum(_unpacked(a, np.int64))
-                    counts = np.stack([_unpacked(x, np.int64) for x in (b, c)], axis=1).astype(float)
+                    counts = np.split(_unpacked(b, np.int64), 2)
                 elif row_kind == _TEXTS:
-                    rows.append((_TEXTS, part, block, a.as_py(), None, None, ids.as_py()))
+                    rows.append((_TEXTS, part, block, a.as_py(), b.as_py(), ids.as_py()))
                 else:
-                    before, w, doc = (_unpacked(x, np.int32) for x in (a, b, c))
-                    doc = np.cumsum(doc, dtype=np.int32)
-                    key, found = v.key(before, w), np.zeros((len(w), 2))
+                    key = np.cumsum(_unpacked(a, np.int64))
+                    found = [np.zeros(len(key), np.int64)] * 2
                     if len(keys):
                         at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                        found = np.where((keys[at] == key)[:, None], counts[at], 0.0)
-                    bits = v.bits(before, w, found)
-                    at, doc = np.unique(doc, return_inverse=True)
-                    rows.append((_TOKENS, part, block, at.tobytes(), *[np.bincount(doc, weights=bits[:, m]).tobytes() for m in (0, 1)], None))
+                        found = [np.where(keys[at] == key, c[at], 0) for c in counts]
+                    rows.append((_ASKED, part, block, *[_packed(c) for c in found], None))
             if rows:
                 yield batch_of(rows, batch.column("ids").type)
 
     def gather(key: tuple, table: pa.Table) -> pa.Table:
-        rows = sorted(zip(*[table.column(x).to_pylist() for x in ("kind", "part", "a", "b", "c", "ids")], strict=True), key=lambda r: r[:2])
-        n = np.frombuffer(rows[-1][2], np.int64)
-        bits = np.zeros((len(n), 2))
-        for _, _, a, b, c, _ in rows[:-1]:
-            bits[np.frombuffer(a, np.int32)] += np.stack([np.frombuffer(b), np.frombuffer(c)], axis=1)
-        bits /= np.maximum(n, 1)[:, None]
-        cols = [pa.array(x, pa.float64(), mask=n == 0) for x in (bits[:, 0], bits[:, 1], bits[:, 0] - bits[:, 1])]
-        return pa.Table.from_arrays([pa.array(rows[-1][5], table.schema.field("ids").type.value_type), pa.array(n), *cols], names=["doc_id", "n_tokens", "target_bits", "background_bits", "score"])
-
-    table = model.bigrams.select(F.lit(_COUNTS).alias("kind"), "part", F.lit(-1).cast("long").alias("block"), F.col("keys").alias("a"), F.col("t").alias("b"), F.col("b").alias("c"), F.lit(None).cast(f"array<{kind}>").alias("ids"))
+        v, answers, own = sent.value, {}, None
+        for row_kind, part, a, b, ids in zip(*[table.column(x) for x in ("kind", "part", "a", "b", "ids")], strict=True):
+            if row_kind.as_py() == _TEXTS:
+                own = _unpacked(a, np.int32).astype(np.int64), np.frombuffer(b.as_py(), np.int64), ids.as_py()
+            else:
+                answers[part.as_py()] = [_unpacked(x, np.int64) for x in (a, b)]
+        w, n, ids = own
+        before = v.before(w, n)
+        keys, place = np.unique(v.key(before, w), return_inverse=True)
+        found = np.zeros((len(keys), 2))
+        for p, at in v.by_part(keys):
+            found[at, 0], found[at, 1] = answers[p]
+        bits = v.bits(before, w, found[place])
+        doc = np.repeat(np.arange(len(n)), n)
+        sums = [np.bincount(doc, weights=bits[:, m], minlength=len(n)) / np.maximum(n, 1) for m in (0, 1)]
+        cols = [pa.array(x, pa.float64(), mask=n == 0) for x in (sums[0], sums[1], sums[0] - sums[1])]
+        return pa.Table.from_arrays([pa.array(ids, table.schema.field("ids").type.value_type), pa.array(n), *cols], names=["doc_id", "n_tokens", "target_bits", "background_bits", "score"])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = [_packed(np.concatenate([_unpacked(x, np.int64), _unpacked(y, np.int64)])) for x, y in zip(batch.column("t"), batch.column("b"), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("keys"), pa.array(both, pa.binary())], names=["part", "a", "b"])
+
+    table = model.bigrams.mapInArrow(joined, "part int, a binary, b binary")
+    table = table.select(F.lit(_COUNTS).alias("kind"), "part", F.lit(-1).cast("long").alias("block"), "a", "b", F.lit(None).cast(f"array<{kind}>").alias("ids"))
     met = table.unionByName(kept.mapInArrow(deal, schema)).repartitionById(model.vocabulary.parts, "part").sortWithinPartitions("part", "kind")
     return met.mapInArrow(look_up, schema).groupBy("block").applyInArrow(gather, f"doc_id {kind}, n_tokens long, target_bits double, background_bits double, score double")
