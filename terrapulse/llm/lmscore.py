@@ -27,7 +27,7 @@ SENT_IDS = 2_000_000
 #: Weight of the unigram estimate, in words.
 PRIOR = 100.0
 #: Distinct words, or bigrams, that a task holds before it passes their counts on.
-HELD = 400_000
+HELD = 800_000
 
 
 #: Texts that a task takes at once, bytes, in counting and in scoring.
@@ -124,6 +124,7 @@ class Vocabulary:
     parts: int  # of the bigram table
     slots: int | None  # bigrams are folded into so many, where given
     ends: np.ndarray  # as ``unigrams``: how often each ends a text, and so is followed by nothing
+    rank: np.ndarray  # the number of each word of ``words``: frequent words have small ones, so that numbers and bigrams pack well
 
     def __post_init__(self):
         self.total = self.unigrams[: len(self.words) + 1].sum(0)
@@ -131,7 +132,7 @@ class Vocabulary:
 
     def ids(self, words: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.words, words), max(0, len(self.words) - 1))
-        return np.where(self.words[at] == words, at, len(self.words)) if len(self.words) else np.zeros(len(words), np.int64)
+        return np.where(self.words[at] == words, self.rank[at], len(self.words)) if len(self.words) else np.zeros(len(words), np.int64)
 
     def tokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(previous word, word) of all tokens as numbers, and the number of tokens per text."""
@@ -204,11 +205,13 @@ def train(docs: DataFrame, target: DataFrame, *, vocabulary: int | None = None,
     sums = lambda df: np.array([x or 0 for x in df.agg(*[F.sum(c) for c in ("t", "b", "te", "be")]).first()], float)
     total = sums(named)
     words = chosen.column("word").to_numpy().view(np.uint64)
-    order = np.argsort(words)
+    order = np.lexsort((words, -chosen.column("b").to_numpy()))  # by falling count
     counts = np.stack([chosen.column(c).to_numpy()[order] for c in ("t", "b", "te", "be")], axis=1).astype(float)
     del chosen
     unigrams = np.concatenate([counts, [total - counts.sum(0)], [sums(counted.where("word IS NULL"))]])
-    terms = Vocabulary(words[order], unigrams[:, :2], max(1, -int(-total[1] // part_tokens)), slots, unigrams[:, 2:])
+    words = words[order]
+    rank = np.argsort(words)
+    terms = Vocabulary(words[rank], unigrams[:, :2], max(1, -int(-total[1] // part_tokens)), slots, unigrams[:, 2:], rank.astype(np.int64))
     sent = spark.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
