@@ -6,6 +6,8 @@ collected into one row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -221,6 +223,24 @@ def merged_members(members: DataFrame, joins: DataFrame) -> DataFrame:
     return members.join(joins, "zone", "left").select(F.coalesce("into", "zone").alias("zone"), "point_id").distinct()
 
 
+def merged_to_end(kept: DataFrame, rejected: DataFrame, members: DataFrame, summarise: Callable[[DataFrame], tuple[DataFrame, DataFrame]], *, max_rounds: int = 50) -> tuple[DataFrame, DataFrame, int]:
+    """Kept regions, all members, and the number of rounds, when no rejected region joins a kept one any more.
+
+    ``summarise`` gives the records and the centre traces (``zone, epoch_idx, v``) of members (``zone, point_id``); a region that others have
+    joined is judged anew by its new members. Within a round all candidates are judged by the regions as they stand.
+    """
+    kept, rejected, members = materialise(kept), materialise(rejected), materialise(members)
+    for rounds in range(max_rounds):
+        both = members.join(kept.select("zone").union(rejected.select("zone")), "zone", "left_semi")
+        joins = materialise(joining(kept, rejected, summarise(both)[1]))
+        if joins.isEmpty():
+            return kept, members, rounds
+        members = materialise(merged_members(members, joins))
+        kept = materialise(summarise(members.join(kept.select("zone"), "zone", "left_semi"))[0])
+        rejected = materialise(rejected.join(joins.select("zone"), "zone", "left_anti"))
+    raise RuntimeError("the regions did not settle")
+
+
 def exclusive(cells: DataFrame) -> DataFrame:
     """Cells ``zone_order, row, col`` that several zones claim go to the first."""
     return cells.groupBy("row", "col").agg(F.min("zone_order").alias("zone_order"))

@@ -127,3 +127,23 @@ def test_least_squares_of_little(spark):
     r = fits.least_squares(df, annual=True).collect()
     assert len(r) == 1 and r[0].coefficients == [5.0, 0.0, 0.0, 0.0] and r[0].sse == 0.0
     assert fits.model_fits(df).first().model == "linear" and fits.model_fits(df.where("false")).count() == 0
+
+
+def test_regions_join_to_the_end(spark):
+    """Region 2 is near region 1; region 3 only to what both are together; region 4 moves otherwise, region 5 is too far."""
+    at = {1: (30.0, 103.0, 1), 2: (30.012, 103.0, 1), 3: (30.022, 103.0, 1), 4: (30.004, 103.0, -1), 5: (30.2, 103.0, 1)}
+    points = [(z * 10 + i, lat, lon, s) for z, (lat, lon, s) in at.items() for i in range(4)]
+    table = spark.createDataFrame(points, "point_id long, lat double, lon double, s int")
+    values = spark.createDataFrame([(p, e, float(s * e + 0.01 * (p % 3))) for p, *_, s in points for e in range(8)], "point_id long, epoch_idx int, v double")
+    members = table.select((F.col("point_id") / 10).cast("int").alias("zone"), "point_id")
+
+    def summarise(m):
+        records = m.join(table, "point_id").groupBy("zone").agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"), F.lit("uplift").alias("zone_type"), (F.count(F.lit(1)) / 10.0).alias("region_score"))
+        return records, m.join(values, "point_id").groupBy("zone", "epoch_idx").agg(F.avg("v").alias("v"))
+
+    every = summarise(members)[0]
+    kept, found, rounds = support.merged_to_end(every.where("zone = 1"), every.where("zone > 1"), members, summarise)
+    groups = {}
+    for r in found.collect():
+        groups.setdefault(r.zone, set()).add(r.point_id // 10)
+    assert groups == {1: {1, 2, 3}, 4: {4}, 5: {5}} and rounds == 2 and [r.zone for r in kept.collect()] == [1]
