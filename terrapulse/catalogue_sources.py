@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from terrapulse.catalogue import _SCORE, _scored_points, register
 from terrapulse.session import materialise, shared_dir
-from terrapulse.sources import grids, tables
+from terrapulse.sources import grids, stacks, tables
 
 
 def _folder(df) -> str:
@@ -123,3 +123,11 @@ def s30(points):
     path = _folder(points)
     tables.write_csv(points.select("point_id", "row", F.when(F.col("point_id") % 5 != 0, F.col("tcoh")).alias("tcoh")), path)
     return tables.read_csv(points.sparkSession, path, "point_id long, row int, tcoh double")
+
+
+@register("s27_cropped_geometry", ("point",), 'SELECT CAST(("row" - 1) // 2 AS INTEGER) AS "row", CAST((col - 4) // 3 AS INTEGER) AS col, round(CAST(lat AS FLOAT)::DOUBLE, 4) AS latitude, round(CAST(lon AS FLOAT)::DOUBLE, 4) AS longitude, round(CAST(height_m AS FLOAT)::DOUBLE, 2) AS height FROM point WHERE "row" BETWEEN 1 AND 10 AND ("row" - 1) % 2 = 0 AND col BETWEEN 4 AND 33 AND (col - 4) % 3 = 0')
+def s27(points):
+    """The crop has no grid of its own: five by ten cells of the full one, every second row and third column."""
+    full = points.select("row", "col", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), F.col("height_m").alias("height"))
+    found = stacks.geometry(None, full, shape=(5, 10), offset=(1, 4), stride=(2, 3))
+    return found.select("row", "col", *[F.round(F.col(c).cast("double"), n).alias(c) for c, n in (("latitude", 4), ("longitude", 4), ("height", 2))])

@@ -59,3 +59,27 @@ def wide_points(points: DataFrame, obs: DataFrame, dates: list[str]) -> DataFram
     met = points.join(wide, "point_id")
     place = [F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), F.round("tcoh", 3).alias("coherence"), F.round("rate", 2).alias("rate")]
     return met.select(F.col("point_id").alias("uid"), *place, *[F.round(F.col(f"`{d}`"), 2).alias(f"d{d}") for d in dates])
+
+
+def geometry(own: DataFrame | None, full: DataFrame | None = None, *, shape: tuple[int, int] | None = None, offset: tuple[int, int] | None = None, stride: tuple[int, int] = (1, 1)) -> DataFrame:
+    """``row, col, latitude, longitude, height`` of a crop.
+
+    ``own``, the crop's own grid, is taken if it has both coordinates. Else the full-resolution grid is cut: with ``shape`` and ``offset`` to every
+    ``stride``-th cell from the offset on, renumbered, as many as ``shape`` has; without them it is taken whole. A grid without heights gives nulls; cells that the full
+    grid does not reach have no row; without either grid it is an error. Only the wanted rows and columns are read.
+    """
+    names = ["latitude", "longitude", "height"]
+
+    def columns(grid: DataFrame) -> list:
+        return [F.col(c).cast("float").alias(c) if c in grid.columns else F.lit(None).cast("float").alias(c) for c in names]
+
+    if own is not None and {"latitude", "longitude"} <= set(own.columns):
+        return own.select("row", "col", *columns(own))
+    if full is None or not {"latitude", "longitude"} <= set(full.columns):
+        raise ValueError("there is no grid with latitude and longitude")
+    if shape is None or offset is None:
+        return full.select("row", "col", *columns(full))
+    for axis, n, first, step in zip(("row", "col"), shape, offset, stride, strict=True):
+        full = full.where(F.col(axis).between(first, first + n * step - 1) & ((F.col(axis) - first) % step == 0))
+    at = [((F.col(axis) - first) / step).cast("int").alias(axis) for axis, first, step in zip(("row", "col"), offset, stride, strict=True)]
+    return full.select(*at, *columns(full))

@@ -5,7 +5,7 @@ import json
 import numpy as np
 import pytest
 
-from terrapulse.sources import grids, tables
+from terrapulse.sources import grids, stacks, tables
 
 
 def test_date_flags(spark):
@@ -84,3 +84,14 @@ def test_zone_series(spark):
     profiles = spark.createDataFrame([(1, f"2020010{i}", 1.0, 2.0, float(i * i), 3.0, 40) for i in range(1, 5)], "zone int, date string, p25 double, p50 double, trimmed_mean double, p75 double, n_points long")
     got = [r.smooth for r in tables.zone_series(profiles, spark.createDataFrame([(1, 15.0, 1.0)], "zone int, net_mm double, continuity double")).orderBy("date").collect()]
     assert got == [1.75, 4.5, 9.5, 14.25]
+
+
+def test_geometry_prefers_its_own_grid(spark):
+    own = spark.createDataFrame([(0, 0, 1.0, 2.0)], "row int, col int, latitude double, longitude double")
+    full = spark.createDataFrame([(r, c, float(r), float(c), 5.0) for r in range(9) for c in range(9)], "row int, col int, latitude double, longitude double, height double")
+    assert [tuple(r) for r in stacks.geometry(own, full).collect()] == [(0, 0, 1.0, 2.0, None)]
+    got = {tuple(r) for r in stacks.geometry(own.drop("latitude"), full, shape=(2, 5), offset=(1, 2), stride=(3, 2)).collect()}
+    assert got == {(i, j, 1.0 + 3 * i, 2.0 + 2 * j, 5.0) for i in range(2) for j in range(4)}  # the fifth column lies beyond the grid
+    assert stacks.geometry(None, full).count() == 81
+    with pytest.raises(ValueError, match="no grid"):
+        stacks.geometry(None, None)
