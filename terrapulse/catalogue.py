@@ -492,6 +492,18 @@ def fc22(obs):
     return forecasts.scores(forecasts.calibrated(found, forecasts.calibration(found)))
 
 
+@register("fc29_calibration_curve", ("obs",), _CORRECTION + " SELECT method, CAST(h AS INTEGER) AS h, round(avg(CAST(target BETWEEN p10 AND p90 AS INT)), 6) AS raw_coverage, round(avg(CAST(target BETWEEN p10 - correction AND p90 + correction AS INT)), 6) AS calibrated_coverage, 0.8::DOUBLE AS target_coverage FROM b JOIN c USING (method, h) GROUP BY ALL")
+def fc29_curve(obs):
+    found = _banded(obs)
+    return forecasts.calibration_curve(found, forecasts.calibration(found))
+
+
+@register("fc29_horizon_panel", ("obs",), _SAMPLES + ", l AS (SELECT * FROM p WHERE method = 'linear_trend'), x AS (SELECT greatest(quantile_cont(abs(p50), 0.95), 1) AS m FROM l) SELECT point_id, window_end, CAST(h AS INTEGER) AS h, round(greatest(-1, least(1, p50 / m)), 5) AS shade FROM l, x")
+def fc29_panel(obs):
+    found = forecasts.baselines(forecasts.samples(obs)).where("method = 'linear_trend'")
+    return forecasts.horizon_panel(found).select("point_id", "window_end", "h", F.round("shade", 5).alias("shade"))
+
+
 _DAY1, _DAY2 = (f"CAST(strptime(date{k}, '%Y%m%d') AS DATE)" for k in (1, 2))
 _FEED = _MAIN + ", " + MODEL + ", " + _SCORE + f""", x AS (SELECT date1, date2, {_OK} AS ok, {_OK} AND coalesce(cc = main_cc, false) AS main, abs(unw * 0.05546576::DOUBLE / (4 * pi()) * 1000 - ({value_at(_DAY2)} - {value_at(_DAY1)})) AS res
  FROM pair_pixel JOIN s USING (point_id) JOIN mp USING (point_id) LEFT JOIN mc USING (date1, date2), og WHERE ps_score >= 0.6),

@@ -104,3 +104,35 @@ def calibrated(predicted: DataFrame, corrections: DataFrame) -> DataFrame:
 def reliability(scored: DataFrame, target_coverage: float = 0.8) -> DataFrame:
     """1 less the mean coverage error of the steps over the wanted coverage, within [0, 1], of each method."""
     return scored.where("h > 0").groupBy("method").agg(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.avg("coverage_error") / target_coverage)).alias("reliability"))
+
+
+def calibration_curve(predicted: DataFrame, corrections: DataFrame, target_coverage: float = 0.8) -> DataFrame:
+    """``method, h, raw_coverage, calibrated_coverage, target_coverage``: the share of targets within the bands, before and after (FC29)."""
+    inside = lambda c: F.avg(F.col("target").between(F.col("p10") - c, F.col("p90") + c).cast("double"))
+    met = predicted.join(F.broadcast(corrections.select("method", "h", "correction")), ["method", "h"])
+    return met.groupBy("method", "h").agg(inside(F.lit(0.0)).alias("raw_coverage"), inside(F.col("correction")).alias("calibrated_coverage")).withColumn("target_coverage", F.lit(target_coverage))
+
+
+def horizon_panel(predicted: DataFrame, value: str = "p50") -> DataFrame:
+    """Predictions of each step with ``shade`` in [-1, 1]: over the 95th percentile of their sizes at all steps, which counts as 1 at least (FC29)."""
+    limit = quantiles(predicted, _limit=(F.abs(value), 0.95)).select(F.greatest("_limit", F.lit(1.0)).alias("_limit"))
+    shade = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col(value) / F.col("_limit")))
+    return predicted.join(F.broadcast(limit)).withColumn("shade", shade).drop("_limit")
+
+
+def examples(forecast: DataFrame, rel: DataFrame, n: int = 6) -> DataFrame:
+    """``sample, point_id, confidence, epoch_idx, h, value, p10, p90``: history and forecast of the ``n`` surest points, one row a step (FC29).
+
+    ``forecast`` has ``point_id, h, rel0_p10, rel0_p50, rel0_p90, confidence`` of one method, ``rel`` the series since their first value. Ties go to the smaller id; the forecast starts at
+    the last value of the history, where its band is closed (``h`` 0).
+    """
+    order = Window.orderBy(F.desc(F.round("confidence", 9)), "point_id")
+    best = forecast.groupBy("point_id").agg(F.first("confidence").alias("confidence")).orderBy(F.desc(F.round("confidence", 9)), "point_id").limit(n)
+    best = best.withColumn("sample", F.row_number().over(order))
+    none = F.lit(None).cast("double")
+    past = rel.join(best, "point_id").select("sample", "point_id", "confidence", "epoch_idx", none.cast("int").alias("h"), F.col("value_mm").alias("value"), none.alias("p10"), none.alias("p90"))
+    last = past.groupBy("sample", "point_id", "confidence").agg(F.max("epoch_idx").alias("epoch_idx"), F.max_by("value", "epoch_idx").alias("value"))
+    joint = last.select("sample", "point_id", "confidence", "epoch_idx", F.lit(0).alias("h"), "value", F.col("value").alias("p10"), F.col("value").alias("p90"))
+    ahead = forecast.drop("confidence").join(last.select("sample", "point_id", "confidence", "epoch_idx"), "point_id")
+    ahead = ahead.select("sample", "point_id", "confidence", (F.col("epoch_idx") + F.col("h")).alias("epoch_idx"), "h", F.col("rel0_p50").alias("value"), F.col("rel0_p10").alias("p10"), F.col("rel0_p90").alias("p90"))
+    return past.union(joint).union(ahead)

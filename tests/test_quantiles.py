@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from terrapulse.operators import quantiles
+from terrapulse.operators import forecasts, quantiles
 
 SCHEMA = "point_id long, window_end int, split string, event boolean, last_rel0 double, targets array<double>, history array<struct<epoch_idx:int,rel0:double>>, s double"
 
@@ -72,3 +72,12 @@ def test_neighbours_are_taken_where_they_help(spark, helps):
     assert r.variant == ("neighbours" if helps else "plain") and (r.near_rmse < 0.5 * r.plain_rmse) == helps
     kept = quantiles.chosen_variant(a, b, "mean_degree_below_threshold").first()
     assert kept.variant == "plain" and kept.reason == "mean_degree_below_threshold"
+
+
+def test_examples(spark):
+    """The two surest points, the smaller id of equals; history, a closed band at its end, and the steps ahead."""
+    ahead = spark.createDataFrame([(p, h, 10.0 * p + h - 1, 10.0 * p + h, 10.0 * p + h + 1, c) for p, c in ((1, 0.5), (2, 0.9), (3, 0.5)) for h in (1, 2)], "point_id long, h int, rel0_p10 double, rel0_p50 double, rel0_p90 double, confidence double")
+    rel = spark.createDataFrame([(p, e, float(p * e)) for p in (1, 2, 3) for e in range(4)], "point_id long, epoch_idx int, value_mm double")
+    got = forecasts.examples(ahead, rel, 2).orderBy("sample", "epoch_idx", "h").collect()
+    assert [(r["sample"], r.point_id) for r in got[:7]] == [(1, 2)] * 7 and [r.point_id for r in got[7:]] == [1] * 7
+    assert [(r.epoch_idx, r.h, r.value, r.p10, r.p90) for r in got[:7]] == [(0, None, 0.0, None, None), (1, None, 2.0, None, None), (2, None, 4.0, None, None), (3, None, 6.0, None, None), (3, 0, 6.0, 6.0, 6.0), (4, 1, 21.0, 20.0, 22.0), (5, 2, 22.0, 21.0, 23.0)]
