@@ -95,7 +95,7 @@ def s18_styled(points):
 
 @register("s20_written_points", ("point",), "SELECT point_id, round(lon, 6) AS lon, round(lat, 6) AS lat, round(tcoh, 6) AS tcoh FROM point")
 def s20(points):
-    """All test points lie within the limit."""
+    """All points, without a limit."""
     path = _folder(points)
     tables.write_points(points.select("point_id", "lon", "lat", "tcoh"), path)
     return tables.read_csv(points.sparkSession, path, "point_id long, lon double, lat double, tcoh double")
