@@ -29,14 +29,15 @@ def within_radius(points: DataFrame, radius: float) -> DataFrame:
     p = _cells(projected(points).select(F.col("point_id").alias("id"), "x", "y"), radius)
     a = _around(p, 1).select(F.col("id").alias("src"), F.col("x").alias("x1"), F.col("y").alias("y1"), "cx", "cy")
     dist = F.sqrt((F.col("x1") - F.col("x")) ** 2 + (F.col("y1") - F.col("y")) ** 2)
-    return a.join(p, ["cx", "cy"]).where("src <> id").withColumn("dist_m", dist).where(F.col("dist_m") <= radius).select("src", F.col("id").alias("dst"), "dist_m")
+    return a.join(p.hint("merge"), ["cx", "cy"]).where("src <> id").withColumn("dist_m", dist).where(F.col("dist_m") <= radius).select("src", F.col("id").alias("dst"), "dist_m")
 
 
 def nearest(points: DataFrame, k: int, *, cell: float, max_rounds: int = 12) -> DataFrame:
     """The ``k`` nearest other points of each point: src, rank, dst, dist_m; ties go to the smaller id.
 
     Points look into the cells around theirs; a point is done when its k-th distance lies within what these are
-    sure to cover, the others look again with cells twice as wide.
+    sure to cover, the others look again with cells twice as wide.  Joins are merged, as files of points are small enough to be
+    broadcast long after their rows are not.
     """
     p = materialise(projected(points).select(F.col("point_id").alias("id"), "x", "y"))
     open_, done = p, []
@@ -45,12 +46,13 @@ def nearest(points: DataFrame, k: int, *, cell: float, max_rounds: int = 12) ->
         grid = _cells(p, cell)
         a = _around(_cells(open_, cell), 1).select(F.col("id").alias("src"), F.col("x").alias("x1"), F.col("y").alias("y1"), "cx", "cy")
         dist = F.sqrt((F.col("x1") - F.col("x")) ** 2 + (F.col("y1") - F.col("y")) ** 2)
-        met = a.join(grid, ["cx", "cy"]).where("src <> id").withColumn("dist_m", dist)
+        met = a.join(grid.hint("merge"), ["cx", "cy"]).where("src <> id").withColumn("dist_m", dist)
         best = met.withColumn("rank", F.row_number().over(Window.partitionBy("src").orderBy(F.round("dist_m", 6), "id"))).where(F.col("rank") <= k)
-        best = materialise(best.select("src", "rank", F.col("id").alias("dst"), "dist_m"))
-        sure = best.where((F.col("rank") == min(k, total - 1)) & (F.col("dist_m") <= cell)).select("src")
-        done.append(best.join(sure, "src", "left_semi"))
-        open_ = materialise(open_.join(sure.withColumnRenamed("src", "id"), "id", "left_anti"))
+        last = F.max(F.when((F.col("rank") == min(k, total - 1)) & (F.col("dist_m") <= cell), True)).over(Window.partitionBy("src"))
+        best = materialise(best.select("src", "rank", F.col("id").alias("dst"), "dist_m", last.alias("_sure")))
+        done.append(best.where("_sure").drop("_sure"))
+        sure = best.where("_sure AND rank = 1").select(F.col("src").alias("id"))
+        open_ = materialise(open_.join(sure.hint("merge"), "id", "left_anti"))
         if open_.isEmpty() or total < 2:
             break
         cell *= 2
@@ -64,7 +66,7 @@ def nearest(points: DataFrame, k: int, *, cell: float, max_rounds: int = 12) ->
 
 def summaries(edges: DataFrame, steps: DataFrame) -> DataFrame:
     """By ``src`` and epoch the mean displacement, mean step and population deviation of steps of its neighbours."""
-    met = edges.select("src", F.col("dst").alias("point_id")).join(steps, "point_id")
+    met = edges.select("src", F.col("dst").alias("point_id")).join(steps.hint("merge"), "point_id")
     return met.groupBy(F.col("src").alias("point_id"), "epoch_idx").agg(F.avg("value_mm").alias("mean_mm"), F.avg("delta").alias("mean_delta"), F.stddev_pop("delta").alias("deviation_delta"))
 
 
