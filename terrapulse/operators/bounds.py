@@ -72,11 +72,8 @@ def overlap_bounds(boxes: DataFrame, *keys: str) -> DataFrame:
     return out.where("n > s AND e > w")
 
 
-def intersecting(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
-    """Pairs ``(a_id, b_id)`` of boxes ``id, n, s, e, w`` that touch: an equi-join on the cells that boxes cover.
-
-    ``cell`` is about the size of a box; a much larger box covers many cells.
-    """
+def _touching(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
+    """Pairs ``(a_id, b_id)`` of boxes that touch, each once for boxes with ids of their own: from the cell that holds the south-west corner of what they share."""
 
     def spread(df: DataFrame, p: str) -> DataFrame:
         cells = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))
@@ -85,13 +82,22 @@ def intersecting(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
 
     met = spread(a, "a").join(spread(b, "b"), ["cx", "cy"])
     touch = (F.col("a_s") <= F.col("b_n")) & (F.col("b_s") <= F.col("a_n")) & (F.col("a_w") <= F.col("b_e")) & (F.col("b_w") <= F.col("a_e"))
-    return met.where(touch).select("a_id", "b_id").distinct()
+    corner = (F.col("cy") == F.floor(F.greatest("a_s", "b_s") / cell)) & (F.col("cx") == F.floor(F.greatest("a_w", "b_w") / cell))
+    return met.where(touch & corner).select("a_id", "b_id")
+
+
+def intersecting(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
+    """Pairs ``(a_id, b_id)`` of boxes ``id, n, s, e, w`` that touch: an equi-join on the cells that boxes cover.
+
+    ``cell`` is about the size of a box; a much larger box covers many cells.
+    """
+    return _touching(a, b, cell).distinct()
 
 
 def contiguous(boxes: DataFrame, cell: float, buffer: float = 0.005) -> DataFrame:
     """Number of connected parts of boxes widened by ``buffer``, and their common bounds; one part is one area."""
     wide = boxes.select("id", expanded(F.struct("n", "s", "e", "w"), least=buffer).alias("b")).select("id", "b.*")
-    edges = intersecting(wide, wide, cell)
+    edges = _touching(wide, wide, cell).where("a_id <= b_id")
     parts = connected_components(edges, src="a_id", dst="b_id").agg(F.count_distinct("component").alias("parts"))
     return parts.join(union_bounds(boxes))
 
