@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # The widest and narrowest grid step in degrees, the least number of columns, and how far a value reaches, in steps.
 FINEST, COARSEST, LEAST_COLS, REACH = 0.00035, 0.0012, 50, 3
+#: Columns of a block of a row of nodes, and points whose blocks a task takes on average.
+BLOCK, AT_ONCE = 64, 50_000
 
 
 def frame(points: DataFrame, target_cols: int = 720) -> DataFrame:
@@ -23,8 +25,8 @@ def display_grid(points: DataFrame, value: str, *, target_cols: int = 720) -> Da
 
     Points (``point_id, lon, lat`` and the value) without a value or a place are left out; distances are in degrees, as
     the grid is; of points equally near (to 1e-12 of a step squared) the smaller id counts.  Each point passes its value out to
-    the nodes that it can reach, about 29, whatever the size of the grid; a node keeps the best of what reaches it, first
-    within each task.
+    the nodes that it can reach, about 29, whatever the size of the grid; a node keeps the best of what reaches it.  Points are
+    sent to blocks of a row of nodes, dealt over as many tasks as they need, and meet the single nodes only there.
     """
     known = points.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")) & F.col("lon").isNotNull() & F.col("lat").isNotNull())
     grid = frame(known, target_cols)
@@ -32,10 +34,16 @@ def display_grid(points: DataFrame, value: str, *, target_cols: int = 720) -> Da
     x, y = (F.col("lon") - F.col("west")) / F.col("step"), (F.col("north") - F.col("lat")) / F.col("step")
     at = at.withColumns({"_x": x, "_y": y})
     reach = lambda c: F.sequence(F.ceil(F.col(c) - REACH).cast("int"), F.floor(F.col(c) + REACH).cast("int"))
-    sent = at.withColumn("i", F.explode(reach("_y"))).withColumn("j", F.explode(reach("_x")))
+    within = lambda c, n: F.col(c).between(0, F.col(n) - 1)
+    block = lambda c: F.floor(c / BLOCK).cast("int")
+    # files of points are small, so they come in few tasks, and each is some eight rows from here on
+    tasks = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known.count() // AT_ONCE))
+    sent = at.withColumn("i", F.explode(reach("_y"))).where(within("i", "n_rows"))
+    sent = sent.withColumn("_b", F.explode(F.sequence(block(F.ceil(F.col("_x") - REACH)), block(F.floor(F.col("_x") + REACH))))).repartition(tasks, "i", "_b")
+    sent = sent.withColumn("j", F.explode(reach("_x"))).where(within("j", "n_cols") & (block(F.col("j")) == F.col("_b")))
     apart = (F.col("_x") - F.col("j")) ** 2 + (F.col("_y") - F.col("i")) ** 2
-    sent = sent.where(F.col("i").between(0, F.col("n_rows") - 1) & F.col("j").between(0, F.col("n_cols") - 1)).withColumn("_d", F.round(apart, 12)).where(F.col("_d") <= REACH * REACH)
-    best = sent.groupBy("i", "j").agg(F.min(F.struct("_d", "point_id", "value")).alias("_best"))
+    sent = sent.withColumn("_d", F.round(apart, 12)).where(F.col("_d") <= REACH * REACH)
+    best = sent.groupBy("i", "_b", "j").agg(F.min(F.struct("_d", "point_id", "value")).alias("_best")).drop("_b")
     rows = grid.select("*", F.explode(F.sequence(F.lit(0), F.col("n_rows") - 1)).alias("i")).repartition("i")
     nodes = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_cols") - 1)))
     nodes = nodes.select("i", "j", (F.col("west") + F.col("j") * F.col("step")).alias("lon"), (F.col("north") - F.col("i") * F.col("step")).alias("lat"))
