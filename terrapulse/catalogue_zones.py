@@ -87,13 +87,13 @@ def g01(points, obs):
     return df.select("point_id", F.round("trace_corr", 5).alias("trace_corr"), F.round("contrast_net", 4).alias("contrast_net"), F.round("contrast_peak", 4).alias("contrast_peak"), F.round("density", 5).alias("density"))
 
 
-@register("g02_saliency", ("point", "obs"), _GRAPH + ", " + _SALIENT + "SELECT point_id, round(qc_support, 5) AS qc_support, round(activity, 5) AS activity, round(saliency, 5) AS saliency FROM f3")
+@register("g02_saliency", ("point", "obs"), _GRAPH + ", " + _SALIENT + "SELECT point_id, round(qc_support, 5) AS qc_support, round(activity, 5) AS activity, round(saliency, 5) AS saliency FROM f3", kept=("obs",))
 def g02(points, obs):
     df, _ = _features(points, obs)
     return support.saliency(df).select("point_id", *[F.round(c, 5).alias(c) for c in ("qc_support", "activity", "saliency")])
 
 
-@register("g03_active_and_core", ("point", "obs"), _GRAPH + ", " + _SALIENT + "SELECT point_id, active, core FROM f4")
+@register("g03_active_and_core", ("point", "obs"), _GRAPH + ", " + _SALIENT + "SELECT point_id, active, core FROM f4", kept=("obs",))
 def g03(points, obs):
     df, _ = _features(points, obs)
     return support.flagged(support.saliency(df)).select("point_id", "active", "core")
@@ -104,7 +104,7 @@ _EDGES = """ge AS (SELECT kn.src, kn.dst, corr(a.v, b.v) AS corr FROM kn JOIN f3
 """
 
 
-@register("g04_graph_edges", ("point", "obs"), _GRAPH + ", " + _SALIENT + ", " + _EDGES + "SELECT src, dst, round(corr, 5) AS corr FROM ge WHERE corr >= 0.05")
+@register("g04_graph_edges", ("point", "obs"), _GRAPH + ", " + _SALIENT + ", " + _EDGES + "SELECT src, dst, round(corr, 5) AS corr FROM ge WHERE corr >= 0.05", kept=("obs",))
 def g04(points, obs):
     """With looser limits than usual, as the test series are nearly independent."""
     df, edges = _features(points, obs)
@@ -112,7 +112,7 @@ def g04(points, obs):
     return support.graph_edges(loose, edges, obs, least=0.05).withColumn("corr", F.round("corr", 5))
 
 
-@register("g05_regions", ("point", "obs"), None)
+@register("g05_regions", ("point", "obs"), None, kept=("obs",))
 def g05_regions(points, obs):
     df, edges = _features(points, obs)
     df = support.flagged(support.saliency(df)).withColumn("active", F.col("qc_support") >= 0.3)
@@ -138,13 +138,13 @@ def _centre(members, obs):
     return members.join(support.traces(obs), "point_id").groupBy("zone", "epoch_idx").agg(F.avg("v").alias("v"))
 
 
-@register("g09_medoids", ("point", "obs"), _GRAPH + ", " + _ZONES + "SELECT zone, medoid, round(internal_corr, 6) AS internal_corr FROM im")
+@register("g09_medoids", ("point", "obs"), _GRAPH + ", " + _ZONES + "SELECT zone, medoid, round(internal_corr, 6) AS internal_corr FROM im", kept=("obs",))
 def g09(points, obs):
     members = _members(_points_with_series(points, obs))
     return support.medoids(members, obs, _centre(members, obs))
 
 
-@register("a29_boundary_contrast", ("point", "obs"), _GRAPH + ", " + _ZONES + "SELECT zone, round(inside, 4) AS inside, round(outside, 4) AS outside, round(boundary_contrast, 6) AS boundary_contrast FROM bc")
+@register("a29_boundary_contrast", ("point", "obs"), _GRAPH + ", " + _ZONES + "SELECT zone, round(inside, 4) AS inside, round(outside, 4) AS outside, round(boundary_contrast, 6) AS boundary_contrast FROM bc", kept=("obs",))
 def a29(points, obs):
     df, edges = _features(points, obs)
     out = support.contrasts(_members(df), df, edges)
@@ -170,7 +170,7 @@ def _summaries(points, obs):
 _FIGURES = ("area_km2", "temporal_coherence", "activity", "probability", "median_velocity", "p10_velocity", "p90_velocity", "max_velocity", "area_share", "internal_corr", "boundary_contrast", "region_score")
 
 
-@register("a28_region_summaries", ("point", "obs"), _ALL + "SELECT zone, points, core_points, medoid, " + ", ".join(f"round({c}, 4) AS {c}" for c in _FIGURES) + " FROM zz")
+@register("a28_region_summaries", ("point", "obs"), _ALL + "SELECT zone, points, core_points, medoid, " + ", ".join(f"round({c}, 4) AS {c}" for c in _FIGURES) + " FROM zz", kept=("obs",))
 def a28(points, obs):
     return _summaries(points, obs).select("zone", "points", "core_points", "medoid", *[F.round(c, 4).alias(c) for c in _FIGURES])
 
@@ -183,6 +183,7 @@ def a28(points, obs):
 w AS (SELECT *, list_filter([CASE WHEN area_share < greatest(0.0008, 0.25 * ma) THEN 'area_fraction_below_threshold' END, CASE WHEN points < 256 THEN 'support_point_count_below_threshold' END, CASE WHEN internal_corr < 0.6 THEN 'internal_trace_corr_below_threshold' END,
  CASE WHEN temporal_coherence < 0.55 THEN 'temporal_coherence_below_threshold' END, CASE WHEN compactness < 0.2 THEN 'compactness_below_threshold' END, CASE WHEN region_score < 0.35 * ms THEN 'region_score_below_threshold' END], lambda x: x IS NOT NULL) AS why FROM r)
 SELECT zone, CASE WHEN len(why) = 0 THEN 'regional_main' END AS mode, array_to_string(why, ',') AS reasons FROM w""",
+    kept=("obs",),
 )
 def g10(points, obs):
     df = _summaries(points, obs).withColumn("compactness", 0.15 + 0.1 * F.col("zone"))
@@ -199,6 +200,7 @@ _KM = "sqrt(((k.lon - r.lon) * 111320.0 * cos(radians((k.lat + r.lat) / 2))) **
     _ALL
     + f""", k AS (SELECT * FROM zz WHERE zone = 0), r AS (SELECT * FROM zz WHERE zone > 0), c AS (SELECT r.zone, k.zone AS into_, k.region_score, {_KM} AS km, corr(a.c, b.c) AS x FROM r, k JOIN ce b ON b.zone = k.zone JOIN ce a ON a.zone = r.zone AND a.epoch_idx = b.epoch_idx
  WHERE r.region_score >= greatest(0.002, 0.2 * k.region_score) GROUP BY ALL) SELECT zone, into_ AS "into" FROM c WHERE km <= 2 AND x >= 0.95""".replace("FROM r, k JOIN", "FROM r CROSS JOIN k JOIN"),
+    kept=("obs",),
 )
 def g11(points, obs):
     df = _summaries(points, obs).withColumn("zone_type", F.lit("subsidence"))
