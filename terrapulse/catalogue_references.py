@@ -271,7 +271,7 @@ def a25(pixels, obs, points):
     return references.inversion_metrics(qc, rates, variant(obs, F.col("point_id") % 2), "variant", jump=10.0)
 
 
-@register("ts13_passes", ("pair_pixel", "obs", "point"), None)
+@register("ts13_passes", ("pair_pixel", "obs", "point"), None, kept=("obs",))
 def ts13(pixels, obs, points):
     """Both passes over a network of each epoch with the next two; pair quality from the pixels, candidates from the first points with series."""
     order = Window.partitionBy("point_id").orderBy("epoch_idx")

@@ -9,6 +9,7 @@ from terrapulse.functions.scalars import phase_to_mm
 from terrapulse.functions.stats import robust_range
 from terrapulse.operators import fits
 from terrapulse.operators.pairs import WEIGHT, is_valid, main_component
+from terrapulse.session import materialise
 
 PAIR = ["date1", "date2"]
 # What a flagged date costs a pair by the scope of its anomaly, what low consistency adds, and the most in all.
@@ -67,7 +68,8 @@ def first_round(pairs: DataFrame, metrics: DataFrame) -> DataFrame:
 
     ``pairs`` may have ``overlap`` (:func:`with_overlap`), which counts as 1 where it is not there.
     """
-    known = robust_range(metrics.withColumn("_known", F.lit(True)), "median_residual", "_m").withColumn("consistency", F.when(F.col("median_residual").isNotNull(), 1 - F.col("_m")).otherwise(0.0)).drop("_m")
+    # a row a pair, summed up from all pixels: written once, as its range is read beside it
+    known = robust_range(materialise(metrics).withColumn("_known", F.lit(True)), "median_residual", "_m").withColumn("consistency", F.when(F.col("median_residual").isNotNull(), 1 - F.col("_m")).otherwise(0.0)).drop("_m")
     df = pairs.join(known, PAIR, "left")
     df = df.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in (("bad_ratio", 1.0), ("main_cc_coverage", 0.0), ("unwrap_jump_index", 1.0), ("consistency", 0.0))})
     q = 0.30 * (1 - F.col("bad_ratio")) + 0.25 * F.col("main_cc_coverage") + 0.20 * (1 - F.col("unwrap_jump_index")) + 0.15 * F.col("consistency") + 0.10 * (F.col("overlap") if "overlap" in pairs.columns else F.lit(1.0))

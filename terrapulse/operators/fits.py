@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -200,7 +201,8 @@ def inverted(pairs: DataFrame, key: str, *, reference: str | None = None) -> Dat
 
     ``pairs`` has the key, ``date1, date2, value`` and may have ``weight``; a pair without a value or with weight 0 is left
     out.  The reference is the given date, or the key's first.  Dates that no chain of pairs joins to it get the solution
-    of least norm.  The pairs of a key are one row of arrays.
+    of least norm.  The pairs of a key are one row of arrays; keys of a
+    batch that have the same pairs and weights are solved together, as so many right-hand sides of one system.
     """
     weight = F.col("weight") if "weight" in pairs.columns else F.lit(1.0)
     known = pairs.where(F.col("value").isNotNull() & (weight > 0))
@@ -208,19 +210,34 @@ def inverted(pairs: DataFrame, key: str, *, reference: str | None = None) -> Dat
     part = lambda c: F.transform("x", lambda r: r[c]).alias(c)
     kind = pairs.schema[key].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, d1, d2, v, w in zip(*(batch[c] for c in (key, "date1", "date2", "v", "w")), strict=True):
-                dates, at = np.unique(np.concatenate([d1, d2]), return_inverse=True)
-                n = len(d1)
-                a = np.zeros((n, len(dates)))
+            if not batch.num_rows:
+                continue
+            size = pc.list_value_length(batch.column("date1")).to_numpy(zero_copy_only=False).astype(np.int64)
+            first = np.cumsum(size) - size
+            ends = [batch.column(c).flatten() for c in ("date1", "date2")]
+            coded = pa.concat_arrays(ends).dictionary_encode()
+            names, code = np.unique(np.array(coded.dictionary.to_pylist(), object), return_inverse=True)
+            one, two = np.split(code[coded.indices.to_numpy()], 2)
+            value, root = batch.column("v").flatten().to_numpy(), np.sqrt(batch.column("w").flatten().to_numpy())
+            alike: dict[tuple[bytes, ...], list[int]] = {}
+            for i in range(batch.num_rows):
+                own = slice(first[i], first[i] + size[i])
+                alike.setdefault((one[own].tobytes(), two[own].tobytes(), root[own].tobytes()), []).append(i)
+            for members in alike.values():
+                n, own = size[members[0]], slice(first[members[0]], first[members[0]] + size[members[0]])
+                days, at = np.unique(np.concatenate([one[own], two[own]]), return_inverse=True)
+                a = np.zeros((n, len(days)))
                 a[np.arange(n), at[n:]] += 1.0
                 a[np.arange(n), at[:n]] -= 1.0
+                dates = names[days]
                 fixed = int(np.flatnonzero(dates == reference)[0]) if reference in dates else 0
-                free = np.arange(len(dates)) != fixed
-                root = np.sqrt(np.asarray(w, float))
-                values = np.zeros(len(dates))
-                values[free] = np.linalg.lstsq(a[:, free] * root[:, None], np.asarray(v, float) * root, rcond=None)[0]
-                yield pd.DataFrame({key: k, "date": dates, "value": values})
-
-    return rows.select(key, *[part(c) for c in ("date1", "date2", "v", "w")]).mapInPandas(run, f"{key} {kind}, date string, value double")
+                free = np.arange(len(days)) != fixed
+                wanted = value[first[members][:, None] + np.arange(n)] * root[own]
+                values = np.zeros((len(members), len(days)))
+                values[:, free] = np.linalg.lstsq(a[:, free] * root[own][:, None], wanted.T, rcond=None)[0].T
+                keys = batch.column(key).take(pa.array(np.repeat(members, len(days))))
+                yield pa.RecordBatch.from_arrays([keys, pa.array(np.tile(dates, len(members)), pa.string()), pa.array(values.ravel())], names=[key, "date", "value"])
+
+    return rows.select(key, *[part(c) for c in ("date1", "date2", "v", "w")]).mapInArrow(run, f"{key} {kind}, date string, value double")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrapulse.operators import feedback, fits, references, series
+from terrapulse.session import materialise
 
 PAIR = ["date1", "date2"]
 
@@ -45,10 +46,12 @@ def network_series(observations: DataFrame, actions: DataFrame, reference: DataF
     # a stack's dates: a small table
     axis = dates.select("day", (F.row_number().over(Window.orderBy("day")) - 1).alias("epoch_idx"), day.alias("date"), F.datediff(day, F.min(day).over(Window.partitionBy())).alias("day_offset"))
     used = observations.join(actions.where("action <> 'drop'").select(*PAIR, "weight"), PAIR)
-    values = fits.inverted(used, "point_id").withColumnRenamed("date", "day")
+    # read twice: for the reference and for all points
+    values = materialise(fits.inverted(used, "point_id").withColumnRenamed("date", "day"))
     base = values.join(reference.select("point_id").distinct(), "point_id", "left_semi").groupBy("day").agg(F.avg("value").alias("_ref"))
-    moved = values.join(base, "day", "left").select("point_id", "day", (F.col("value") - F.coalesce("_ref", F.lit(0.0))).alias("value_mm"))
-    return moved.join(axis, "day").select("point_id", "epoch_idx", "date", "day_offset", "value_mm")
+    moved = values.join(F.broadcast(base), "day", "left").select("point_id", "day", (F.col("value") - F.coalesce("_ref", F.lit(0.0))).alias("value_mm"))
+    # a row a date each: the files of the values are small too, and joined to them they would all come in one task
+    return moved.join(F.broadcast(axis), "day").select("point_id", "epoch_idx", "date", "day_offset", "value_mm")
 
 
 def _patch_velocities(rates: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapulse.functions.scalars import METRES_LAT, METRES_LON, clip
-from terrapulse.functions.stats import robust_range, with_stats
+from terrapulse.functions.stats import quantiles, robust_range, with_stats
 from terrapulse.operators.neighbours import within_radius
 from terrapulse.session import materialise
 
@@ -186,9 +186,10 @@ def evaluation(obs: DataFrame, fitted: DataFrame, models: DataFrame, rates: Data
         mine = F.coalesce("_own", F.lit(False))
     share = lambda c: F.avg(c.cast("double"))
     out = df.agg(
-        share(F.col("jump")).alias("jump_ratio"), F.median(F.abs("res")).alias("_median"), F.count_distinct("epoch_idx").alias("_epochs"),
+        share(F.col("jump")).alias("jump_ratio"), F.count_distinct("epoch_idx").alias("_epochs"),
         F.avg(F.when(mine, F.abs("res"))).alias("patch_residual"), share(F.when(mine, F.col("jump"))).alias("patch_jumps"),
     )
+    out = out.join(F.broadcast(quantiles(df, _median=(F.abs("res"), 0.5))))
     n = obs.where("value_mm IS NOT NULL").groupBy("point_id").agg(F.count_distinct("epoch_idx").alias("_n"))
     whole = n.join(F.broadcast(out.select("_epochs"))).agg(F.count_if(F.col("_n") == F.col("_epochs")).alias("retained"))
     out = out.join(whole).join(models.agg(F.median("model_rms").alias("median_rms"))).join(rates.agg(F.median("velocity").alias("scene_velocity")))
