@@ -86,7 +86,7 @@ def _panel(epochs, points, obs):
     return panel.panel(panel.own_channels(rel, epochs, flagged), fits.robust_harmonic(rel), near, series.persistence(obs, flagged))
 
 
-@register("fc01_panel", ("epoch", "point", "obs"), None)
+@register("fc01_panel", ("epoch", "point", "obs"), None, kept=("epoch", "obs"))
 def fc01(epochs, points, obs):
     return _panel(epochs, points, obs)
 
@@ -190,23 +190,23 @@ def fc12(epochs, obs):
     return panel.harmonic(_windows(epochs, obs, ("rel0",)))
 
 
-@register("fc14_quantile_loss", ("epoch", "obs"), None)
+@register("fc14_quantile_loss", ("epoch", "obs"), None, kept=("epoch", "obs"))
 def fc14(epochs, obs):
     return forecasts.quantile_loss(panel.tournament(_predicted(epochs, obs)))
 
 
-@register("fc18_best_method", ("epoch", "obs"), None)
+@register("fc18_best_method", ("epoch", "obs"), None, kept=("epoch", "obs"))
 def fc18(epochs, obs):
     predicted = _predicted(epochs, obs)
     return panel.best_method(forecasts.scores(panel.tournament(predicted, test="val")))
 
 
-@register("fc23_tournament", ("epoch", "obs"), None)
+@register("fc23_tournament", ("epoch", "obs"), None, kept=("epoch", "obs"))
 def fc23(epochs, obs):
     return panel.tournament(_predicted(epochs, obs))
 
 
-@register("fc27_forecast", ("epoch", "point", "obs"), None)
+@register("fc27_forecast", ("epoch", "point", "obs"), None, kept=("epoch", "obs"))
 def fc27(epochs, points, obs):
     found = forecasts.bands(_predicted(epochs, obs).where("split = 'val'"))
     future = series.future_dates(epochs, 3)
@@ -216,6 +216,6 @@ def fc27(epochs, points, obs):
     return panel.forecast(panel.predictions(latest), found, future, sure)
 
 
-@register("fc28_evaluation", ("epoch", "obs"), None)
+@register("fc28_evaluation", ("epoch", "obs"), None, kept=("epoch", "obs"))
 def fc28(epochs, obs):
     return panel.evaluation(panel.tournament(_predicted(epochs, obs)))

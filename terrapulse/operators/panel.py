@@ -11,7 +11,8 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -229,23 +230,33 @@ def seasonal_naive(found: DataFrame, *, min_span: float = 180.0, max_distance: f
 def harmonic(found: DataFrame) -> DataFrame:
     """A line with an annual wave, the fit of least norm where a history does not settle it (FC12).
 
-    Windows with the same days share one small pseudo-inverse, so an Arrow batch costs a few matrix products.
+    Windows with the same days share one small pseudo-inverse, and all of a batch that do are one matrix product.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            days = [np.concatenate([x, a]) for x, a in zip(batch["_x"], batch["_a"], strict=True)]
-            out = pd.Series([None] * len(batch), index=batch.index, dtype=object)
-            for _, rows in batch.groupby([d.tobytes() for d in days], sort=False):
-                x, a = design(rows["_x"].iloc[0]), design(rows["_a"].iloc[0])
-                beta = np.stack(rows["_y"].to_list()) @ np.linalg.pinv(x, rcond=np.finfo(float).eps * max(x.shape)).T
-                for i, p in zip(rows.index, beta @ a.T - rows["last_rel0"].to_numpy()[:, None], strict=True):
-                    out.at[i] = p
-            yield batch.drop(columns=["_x", "_a", "_y"]).assign(method="harmonic_trend", p50=out)
+            if not batch.num_rows:
+                continue
+            size = {c: pc.list_value_length(batch.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("_x", "_a")}
+            first = {c: np.cumsum(n) - n for c, n in size.items()}
+            flat = {c: batch.column(c).flatten().to_numpy(zero_copy_only=False).astype(float) for c in ("_x", "_a", "_y")}
+            last, out = batch.column("last_rel0").to_numpy(zero_copy_only=False), np.empty(len(flat["_a"]))
+            for n, m in np.unique(np.column_stack([size["_x"], size["_a"]]), axis=0):
+                rows = np.flatnonzero((size["_x"] == n) & (size["_a"] == m))
+                past, ahead = first["_x"][rows][:, None] + np.arange(n), first["_a"][rows][:, None] + np.arange(m)
+                kinds, which = np.unique(np.hstack([flat["_x"][past], flat["_a"][ahead]]), axis=0, return_inverse=True)
+                for k, days in enumerate(kinds):
+                    own = which.ravel() == k
+                    x, a = design(days[:n]), design(days[n:])
+                    beta = flat["_y"][past[own]] @ np.linalg.pinv(x, rcond=np.finfo(float).eps * max(x.shape)).T
+                    out[ahead[own]] = beta @ a.T - last[rows[own]][:, None]
+            p50 = pa.ListArray.from_arrays(pa.array(np.append(first["_a"], len(out)), pa.int32()), pa.array(out))
+            method = pa.array(["harmonic_trend"] * batch.num_rows, pa.string())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in _KEPT], method, p50], names=[*_KEPT, "method", "p50"])
 
     df = found.select(*_KEPT, F.col("history.day_offset").alias("_x"), F.col("ahead.day_offset").alias("_a"), F.col("history.rel0").alias("_y"))
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema if f.name in _KEPT)
-    return df.mapInPandas(run, f"{kept}, method string, p50 array<double>")
+    kept = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in _KEPT)
+    return df.mapInArrow(run, f"{kept}, method string, p50 array<double>")
 
 
 def predictions(found: DataFrame) -> DataFrame:
