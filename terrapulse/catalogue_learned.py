@@ -32,13 +32,13 @@ def _fitted(epochs, obs, points, kind="linear"):
     return model, found.where("split = 'val'")
 
 
-@register("fc17_learned", ("epoch", "obs", "point"), None)
+@register("fc17_learned", ("epoch", "obs", "point"), None, kept=("epoch", "obs"))
 def fc17(epochs, obs, points):
     model, found = _fitted(epochs, obs, points)
     return model.predict(found).select("point_id", "window_end", "method", F.posexplode("p50").alias("h", "p50"))
 
 
-@register("fc17_quantiles", ("epoch", "obs", "point"), None)
+@register("fc17_quantiles", ("epoch", "obs", "point"), None, kept=("epoch", "obs"))
 def fc17_quantiles(epochs, obs, points):
     """Quantiles of the validation windows, one row a window and step."""
     score = _scored_points(points).select("point_id", "ps_score", "height_m")
@@ -47,7 +47,7 @@ def fc17_quantiles(epochs, obs, points):
     return quantiles.flat(model.predict(found.where("split = 'val'"))).select("point_id", "window_end", "h", "p10", "p50", "p90")
 
 
-@register("fc19_variant", ("epoch", "obs", "point"), None)
+@register("fc19_variant", ("epoch", "obs", "point"), None, kept=("epoch", "obs"))
 def fc19(epochs, obs, points):
     """Whether neighbours are used: the gate (G13) on the graph of the points with series, then the validation error of both variants."""
     score = materialise(_scored_points(points).join(obs.select("point_id").distinct(), "point_id", "left_semi"))
@@ -63,12 +63,12 @@ def fc19(epochs, obs, points):
     return quantiles.chosen_variant(quantiles.flat(plain.predict(val)), quantiles.flat(near.predict(val)), reasons)
 
 
-@register("fc24_group_importance", ("epoch", "obs", "point"), None)
+@register("fc24_group_importance", ("epoch", "obs", "point"), None, kept=("epoch", "obs"))
 def fc24(epochs, obs, points):
     model, found = _fitted(epochs, obs, points)
     return learned.group_importance(model, found, {k: tuple(c for c in v if c in _CHANNELS) for k, v in panel.GROUPS.items()} | {"season": ("sin_year", "cos_year")})
 
 
-@register("fc25_static_importance", ("epoch", "obs", "point"), None)
+@register("fc25_static_importance", ("epoch", "obs", "point"), None, kept=("epoch", "obs"))
 def fc25(epochs, obs, points):
     return learned.static_importance(*_fitted(epochs, obs, points))
