@@ -44,7 +44,7 @@ def display_grid(points: DataFrame, value: str, *, target_cols: int = 720) -> Da
     apart = (F.col("_x") - F.col("j")) ** 2 + (F.col("_y") - F.col("i")) ** 2
     sent = sent.withColumn("_d", F.round(apart, 12)).where(F.col("_d") <= REACH * REACH)
     best = sent.groupBy("i", "_b", "j").agg(F.min(F.struct("_d", "point_id", "value")).alias("_best")).drop("_b")
-    rows = grid.select("*", F.explode(F.sequence(F.lit(0), F.col("n_rows") - 1)).alias("i")).repartition("i")
+    rows = grid.select("*", F.explode(F.sequence(F.lit(0), F.col("n_rows") - 1)).alias("i")).repartition(tasks, "i")
     nodes = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_cols") - 1)))
     nodes = nodes.select("i", "j", (F.col("west") + F.col("j") * F.col("step")).alias("lon"), (F.col("north") - F.col("i") * F.col("step")).alias("lat"))
     return nodes.join(best, ["i", "j"], "left").select("i", "j", "lon", "lat", F.col("_best.value").alias("value"))
