@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapulse.functions.stats import with_stats
 from terrapulse.operators.components import connected_components
+from terrapulse.session import materialise
 
 #: Looks of a grid cell in rows and columns.
 STRIDE_ROW, STRIDE_COL = 6, 3
 #: Names of the scopes of a forecast, and the one that others fall back to.
 SCOPES = {"all": "scene_high_confidence", "scene": "scene_high_confidence", "zone": "zone_high_confidence_only", "zone_only": "zone_high_confidence_only"}
 DEFAULT_SCOPE = "scene_high_confidence"
+_BOX = ("id", "n", "s", "e", "w")
 
 
 def has_place(lat: Column, lon: Column, *, zero_is_missing: bool = True) -> Column:
@@ -72,18 +74,31 @@ def overlap_bounds(boxes: DataFrame, *keys: str) -> DataFrame:
     return out.where("n > s AND e > w")
 
 
-def _touching(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
-    """Pairs ``(a_id, b_id)`` of boxes that touch, each once for boxes with ids of their own: from the cell that holds the south-west corner of what they share."""
+def _spread(boxes: DataFrame, cell: float) -> DataFrame:
+    """A row ``cx, cy, id, n, s, e, w`` for each cell that a box covers or touches."""
+    cells = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))
+    df = boxes.withColumn("cy", F.explode(cells("s", "n"))).withColumn("cx", F.explode(cells("w", "e")))
+    return df.select("cx", "cy", *_BOX)
+
+
+def _touch(a, b) -> Column:
+    """Boxes share a point, edges included; ``a`` and ``b`` give the column of a side."""
+    return (a("s") <= b("n")) & (b("s") <= a("n")) & (a("w") <= b("e")) & (b("w") <= a("e"))
+
 
-    def spread(df: DataFrame, p: str) -> DataFrame:
-        cells = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))
-        df = df.withColumn("cy", F.explode(cells("s", "n"))).withColumn("cx", F.explode(cells("w", "e")))
-        return df.select("cx", "cy", *[F.col(c).alias(f"{p}_{c}") for c in ("id", "n", "s", "e", "w")])
+def _met(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
+    """Pairs ``(a_id, b_id)`` of boxes of one cell that touch, each from the cell that holds the south-west corner of what they share.
 
-    met = spread(a, "a").join(spread(b, "b"), ["cx", "cy"])
-    touch = (F.col("a_s") <= F.col("b_n")) & (F.col("b_s") <= F.col("a_n")) & (F.col("a_w") <= F.col("b_e")) & (F.col("b_w") <= F.col("a_e"))
+    The join is merged: files of boxes are small enough to be broadcast long after their rows in cells are not.
+    """
+    a, b = (df.select("cx", "cy", *[F.col(c).alias(f"{p}_{c}") for c in _BOX]) for df, p in ((a, "a"), (b, "b")))
     corner = (F.col("cy") == F.floor(F.greatest("a_s", "b_s") / cell)) & (F.col("cx") == F.floor(F.greatest("a_w", "b_w") / cell))
-    return met.where(touch & corner).select("a_id", "b_id")
+    return a.join(b.hint("merge"), ["cx", "cy"]).where(_touch(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}")) & corner).select("a_id", "b_id")
+
+
+def _touching(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
+    """Pairs ``(a_id, b_id)`` of boxes that touch, each once for boxes with ids of their own."""
+    return _met(_spread(a, cell), _spread(b, cell), cell)
 
 
 def intersecting(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
@@ -94,11 +109,36 @@ def intersecting(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
     return _touching(a, b, cell).distinct()
 
 
+def _hub_links(boxes: DataFrame, cell: float) -> DataFrame:
+    """Edges ``(src, dst)`` between a few of the boxes, with as many connected parts as the boxes that touch have.
+
+    Of the boxes that meet in a cell the one that covers most of it is the hub, and those that touch it are linked to it alone: a row a
+    box and cell, however many boxes lie upon each other.  Only boxes that do not touch the hub are held against all of their cell.
+    So boxes are linked to hubs and to such boxes; a box links these to the least of them, and is a vertex itself only if it is one of them.
+    """
+    met = _spread(boxes, cell)
+    extent = lambda at, lo, hi: F.least(F.col(hi), (F.col(at) + 1) * cell) - F.greatest(F.col(lo), F.col(at) * cell)
+    share = extent("cy", "s", "n") * extent("cx", "w", "e")
+    hub = F.max(F.struct(share.alias("share"), *_BOX)).over(Window.partitionBy("cx", "cy"))
+    near = _touch(F.col, lambda c: F.col("hub")[c])
+    seen = met.withColumn("hub", hub).select("id", F.when(near, F.col("hub.id")).alias("node"), F.when(~near, F.struct("cx", "cy", *_BOX)).alias("rest"))
+    seen = materialise(seen)
+    links, rest = seen.where("rest IS NULL").select("id", "node"), seen.where("rest IS NOT NULL").select("rest.*")
+    if not rest.isEmpty():
+        pairs = materialise(_met(rest, met, cell))
+        links = links.union(pairs.select("b_id", "a_id")).union(pairs.select("a_id", "a_id"))
+    least = F.min("node").over(Window.partitionBy("id"))
+    return links.select(least.alias("src"), F.col("node").alias("dst")).distinct()
+
+
 def contiguous(boxes: DataFrame, cell: float, buffer: float = 0.005) -> DataFrame:
-    """Number of connected parts of boxes widened by ``buffer``, and their common bounds; one part is one area."""
-    wide = boxes.select("id", expanded(F.struct("n", "s", "e", "w"), least=buffer).alias("b")).select("id", "b.*")
-    edges = _touching(wide, wide, cell).where("a_id <= b_id")
-    parts = connected_components(edges, src="a_id", dst="b_id").agg(F.count_distinct("component").alias("parts"))
+    """Number of connected parts of boxes widened by ``buffer``, and their common bounds; one part is one area.
+
+    As in the reference, the buffer is not held on the globe: a box beyond a pole would be turned over and cover all cells up to it.
+    """
+    wide = boxes.where("id IS NOT NULL").select("id", *[(F.col(c) + d).alias(c) for c, d in (("n", buffer), ("s", -buffer), ("e", buffer), ("w", -buffer))])
+    edges = materialise(_hub_links(wide, cell))
+    parts = connected_components(edges).agg(F.count_distinct("component").alias("parts"))
     return parts.join(union_bounds(boxes))
 
 
