@@ -160,6 +160,6 @@ def test_boxes_are_not_broadcast(spark):
     from terrapulse.operators import bounds
 
     boxes = spark.range(9).select("id", *[(F.lit(at) + F.col("id") * 0.001).alias(c) for c, at in (("n", 30.004), ("s", 30.0), ("e", 103.004), ("w", 103.0))])
-    for df in (bounds.intersecting(boxes, boxes, 0.004), bounds._hub_links(boxes, 0.004)):
-        plan = df._jdf.queryExecution().sparkPlan().toString()
+    for links in (lambda: bounds.intersecting(boxes, boxes, 0.004), lambda: bounds._hub_links(boxes, 0.004)):
+        plan = links()._jdf.queryExecution().sparkPlan().toString()
         assert "BroadcastHashJoin" not in plan, plan
